@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.timegrid import shift, slot_of
@@ -101,6 +101,65 @@ def asof_fallback(
     )
 
 
+def lag_fallback(
+    table: DataFrame, col: str, spec: Spec, steps: int, lags_days: Sequence[int] = (365, 7)
+) -> DataFrame:
+    """``asof_fallback`` for the steps behind a gapless table with ``pos`` and ``n``.
+
+    Without gaps the value at or before a stamp is found by position. Each row knows the
+    future steps it serves, so the history is filtered and exploded, never shuffled. A
+    lag that reaches behind the end of the series gives the last value.
+    """
+    lags = [d * 86400 // spec.step for d in lags_days]
+    last = F.col("n") - 1
+    horizon = F.sequence(F.lit(1).cast("bigint"), F.lit(steps).cast("bigint"))
+
+    def reachable(h: Column, lag: int) -> Column:
+        return last + h - F.lit(lag) >= 0
+
+    def chosen(h: Column, k: int) -> Column:
+        """The first lag that reaches into the series is lag number k."""
+        hit = reachable(h, lags[k])
+        for lag in lags[:k]:
+            hit = hit & ~reachable(h, lag)
+        return hit
+
+    none = F.array().cast("array<bigint>")
+    parts = []
+    for k, lag in enumerate(lags):
+        h = F.col("pos") - last + F.lit(lag)
+        parts.append(F.when(h.between(1, steps) & chosen(h, k), F.array(h)).otherwise(none))
+
+    def beyond(h: Column) -> Column:
+        hits = [chosen(h, k) & (h > lag) for k, lag in enumerate(lags)]
+        out = F.lit(False)
+        for hit in hits:
+            out = out | hit
+        return out
+
+    def unreached(h: Column) -> Column:
+        out = F.lit(True)
+        for lag in lags:
+            out = out & ~reachable(h, lag)
+        return out
+
+    at_end = F.col("pos") == last
+    parts.append(F.when(at_end, F.filter(horizon, beyond)).otherwise(none))
+    meanwhile = F.when(at_end, F.filter(horizon, unreached)).otherwise(none)
+    served = F.concat(
+        F.transform(F.concat(*parts), lambda h: F.struct(h.alias("h"), F.lit(False).alias("mean"))),
+        F.transform(meanwhile, lambda h: F.struct(h.alias("h"), F.lit(True).alias("mean"))),
+    )
+    rows = table.select("series_id", "ts", "pos", "n", col, F.explode(served).alias("s"))
+    means = table.groupBy("series_id").agg(F.avg(col).alias("_mean"))
+    return rows.join(means, "series_id").select(
+        "series_id",
+        F.col("s.h").cast("int").alias("h"),
+        shift("ts", last - F.col("pos") + F.col("s.h"), spec.step).alias("ts"),
+        F.when(F.col("s.mean"), F.col("_mean")).otherwise(F.col(col)).alias(col),
+    )
+
+
 def weekly_cycle(covariates: DataFrame, cols: Sequence[str], spec: Spec, steps: int) -> DataFrame:
     """Future covariates that repeat the last seven days.
 

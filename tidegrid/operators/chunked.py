@@ -49,13 +49,15 @@ def with_neighbours(
     by: Sequence[str] = ("series_id",),
     tie: Sequence[str] = (),
     forward: bool = True,
+    extent: bool = False,
 ) -> DataFrame:
     """Add, for every column, its nearest non-null neighbours in ``at`` order.
 
     ``<c>_prev``/``<c>_prev_at`` is the last non-null value at or before the row,
     ``<c>_next``/``<c>_next_at`` the first one after it (``forward`` only).
     ``next_at`` is the position of the next row, ``first_at`` and ``last_at`` are the
-    bounds of the series. ``at`` must be a bigint, and rows with a value must not share
+    bounds of the series, and with ``extent`` ``<c>_first_at`` and ``<c>_last_at`` those
+    of the non-null values of a column. ``at`` must be a bigint, and rows with a value must not share
     one; ``tie`` orders rows without a value among them.
     """
     by, tie = list(by), list(tie)
@@ -68,13 +70,20 @@ def with_neighbours(
         spot = F.when(F.col(c).isNotNull(), F.col(at))
         aggs += [F.max_by(c, spot).alias(f"_{c}_hi"), F.max(spot).alias(f"_{c}_hi_at")]
         if forward:
-            aggs += [F.min_by(c, spot).alias(f"_{c}_lo"), F.min(spot).alias(f"_{c}_lo_at")]
+            aggs.append(F.min_by(c, spot).alias(f"_{c}_lo"))
+        if forward or extent:
+            aggs.append(F.min(spot).alias(f"_{c}_lo_at"))
     edges = parts.groupBy(*chunk).agg(*aggs)
     whole = W.partitionBy(*by)
     picks = [F.min("_lo").over(whole).alias("first_at"), F.max("_hi").over(whole).alias("last_at")]
     if forward:
         picks.append(_ignore_nulls("lead", "_lo", by, [CHUNK]).alias("_after"))
     for c in cols:
+        if extent:
+            picks += [
+                F.min(f"_{c}_lo_at").over(whole).alias(f"{c}_first_at"),
+                F.max(f"_{c}_hi_at").over(whole).alias(f"{c}_last_at"),
+            ]
         for part in ("", "_at"):
             picks.append(_ignore_nulls("lag", f"_{c}_hi{part}", by, [CHUNK]).alias(f"_{c}_before{part}"))
             if forward:
@@ -105,6 +114,8 @@ def with_neighbours(
     if forward:
         out.append(F.coalesce("_n_row", "_after").alias("next_at"))
     for c in cols:
+        if extent:
+            out += [F.col(f"{c}_first_at"), F.col(f"{c}_last_at")]
         sides = [("prev", "p", "before")] + ([("next", "n", "after")] if forward else [])
         for side, here, there in sides:
             # A null spot decides; the value of a found spot is never null.

@@ -1,56 +1,110 @@
-"""Feature tables for the regression forecasters."""
+"""Feature tables for the regression forecasters.
+
+Demand and weather are merged per (series, slot) while both are still small, and one pass
+fills the gaps of all columns together. No table of grid size is joined or shuffled.
+``demand`` is a raw or a regular table, ``weather`` has its own coarser stamps, at most
+one row per slot.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.calendar import calendar_columns, is_weekend
-from tidegrid.functions.timegrid import slot_of
-from tidegrid.operators.align import align_left_fill, asof_fallback
-from tidegrid.operators.baseline import future_index
-from tidegrid.operators.chunked import with_position
-from tidegrid.operators.regularise import constant_fill
-from tidegrid.operators.select import recent_days
+from tidegrid.functions.timegrid import slot_of, slot_start
+from tidegrid.operators.align import lag_fallback
+from tidegrid.operators.chunked import explode_slots, with_neighbours
+from tidegrid.operators.regularise import clean_bins, constant_fill, filled_value, regularise
 from tidegrid.spec import Spec
 
 
-def add_weekend(regular: DataFrame, flags: DataFrame | None = None) -> DataFrame:
+def add_weekend(table: DataFrame, flags: DataFrame | None = None) -> DataFrame:
     """Weekend column as a number: from the flag table (missing means no) or the calendar."""
     if flags is None:
-        return regular.withColumn("is_weekend", is_weekend(F.col("ts")).cast("double"))
-    joined = regular.join(flags.select("series_id", "ts", "is_weekend"), ["series_id", "ts"], "left")
+        return table.withColumn("is_weekend", is_weekend(F.col("ts")).cast("double"))
+    joined = table.join(flags.select("series_id", "ts", "is_weekend"), ["series_id", "ts"], "left")
     return joined.withColumn("is_weekend", F.coalesce("is_weekend", F.lit(False)).cast("double"))
 
 
+def _slots(demand: DataFrame, spec: Spec) -> DataFrame:
+    if "pos" in demand.columns:
+        return demand.select("series_id", slot_of("ts", spec.step).alias("slot"), "value")
+    return clean_bins(demand, spec)
+
+
+def _regular(demand: DataFrame, spec: Spec) -> DataFrame:
+    return demand if "pos" in demand.columns else regularise(demand, spec)
+
+
+def _merged(demand: DataFrame, weather: DataFrame, spec: Spec, measures: Sequence[str]) -> DataFrame:
+    """Demand and weather per slot with the neighbours and the extent of every column."""
+    stamped = weather.select(
+        "series_id", slot_of("ts", spec.step).alias("slot"), *measures, F.lit(1).alias("_weather")
+    )
+    both = _slots(demand, spec).unionByName(stamped, allowMissingColumns=True)
+    cols = ["value", *measures, "_weather"]
+    # Each column has at most one value per slot; max picks it.
+    merged = both.groupBy("series_id", "slot").agg(*[F.max(c).alias(c) for c in cols])
+    return with_neighbours(merged, cols, at="slot", span=spec.chunk, extent=True)
+
+
+def _grid(near: DataFrame, lo: Column, hi: Column, spec: Spec, values: dict[str, Column]) -> DataFrame:
+    """Grid rows of each series between ``lo`` and ``hi``, numbered from 0."""
+    start = F.greatest(F.col("slot"), lo)
+    stop = F.least(F.coalesce(F.col("next_at") - 1, F.col("slot")), hi)
+    grid = explode_slots(near, start, stop, spec.chunk, "at")
+    return grid.select(
+        "series_id",
+        slot_start("at", spec.step).alias("ts"),
+        (F.col("at") - lo).alias("pos"),
+        (hi - lo + 1).alias("n"),
+        *[v.alias(c) for c, v in values.items()],
+    )
+
+
+def _left_filled(demand: DataFrame, weather: DataFrame, spec: Spec, measure: str) -> DataFrame:
+    """Every demand row; the measure is interpolated, then padded at both edges.
+
+    Weather that does not overlap the demand at all does not count.
+    """
+    near = _merged(demand, weather, spec, [measure])
+    lo, hi = F.col("value_first_at"), F.col("value_last_at")
+    overlap = (F.col(f"{measure}_first_at") <= hi) & (F.col("_weather_last_at") >= lo)
+    padded = F.when(overlap, F.coalesce(filled_value(measure, "linear"), F.col(f"{measure}_next")))
+    return _grid(near, lo, hi, spec, {"value": filled_value("value", "linear"), measure: padded})
+
+
 def exog_matrix(
-    regular: DataFrame, weather: DataFrame | None, spec: Spec, flags: DataFrame | None = None
+    demand: DataFrame, weather: DataFrame | None, spec: Spec, flags: DataFrame | None = None
 ) -> DataFrame:
     """Demand, weekend and temperature on every demand row; weather gaps are filled.
 
     A series without any weather keeps no rows, as its temperature stays missing.
-    Positions are those of the demand grid.
     """
-    table = add_weekend(regular, flags).withColumnRenamed("value", "demand")
-    cols = ["series_id", "ts", "pos", "n", "demand", "is_weekend"]
     if weather is None:
-        return table.select(*cols)
-    filled = align_left_fill(table.select(*cols), weather, ["temperature_2m"], spec)
-    return filled.where("demand IS NOT NULL AND temperature_2m IS NOT NULL")
+        table = add_weekend(_regular(demand, spec), flags).withColumnRenamed("value", "demand")
+        return table.select("series_id", "ts", "pos", "n", "demand", "is_weekend")
+    table = add_weekend(_left_filled(demand, weather, spec, "temperature_2m"), flags)
+    complete = table.where(F.col("temperature_2m").isNotNull()).withColumnRenamed("value", "demand")
+    return complete.select("series_id", "ts", "pos", "n", "demand", "is_weekend", "temperature_2m")
 
 
-def covariates(regular: DataFrame, weather: DataFrame | None, spec: Spec, flags: DataFrame | None = None) -> DataFrame:
+def covariates(
+    demand: DataFrame, weather: DataFrame | None, spec: Spec, flags: DataFrame | None = None
+) -> DataFrame:
     """Weekend and temperature on the demand grid; 0.0 where a series has no weather."""
-    table = add_weekend(regular, flags).select("series_id", "ts", "pos", "n", "is_weekend")
     if weather is None:
-        return table.withColumn("temperature_2m", F.lit(0.0))
-    return constant_fill(align_left_fill(table, weather, ["temperature_2m"], spec), {"temperature_2m": 0.0})
+        table = _regular(demand, spec).withColumn("temperature_2m", F.lit(0.0))
+    else:
+        table = constant_fill(_left_filled(demand, weather, spec, "temperature_2m"), {"temperature_2m": 0.0})
+    return add_weekend(table, flags).select("series_id", "ts", "pos", "n", "is_weekend", "temperature_2m")
 
 
 def feature_matrix(
-    regular: DataFrame,
+    demand: DataFrame,
     weather: DataFrame | None,
     spec: Spec,
     days: int | None = 90,
@@ -60,30 +114,41 @@ def feature_matrix(
 ) -> DataFrame:
     """Complete rows of demand, weekend and weather, optionally with calendar columns.
 
-    Only stamps that have weather stay. Without weather the measures are 0.0. Rows are
-    numbered again (``pos``, ``n``) because the join may drop some.
+    Only stamps inside the weather stay, at most ``days`` before the last demand. Without
+    weather the measures are 0.0. What stays has no gaps, so ``pos`` and ``n`` follow
+    from its first and last slot.
     """
-    recent = regular if days is None else recent_days(regular, days, spec)
-    table = add_weekend(recent, flags).withColumnRenamed("value", "demand")
-    table = table.select("series_id", "ts", "demand", "is_weekend")
+    back = None if days is None else days * 86400 // spec.step
     if weather is None:
-        table = table.withColumns({m: F.lit(0.0) for m in measures})
+        regular = _regular(demand, spec)
+        lo = F.lit(0).cast("bigint") if back is None else F.greatest(F.lit(0), F.col("n") - 1 - back)
+        table = regular.where(F.col("pos") >= lo).select(
+            "series_id", "ts", (F.col("pos") - lo).alias("pos"), (F.col("n") - lo).alias("n"), "value",
+            *[F.lit(0.0).alias(m) for m in measures],
+        )
     else:
-        table = table.join(weather.select("series_id", "ts", *measures), ["series_id", "ts"])
-        for m in measures:
-            table = table.where(F.col(m).isNotNull())
-    numbered = with_position(
-        table.withColumn("_slot", slot_of("ts", spec.step)), at="_slot", span=spec.chunk
-    ).drop("_slot")
-    return numbered.withColumns(calendar_columns(F.col("ts"))) if calendar else numbered
-
-
-def future_covariates(regular: DataFrame, exog: DataFrame, spec: Spec, steps: int) -> DataFrame:
-    """Weekend from the calendar and temperature a year ago, a week ago, or on average."""
-    ahead = future_index(regular, spec, steps)
-    temperature = asof_fallback(ahead.select("series_id", "ts"), exog, "temperature_2m", spec)
-    return (
-        ahead.join(temperature, ["series_id", "ts"], "left")
-        .withColumn("is_weekend", is_weekend(F.col("ts")).cast("double"))
-        .withColumn("temperature_2m", F.coalesce("temperature_2m", F.lit(0.0)))
-    )
+        near = _merged(demand, weather, spec, measures)
+        starts = [F.col("value_first_at"), *[F.col(f"{m}_first_at") for m in measures]]
+        # greatest() skips NULL, so series that lack a column altogether go first.
+        for start in starts:
+            near = near.where(start.isNotNull())
+        if back is not None:
+            starts.append(F.col("value_last_at") - back)
+        lo, hi = F.greatest(*starts), F.least("value_last_at", "_weather_last_at")
+        values = {c: filled_value(c, "linear") for c in ("value", *measures)}
+        table = _grid(near, lo, hi, spec, values)
+    table = add_weekend(table, flags).withColumnRenamed("value", "demand")
+    table = table.select("series_id", "ts", "demand", "is_weekend", *measures, "pos", "n")
+    return table.withColumns(calendar_columns(F.col("ts"))) if calendar else table
+
+
+def future_covariates(exog: DataFrame, spec: Spec, steps: int) -> DataFrame:
+    """Weekend from the calendar and temperature a year ago, a week ago, or on average.
+
+    Covers the ``steps`` stamps behind ``exog``; temperature is 0.0 if it has none.
+    """
+    if "temperature_2m" not in exog.columns:
+        exog = exog.withColumn("temperature_2m", F.lit(0.0))
+    ahead = lag_fallback(exog, "temperature_2m", spec, steps)
+    weekend = is_weekend(F.col("ts")).cast("double")
+    return ahead.select("series_id", "h", "ts", weekend.alias("is_weekend"), "temperature_2m")

@@ -137,17 +137,19 @@ def ar_fit(
     ordered = series.orderBy("pos")
     centred = tail.withColumn("level", F.avg("value").over(series)).withColumn("y", F.col("value") - F.col("level"))
     rows = centred.select(
-        "series_id", "pos", "n", "level", "y", *exog_cols, last_ts(spec).alias("_last"),
+        "series_id", "level", "y", *exog_cols, last_ts(spec).alias("_last"),
         *[F.lag("y", k).over(ordered).alias(f"lag{k}") for k in lags],
-    )
-    full = F.col(f"lag{lags[-1]}").isNotNull()
+    ).where(F.col(f"lag{lags[-1]}").isNotNull())
     z = [F.lit(1.0), *[F.col(f"lag{k}") for k in lags], *[F.col(c) for c in exog_cols], F.col("y")]
-    products = [F.sum(F.when(full, z[i] * z[j])) for i in range(len(z)) for j in range(i, len(z))]
-    recent = F.collect_list(F.when(F.col("pos") >= F.col("n") - lags[-1], F.struct("pos", "y")))
-    sums = rows.groupBy("series_id", "_last", "level").agg(
-        F.count_if(full).alias("m"), F.array(*products).alias("gram"), F.sort_array(recent).alias("recent")
+    products = [F.sum(z[i] * z[j]) for i in range(len(z)) for j in range(i, len(z))]
+    # Plain sums and the list are aggregated apart: a list would take the sums off the
+    # generated hash aggregation.
+    sums = rows.groupBy("series_id", "_last", "level").agg(F.count(F.lit(1)).alias("m"), F.array(*products).alias("gram"))
+    recent = tail.where(F.col("pos") >= F.col("n") - lags[-1]).groupBy("series_id").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("recent")
     )
-    return sums.withColumn("recent", F.transform("recent", lambda r: r["y"])).where("m > 0"), lags
+    recent = recent.select("series_id", F.transform("recent", lambda r: r["value"]).alias("recent"))
+    return sums.join(recent, "series_id"), lags
 
 
 def ar_forecast(
@@ -210,7 +212,7 @@ def ar_forecast(
             depth = lags[-1]
             path = np.zeros((size, depth + steps))
             impulse = np.zeros((size, depth + steps))
-            path[:, :depth] = np.stack(pdf["recent"].to_numpy())
+            path[:, :depth] = np.stack(pdf["recent"].to_numpy()) - pdf["level"].to_numpy()[:, None]
             impulse[:, depth] = 1.0
             fut = np.stack(pdf["future"].to_numpy()).reshape(size, steps, n_exog) if n_exog else None
             lag_coef = coef[:, 1 : 1 + len(lags)]

@@ -106,7 +106,7 @@ def fill_grid(
     near = with_neighbours(bins.select("series_id", "slot", *cols), cols, at="slot", span=spec.chunk)
     stop = F.coalesce(F.col("next_at") - 1, F.col("slot"))
     grid = explode_slots(near, F.col("slot"), stop, spec.chunk, "at")
-    filled = [_fill(c, how).alias(c) for c in cols]
+    filled = [filled_value(c, how).alias(c) for c in cols]
     return grid.select(
         "series_id",
         slot_start("at", spec.step).alias("ts"),
@@ -117,7 +117,8 @@ def fill_grid(
     )
 
 
-def _fill(c: str, how: str) -> Column:
+def filled_value(c: str, how: str) -> Column:
+    """Value of column ``c`` at slot ``at``, from the neighbours of row ``slot``."""
     prev, prev_at = F.col(f"{c}_prev"), F.col(f"{c}_prev_at")
     if how == "ffill":
         return prev
@@ -133,14 +134,18 @@ def _fill(c: str, how: str) -> Column:
     return F.when((F.col("at") == prev_at) | next_at.isNull(), prev).otherwise(line)
 
 
+def clean_bins(raw: DataFrame, spec: Spec) -> DataFrame:
+    """Usable readings, duplicates merged, averaged per slot."""
+    return slot_means(dedup_mean(drop_missing(raw, ["ts", "value"])), spec)
+
+
 def regularise(raw: DataFrame, spec: Spec) -> DataFrame:
     """Clean, deduplicate, bin and interpolate ``(series_id, ts, value)`` for every series.
 
     The first and the last bin of a series hold readings by construction, so edge
     fills have nothing to do and interpolation completes the grid.
     """
-    clean = dedup_mean(drop_missing(raw, ["ts", "value"]))
-    return fill_grid(slot_means(clean, spec), spec)
+    return fill_grid(clean_bins(raw, spec), spec)
 
 
 def regularise_flags(raw: DataFrame, spec: Spec, flag: str = "is_weekend", order: str = "ingest_order") -> DataFrame:

@@ -149,7 +149,15 @@ def half_weather(spark: SparkSession, sf_dir: str, cols: Sequence[str] = ("tempe
 
 
 def half_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.feature_matrix(half_regular(spark, sf_dir), half_weather(spark, sf_dir), HALF)
+    return features.feature_matrix(readings(spark, sf_dir), hourly_weather(spark, sf_dir), HALF)
+
+
+def half_covariates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.covariates(readings(spark, sf_dir), hourly_weather(spark, sf_dir), HALF)
+
+
+def half_exog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.exog_matrix(readings(spark, sf_dir), hourly_weather(spark, sf_dir), HALF)
 
 
 def sparse_weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -483,8 +491,16 @@ def align_inner(spark, sf_dir):
 
 @query
 def align_left_fill(spark, sf_dir):
-    table = features.covariates(half_regular(spark, sf_dir), half_weather(spark, sf_dir), HALF)
-    return rounded(table.select("series_id", "ts", "is_weekend", "temperature_2m"))
+    """Upsampled temperature joined to all demand rows, then interpolated and padded."""
+    demand = half_regular(spark, sf_dir).select("series_id", "ts")
+    table = align.align_left_fill(demand, half_weather(spark, sf_dir), ["temperature_2m"], HALF)
+    return rounded(features.add_weekend(table).select("series_id", "ts", "is_weekend", "temperature_2m"))
+
+
+@query
+def covariates(spark, sf_dir):
+    """The same table from demand and weather filled in one pass."""
+    return rounded(half_covariates(spark, sf_dir).select("series_id", "ts", "is_weekend", "temperature_2m"))
 
 
 @query
@@ -494,18 +510,17 @@ def feature_matrix(spark, sf_dir):
 
 @query
 def feature_matrix_calendar(spark, sf_dir):
-    weather = half_weather(spark, sf_dir, ("temperature_2m", "relative_humidity_2m"))
+    measures = ("temperature_2m", "relative_humidity_2m")
     return rounded(
         features.feature_matrix(
-            half_regular(spark, sf_dir), weather, HALF, days=120,
-            measures=("temperature_2m", "relative_humidity_2m"), calendar=True,
+            readings(spark, sf_dir), hourly_weather(spark, sf_dir), HALF, days=120, measures=measures, calendar=True
         )
     )
 
 
 @query
 def exog_matrix(spark, sf_dir):
-    return rounded(features.exog_matrix(half_regular(spark, sf_dir), half_weather(spark, sf_dir), HALF))
+    return rounded(half_exog(spark, sf_dir))
 
 
 @query
@@ -523,21 +538,31 @@ def asof_fallback(spark, sf_dir):
 
 @query
 def future_covariates(spark, sf_dir):
-    regular = half_regular(spark, sf_dir)
-    exog = features.exog_matrix(regular, half_weather(spark, sf_dir), HALF)
-    return rounded(features.future_covariates(regular, exog, HALF, HALF.horizon))
+    return rounded(features.future_covariates(half_exog(spark, sf_dir), HALF, HALF.horizon))
+
+
+@query
+def future_by_lag(spark, sf_dir):
+    """A year ago, a week ago or the mean, found by position in a gapless table."""
+    return rounded(align.lag_fallback(price_daily(spark, sf_dir), "value", DAILY, DAILY.horizon), 3)
+
+
+@query
+def future_by_lag_users(spark, sf_dir):
+    """Series of a month: lags behind their start fall through to the next lag and the mean."""
+    return rounded(align.lag_fallback(user_daily(spark, sf_dir), "value", DAILY, DAILY.horizon, lags_days=(28, 7)))
 
 
 @query
 def weekly_cycle_covariates(spark, sf_dir):
-    table = features.covariates(half_regular(spark, sf_dir), half_weather(spark, sf_dir), HALF)
+    table = half_covariates(spark, sf_dir)
     return rounded(align.weekly_cycle(table, ["is_weekend", "temperature_2m"], HALF, HALF.validation_steps + HALF.horizon))
 
 
 @query
 def history_plus_future(spark, sf_dir):
     cols = ["is_weekend", "temperature_2m"]
-    table = features.covariates(half_regular(spark, sf_dir), half_weather(spark, sf_dir), HALF)
+    table = half_covariates(spark, sf_dir)
     ahead = align.weekly_cycle(table, cols, HALF, HALF.horizon)
     return rounded(table.select("series_id", "ts", *cols).unionByName(ahead.select("series_id", "ts", *cols)))
 
@@ -682,16 +707,15 @@ def fc_ar_p(spark, sf_dir):
 @query
 def fc_ar_exog(spark, sf_dir):
     cols = ["is_weekend", "temperature_2m"]
-    regular = half_regular(spark, sf_dir)
-    exog = features.exog_matrix(regular, half_weather(spark, sf_dir), HALF)
-    ahead = features.future_covariates(regular, exog, HALF, HALF.horizon)
+    exog = half_exog(spark, sf_dir)
+    ahead = features.future_covariates(exog, HALF, HALF.horizon)
     history = exog.withColumnRenamed("demand", "value")
     return rounded(regression.ar_forecast(history, HALF, max_p=3, exog_cols=cols, future=ahead, model="ar_exog"))
 
 
 @query
 def fc_lag_recursive(spark, sf_dir):
-    return rounded(regression.lag_recursive(half_regular(spark, sf_dir), half_weather(spark, sf_dir), HALF))
+    return rounded(regression.lag_recursive(half_regular(spark, sf_dir), hourly_weather(spark, sf_dir), HALF))
 
 
 @query

@@ -407,6 +407,7 @@ def _queries() -> dict[str, str]:
         "SELECT series_id, r.ts, round(r.value + 1e-9, 6) AS value, round(w.temperature_2m + 1e-9, 6) AS temperature_2m FROM reg r JOIN wx w USING (series_id, ts)", *HALF, *weather()
     )
     q["align_left_fill"] = sql("SELECT series_id, ts, is_weekend, round(temperature_2m + 1e-9, 6) AS temperature_2m FROM cov", *LEFT_FILLED)
+    q["covariates"] = q["align_left_fill"]
     q["feature_matrix"] = sql(f"SELECT series_id, ts, {r6('demand')}, is_weekend, {r6('temperature_2m')}, pos, n FROM feat", *FEATURES)
     q["feature_matrix_calendar"] = sql(
         f"""SELECT series_id, ts, {r6('demand', 'temperature_2m', 'relative_humidity_2m')}, is_weekend, pos, n, round(hd + 1e-9, 6) AS hour_of_day,
@@ -438,6 +439,15 @@ def _queries() -> dict[str, str]:
   JOIN (SELECT series_id, avg(temperature_2m) AS value FROM cov GROUP BY 1) m ON m.series_id = f.series_id""",
         *LEFT_FILLED, future("reg", "half", 96),
     )
+    for name, chain, lags, digits in (("future_by_lag", PRICE_DAYS, (365, 7), "1e-6, 3"), ("future_by_lag_users", USER_DAYS, (28, 7), "1e-9, 6")):
+        q[name] = sql(
+            f"""SELECT f.series_id, f.h, f.ts, round(coalesce(y.value, w.value, m.value) + {digits}) AS value
+  FROM (SELECT *, ts - INTERVAL {lags[0]} DAY AS ty, ts - INTERVAL {lags[1]} DAY AS tw FROM fut) f
+  ASOF LEFT JOIN reg y ON f.series_id = y.series_id AND f.ty >= y.ts
+  ASOF LEFT JOIN reg w ON f.series_id = w.series_id AND f.tw >= w.ts
+  JOIN (SELECT series_id, avg(value) AS value FROM reg GROUP BY 1) m ON m.series_id = f.series_id""",
+            *chain, future("reg", "day", 14),
+        )
     q["weekly_cycle_covariates"] = sql("SELECT series_id, h, ts, is_weekend, round(temperature_2m + 1e-9, 6) AS temperature_2m FROM ahead", *LEFT_FILLED, *weekly(432))
     q["history_plus_future"] = sql(
         """SELECT series_id, ts, is_weekend, round(temperature_2m + 1e-9, 6) AS temperature_2m FROM cov UNION ALL
