@@ -34,6 +34,30 @@ def _split(df: DataFrame, by: Sequence[str], at: str, span: int) -> DataFrame:
     return df.withColumn(CHUNK, chunk).repartition(*by, CHUNK)
 
 
+def _presence(df: DataFrame, by: Sequence[str], at: str) -> list[Column]:
+    """Per chunk and column: whether any row has a value. See ``_join_edges``."""
+    return [F.max(F.col(c).isNotNull()).alias(f"_some_{c}") for c in df.columns if c not in (*by, at)]
+
+
+def _join_edges(inside: DataFrame, edges: DataFrame, df: DataFrame, by: Sequence[str], at: str) -> DataFrame:
+    """Join rows with the edges of their chunk.
+
+    The condition "a row with a value implies a chunk with a value" always holds. It
+    makes both branches read the same columns, whatever the caller uses of the result.
+    Otherwise Spark prunes them differently, the shuffles are no longer equal, and
+    everything before them, scans included, runs twice.
+    """
+    keys = [*by, CHUNK]
+    edges = edges.withColumnsRenamed({k: f"_edge_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_edge_{k}"))
+    for c in df.columns:
+        if c not in (*by, at):
+            on = on & (F.col(c).isNull() | F.col(f"_some_{c}"))
+    return inside.join(edges, on)
+
+
 def _ignore_nulls(fn: str, col: str, by: Sequence[str], order: Sequence[str]) -> Column:
     keys = ", ".join(f"`{c}`" for c in by)
     rank = ", ".join(f"`{c}`" for c in order)
@@ -65,7 +89,7 @@ def with_neighbours(
     parts = _split(df, by, at, span)
 
     # Edges: one row per chunk, then a window over the chunks of a series.
-    aggs = [F.min(at).alias("_lo"), F.max(at).alias("_hi")]
+    aggs = [F.min(at).alias("_lo"), F.max(at).alias("_hi"), *_presence(df, by, at)]
     for c in cols:
         spot = F.when(F.col(c).isNotNull(), F.col(at))
         aggs += [F.max_by(c, spot).alias(f"_{c}_hi"), F.max(spot).alias(f"_{c}_hi_at")]
@@ -88,7 +112,7 @@ def with_neighbours(
             picks.append(_ignore_nulls("lag", f"_{c}_hi{part}", by, [CHUNK]).alias(f"_{c}_before{part}"))
             if forward:
                 picks.append(_ignore_nulls("lead", f"_{c}_lo{part}", by, [CHUNK]).alias(f"_{c}_after{part}"))
-    edges = edges.select(*chunk, *picks)
+    edges = edges.select(*chunk, *[c for c in edges.columns if c.startswith("_some_")], *picks)
 
     # Inside the chunks: one sort serves every function.
     order = [at, *tie]
@@ -121,7 +145,7 @@ def with_neighbours(
             # A null spot decides; the value of a found spot is never null.
             for part in ("", "_at"):
                 out.append(F.coalesce(f"_{c}_{here}{part}", f"_{c}_{there}{part}").alias(f"{c}_{side}{part}"))
-    return inside.join(edges, chunk).select(*out)
+    return _join_edges(inside, edges, df, by, at).select(*out)
 
 
 def with_position(
@@ -130,20 +154,20 @@ def with_position(
     """Add ``pos`` (0-based row number in ``at`` order) and ``n`` (rows of the series)."""
     by = list(by)
     chunk = [*by, CHUNK]
+    df = df.drop("pos", "n")
     parts = _split(df, by, at, span)
-    sizes = parts.groupBy(*chunk).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = parts.groupBy(*chunk).agg(F.count(F.lit(1)).alias("_rows"), *_presence(df, by, at))
     before = W.partitionBy(*by).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
         *chunk,
+        *[c for c in sizes.columns if c.startswith("_some_")],
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
         F.sum("_rows").over(W.partitionBy(*by)).alias("n"),
     )
     rank = F.row_number().over(W.partitionBy(*chunk).orderBy(at))
-    keep = [c for c in df.columns if c not in ("pos", "n")]
-    return (
-        parts.drop("pos", "n").withColumn("_rank", rank)
-        .join(offsets, chunk)
-        .select(*keep, (F.col("_offset") + F.col("_rank") - 1).alias("pos"), "n")
+    inside = parts.withColumn("_rank", rank)
+    return _join_edges(inside, offsets, df, by, at).select(
+        *df.columns, (F.col("_offset") + F.col("_rank") - 1).alias("pos"), "n"
     )
 
 

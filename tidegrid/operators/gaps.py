@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidegrid.functions.timegrid import ceil_slot, on_grid, slot_of, slot_start
+from tidegrid.functions.timegrid import on_grid, slot_of, slot_start
 from tidegrid.operators.chunked import explode_slots, with_neighbours
 from tidegrid.operators.regularise import drop_missing
 from tidegrid.spec import Spec
@@ -17,33 +17,39 @@ def _blocks(raw: DataFrame, spec: Spec, mode: str) -> DataFrame:
 
     ``exact``: only a stamp that is exactly on the grid covers its slot, and the grid
     runs from the floor of the first to the ceiling of the last stamp. ``bin``: any
-    reading inside a bin covers it.
+    reading inside a bin covers it, and the grid ends with the last bin.
 
-    Runs are read off the distance between consecutive covered slots. The grid itself
-    is never built; one mark just outside each end stands for its borders.
+    Runs are read off the distance from one covered slot to the next, in one pass over
+    the slots that have readings. The grid itself is never built.
     """
     if mode not in ("exact", "bin"):
         raise ValueError(f"unknown gap mode: {mode}")
     exact = mode == "exact"
-    readings = drop_missing(raw, ["ts", "value"]).select(
-        "series_id",
-        slot_of("ts", spec.step).alias("slot"),
-        (ceil_slot("ts", spec.step) if exact else slot_of("ts", spec.step)).alias("upper"),
-        (on_grid("ts", spec.step) if exact else F.lit(True)).alias("covers"),
-    )
-    seen = readings.groupBy("series_id", "slot").agg(
-        F.max("upper").alias("upper"), F.max("covers").alias("covers")
-    )
-    borders = seen.groupBy("series_id").agg(
-        F.array(F.min("slot") - 1, F.max("upper") + 1).alias("ends")
-    )
-    marks = seen.where("covers").select("series_id", "slot").unionByName(
-        borders.select("series_id", F.explode("ends").alias("slot"))
+    slot = slot_of("ts", spec.step)
+    whole = on_grid("ts", spec.step)
+    seen = (
+        drop_missing(raw, ["ts", "value"])
+        .groupBy("series_id", slot.alias("slot"))
+        .agg(F.max(whole).alias("whole"), F.min(whole).alias("only_whole"))
+        .select(
+            "series_id",
+            "slot",
+            (F.when(F.col("whole"), F.col("slot")) if exact else F.col("slot")).alias("covered"),
+            # A reading inside the last slot moves the end of the grid to the slot after it.
+            (F.when(~F.col("only_whole"), F.lit(1)) if exact else F.lit(None).cast("int")).alias("inside"),
+        )
     )
-    near = with_neighbours(marks, [], at="slot", span=spec.chunk)
-    return near.where("next_at - slot > 1").select(
-        "series_id", (F.col("slot") + 1).alias("lo"), (F.col("next_at") - 1).alias("hi")
+    near = with_neighbours(seen, ["covered", "inside"], at="slot", span=spec.chunk, extent=True)
+    beyond = F.coalesce(F.col("inside_last_at") == F.col("last_at"), F.lit(False)).cast("bigint")
+    end = F.col("last_at") + beyond
+    # The first row answers for the slots before the first covered one, each covered row
+    # for those behind it.
+    leading = F.struct(F.col("slot").alias("lo"), F.coalesce(F.col("covered_first_at") - 1, end).alias("hi"))
+    behind = F.struct((F.col("slot") + 1).alias("lo"), F.coalesce(F.col("covered_next_at") - 1, end).alias("hi"))
+    runs = F.array(
+        F.when(F.col("slot") == F.col("first_at"), leading), F.when(F.col("covered").isNotNull(), behind)
     )
+    return near.select("series_id", F.explode(runs).alias("run")).select("series_id", "run.lo", "run.hi").where("lo <= hi")
 
 
 def missing_blocks(raw: DataFrame, spec: Spec, mode: str = "exact") -> DataFrame:
