@@ -332,24 +332,8 @@ def lag_recursive(
 # --- direct multi-step regression ----------------------------------------------------
 
 
-def _horizon_rows(window: str, steps: int, lookback: int, period: int, with_target: bool) -> Column:
-    """Per horizon step: last value, same slot one season ago, same slot a week ago, target."""
-    week = 7 * period
-
-    def row(h: Column) -> Column:
-        seasons = F.ceil(h / F.lit(period)).cast("int")
-        weeks = F.ceil(h / F.lit(week)).cast("int")
-        parts = [
-            h.alias("h"),
-            F.element_at(window, F.lit(lookback)).alias("x1"),
-            F.element_at(window, (F.lit(lookback) + h - seasons * period).cast("int")).alias("x2"),
-            F.element_at(window, (F.lit(lookback) + h - weeks * week).cast("int")).alias("x3"),
-        ]
-        if with_target:
-            parts.append(F.element_at(window, F.lit(lookback) + h).alias("y"))
-        return F.struct(*parts)
-
-    return F.transform(F.sequence(F.lit(1), F.lit(steps)), row)
+def _ceil_div(a: Column, b: int) -> Column:
+    return F.ceil(a / F.lit(b)).cast("int")
 
 
 def direct_horizon(
@@ -363,26 +347,47 @@ def direct_horizon(
 ) -> DataFrame:
     """All steps at once: one linear model per horizon step, shared by all series.
 
-    Values are scaled per series. Every complete window is a sample, the first ``share``
-    of each series trains. The fit needs only sums of products per step, so the number
-    of rows that leave the map side does not grow with the data.
+    Step h is predicted from the last value, the value of the same slot in the last season
+    known at the origin, and that of the last week. Values are scaled per series. Every
+    origin with a complete lookback and horizon is a sample, the first ``share`` of each
+    series trains. The fit needs only sums of products per step, so the number of rows
+    that leave the map side does not grow with the data.
     """
     steps = spec.horizon if steps is None else steps
-    # The oldest value any step reads is one week of steps before its target.
-    lookback = max(lookback or 0, 7 * spec.period, steps)
+    period, week = spec.period, 7 * spec.period
+    seasons, weeks = -(-steps // period), -(-steps // week)
+    # The oldest value any step reads lies one week of steps before its target.
+    lookback = max(lookback or 0, week, steps)
     scaler = minmax_fit(regular, ["value"])
     scaled = minmax_transform(regular.where(F.col("n") >= lookback), scaler, ["value"])
+    # Seen from the target, the seasonal columns are a few fixed lags. Only the last value
+    # before the origin needs an array, of ``steps`` rows.
+    frames = {"past": lambda w: F.collect_list("value").over(w.rowsBetween(-steps, -1))}
+    for i in range(1, seasons + 1):
+        frames[f"_season{i}"] = lambda w, k=i * period: F.lag("value", k).over(w)
+    for i in range(1, weeks + 1):
+        frames[f"_week{i}"] = lambda w, k=i * week: F.lag("value", k).over(w)
     rows = scaled.select("series_id", "pos", "n", "value")
-    framed = with_halo(
-        rows,
-        lookback - 1,
-        steps,
-        {"window": lambda w: F.collect_list("value").over(w.rowsBetween(-(lookback - 1), steps))},
-        span=spec.chunk,
-    ).where(F.size("window") == lookback + steps)
-    count = F.col("n") - lookback - steps + 1
-    origins = framed.where(F.col("pos") - (lookback - 1) < F.floor(F.lit(share) * count))
-    pairs = origins.select(F.inline(_horizon_rows("window", steps, lookback, spec.period, True)))
+    targets = with_halo(rows, max(steps, seasons * period, weeks * week), 0, frames, span=spec.chunk)
+    # Training origins are first, first + 1, ..., first + train - 1.
+    first = F.lit(lookback - 1)
+    train = F.floor(F.lit(share) * (F.col("n") - lookback - steps + 1))
+    nearest = F.greatest(F.lit(1), F.col("pos") - first - train + 1).cast("int")
+    farthest = F.least(F.lit(steps), F.col("pos") - first).cast("int")
+    season_values = F.array(*[f"_season{i}" for i in range(1, seasons + 1)])
+    week_values = F.array(*[f"_week{i}" for i in range(1, weeks + 1)])
+
+    def pair(h: Column) -> Column:
+        return F.struct(
+            h.alias("h"),
+            F.element_at("past", -h).alias("x1"),
+            F.element_at(season_values, _ceil_div(h, period)).alias("x2"),
+            F.element_at(week_values, _ceil_div(h, week)).alias("x3"),
+            F.col("value").alias("y"),
+        )
+
+    served = targets.where((train > 0) & (nearest <= farthest))
+    pairs = served.select(F.inline(F.transform(F.sequence(nearest, farthest), pair)))
     z = [F.lit(1.0), F.col("x1"), F.col("x2"), F.col("x3"), F.col("y")]
     products = [F.sum(z[i] * z[j]) for i in range(5) for j in range(i, 5)]
     sums = pairs.groupBy("h").agg(F.array(*products).alias("gram"))
@@ -404,10 +409,17 @@ def direct_horizon(
     state = newest.groupBy("series_id", "value_min", "value_max").agg(
         F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_past"), F.max("ts").alias("_last")
     ).withColumn("window", F.transform("_past", lambda r: r["value"]))
-    asked = state.select(
-        "series_id", "_last", "value_min", "value_max",
-        F.inline(_horizon_rows("window", steps, lookback, spec.period, False)),
-    )
+
+    def ask(h: Column) -> Column:
+        def back(length: int) -> Column:
+            return F.element_at("window", (F.lit(lookback) + h - _ceil_div(h, length) * length).cast("int"))
+
+        return F.struct(
+            h.alias("h"), F.element_at("window", lookback).alias("x1"), back(period).alias("x2"), back(week).alias("x3")
+        )
+
+    horizon = F.sequence(F.lit(1), F.lit(steps))
+    asked = state.select("series_id", "_last", "value_min", "value_max", F.inline(F.transform(horizon, ask)))
     # One row per horizon step: its size is fixed by ``steps``.
     solved = asked.join(F.broadcast(coef), "h")
     z_hat = F.col("b0") + F.col("b1") * F.col("x1") + F.col("b2") * F.col("x2") + F.col("b3") * F.col("x3")
