@@ -13,7 +13,7 @@ from tidegrid.operators.chunked import with_position
 from tidegrid.spec import Spec
 
 RELAXED = settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow]
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow]
 )
 # Minutes after the start and values; collisions and long gaps are likely.
 READINGS = st.lists(
@@ -49,6 +49,17 @@ def test_regularise_equals_pandas(spark, rows, chunk):
         assert list(got["pos"]) == list(range(len(want))) and set(got["n"]) == {len(want)}
 
 
+@RELAXED
+@given(rows=READINGS, chunk=st.sampled_from([1, 3, 4096]), tail=st.integers(1, 60))
+def test_tail_equals_the_end_of_the_whole(spark, rows, chunk, tail):
+    spec = Spec(chunk=chunk)
+    _, df = frame(spark, rows)
+    order = ["series_id", "ts"]
+    whole = regularise.regularise(df, spec).where(F.col("pos") >= F.col("n") - tail).toPandas().sort_values(order)
+    newest = regularise.regularise(df, spec, tail).toPandas().sort_values(order)
+    pd.testing.assert_frame_equal(whole.reset_index(drop=True), newest.reset_index(drop=True))
+
+
 @RELAXED
 @given(rows=READINGS, chunk=st.sampled_from([2, 5, 4096]))
 def test_fills_equal_pandas(spark, rows, chunk):

@@ -70,6 +70,11 @@ def baseline_models(spec: Spec) -> dict[str, Forecaster]:
     }
 
 
+def baseline_tail(spec: Spec) -> int:
+    """Newest rows the baselines and their hold-out scores read."""
+    return spec.validation_steps + max(spec.k_days, 1) * spec.period
+
+
 def holdout_forecasts(regular: DataFrame, models: Mapping[str, Forecaster], spec: Spec) -> DataFrame:
     """Forecasts of the validation days from the rows before them, all series and models."""
     train = training_part(regular, spec)

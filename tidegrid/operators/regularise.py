@@ -95,6 +95,7 @@ def fill_grid(
     spec: Spec,
     cols: Sequence[str] = ("value",),
     how: str = "linear",
+    tail: int | None = None,
 ) -> DataFrame:
     """Put rows ``(series_id, slot, cols)`` on their full grid and fill the gaps.
 
@@ -102,10 +103,12 @@ def fill_grid(
     value behind the last reading; ``ffill`` repeats the last value; ``pad`` does so and
     takes the next value for a leading gap; ``none`` leaves empty bins NULL. Each row produces the grid rows up to the next one, so no grid
     table and no join with it is needed. ``bins`` has one row per series and slot.
+    ``tail`` produces only the last rows of each series; ``pos`` and ``n`` still count all.
     """
     near = with_neighbours(bins.select("series_id", "slot", *cols), cols, at="slot", span=spec.chunk)
     stop = F.coalesce(F.col("next_at") - 1, F.col("slot"))
-    grid = explode_slots(near, F.col("slot"), stop, spec.chunk, "at")
+    start = F.col("slot") if tail is None else F.greatest("slot", F.col("last_at") - (tail - 1))
+    grid = explode_slots(near, start, stop, spec.chunk, "at")
     filled = [filled_value(c, how).alias(c) for c in cols]
     return grid.select(
         "series_id",
@@ -139,13 +142,15 @@ def clean_bins(raw: DataFrame, spec: Spec) -> DataFrame:
     return slot_means(dedup_mean(drop_missing(raw, ["ts", "value"])), spec)
 
 
-def regularise(raw: DataFrame, spec: Spec) -> DataFrame:
+def regularise(raw: DataFrame, spec: Spec, tail: int | None = None) -> DataFrame:
     """Clean, deduplicate, bin and interpolate ``(series_id, ts, value)`` for every series.
 
     The first and the last bin of a series hold readings by construction, so edge
-    fills have nothing to do and interpolation completes the grid.
+    fills have nothing to do and interpolation completes the grid. A consumer that reads
+    only the newest rows (baselines, hold-out scores) names their number as ``tail``: the
+    long history is then reduced to bins but never expanded to grid rows.
     """
-    return fill_grid(clean_bins(raw, spec), spec)
+    return fill_grid(clean_bins(raw, spec), spec, tail=tail)
 
 
 def regularise_flags(raw: DataFrame, spec: Spec, flag: str = "is_weekend", order: str = "ingest_order") -> DataFrame:

@@ -132,10 +132,18 @@ def half_regular(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regularise.regularise(readings(spark, sf_dir), HALF)
 
 
+def half_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regularise.regularise(readings(spark, sf_dir), HALF, tail=evaluate.baseline_tail(HALF))
+
+
 def user_regular(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regularise.regularise(user_readings(spark, sf_dir), HOURLY)
 
 
+def user_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regularise.regularise(user_readings(spark, sf_dir), HOURLY, tail=evaluate.baseline_tail(HOURLY))
+
+
 def user_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regularise.regularise(user_readings(spark, sf_dir), DAILY)
 
@@ -231,7 +239,7 @@ def forecast_output_table(spark, sf_dir):
 @query
 def metrics_report_lines(spark, sf_dir):
     models = evaluate.baseline_models(HALF)
-    scores = evaluate.backtest_holdout(half_regular(spark, sf_dir), models, HALF)
+    scores = evaluate.backtest_holdout(half_newest(spark, sf_dir), models, HALF)
     return sinks.report_lines(evaluate.compare_models(scores, list(models)), list(models))
 
 
@@ -296,7 +304,7 @@ def recent_days_raw(spark, sf_dir):
 
 @query
 def tail_n(spark, sf_dir):
-    tail = select.tail_n(half_regular(spark, sf_dir), 14 * HALF.period)
+    tail = select.tail_n(half_newest(spark, sf_dir), 14 * HALF.period)
     return rounded(tail.select("series_id", "ts", "value"))
 
 
@@ -577,7 +585,7 @@ def common_stamps(spark, sf_dir):
 
 @query
 def slot_means(spark, sf_dir):
-    return rounded(baseline.slot_averages(half_regular(spark, sf_dir), HALF, HALF.k_days))
+    return rounded(baseline.slot_averages(half_newest(spark, sf_dir), HALF, HALF.k_days))
 
 
 @query
@@ -587,18 +595,18 @@ def series_profile(spark, sf_dir):
 
 @query
 def forecast_summary(spark, sf_dir):
-    return rounded(evaluate.forecast_summary(two_baselines(user_regular(spark, sf_dir), HOURLY)))
+    return rounded(evaluate.forecast_summary(two_baselines(user_newest(spark, sf_dir), HOURLY)))
 
 
 @query
 def seasonal_lag(spark, sf_dir):
-    lags = windows.seasonal_lags(half_regular(spark, sf_dir), HALF)
+    lags = windows.seasonal_lags(half_newest(spark, sf_dir), HALF)
     return rounded(lags.select("series_id", "ts", "value", "lag_value"))
 
 
 @query
 def seasonal_lag_mean(spark, sf_dir):
-    lags = windows.seasonal_lags(half_regular(spark, sf_dir), HALF)
+    lags = windows.seasonal_lags(half_newest(spark, sf_dir), HALF)
     return rounded(lags.select("series_id", "ts", "value", "lag_mean"))
 
 
@@ -674,12 +682,12 @@ def minmax_inverse(spark, sf_dir):
 
 @query
 def fc_seasonal_naive(spark, sf_dir):
-    return rounded(baseline.seasonal_naive(half_regular(spark, sf_dir), HALF))
+    return rounded(baseline.seasonal_naive(half_newest(spark, sf_dir), HALF))
 
 
 @query
 def fc_kday_average(spark, sf_dir):
-    return rounded(baseline.seasonal_naive(half_regular(spark, sf_dir), HALF, k=HALF.k_days, model="kday_average"))
+    return rounded(baseline.seasonal_naive(half_newest(spark, sf_dir), HALF, k=HALF.k_days, model="kday_average"))
 
 
 @query
@@ -691,7 +699,7 @@ def fc_persistence(spark, sf_dir):
 
 @query
 def future_index(spark, sf_dir):
-    return baseline.future_index(user_regular(spark, sf_dir), HOURLY, HOURLY.horizon)
+    return baseline.future_index(user_newest(spark, sf_dir), HOURLY, HOURLY.horizon)
 
 
 @query
@@ -730,7 +738,7 @@ def seasonal_decompose(spark, sf_dir):
 
 @query
 def fc_ensemble_mean(spark, sf_dir):
-    return rounded(baseline.ensemble_mean(two_baselines(half_regular(spark, sf_dir), HALF)))
+    return rounded(baseline.ensemble_mean(two_baselines(half_newest(spark, sf_dir), HALF)))
 
 
 @query
@@ -743,7 +751,7 @@ def fc_with_fallback(spark, sf_dir):
 
 @query
 def metric_mape_nonzero(spark, sf_dir):
-    scores = evaluate.backtest_holdout(user_regular(spark, sf_dir), evaluate.baseline_models(HOURLY), HOURLY)
+    scores = evaluate.backtest_holdout(user_newest(spark, sf_dir), evaluate.baseline_models(HOURLY), HOURLY)
     return rounded(scores.select("series_id", "model", "mape_nonzero"))
 
 
@@ -759,19 +767,19 @@ def metrics_by_model(spark, sf_dir):
 
 @query
 def backtest_seasonal(spark, sf_dir):
-    return rounded(evaluate.backtest_seasonal(half_regular(spark, sf_dir), HALF))
+    return rounded(evaluate.backtest_seasonal(half_newest(spark, sf_dir), HALF))
 
 
 @query
 def backtest_holdout(spark, sf_dir):
     """Hold-out errors of both baselines for every user."""
-    return rounded(evaluate.backtest_holdout(user_regular(spark, sf_dir), evaluate.baseline_models(HOURLY), HOURLY))
+    return rounded(evaluate.backtest_holdout(user_newest(spark, sf_dir), evaluate.baseline_models(HOURLY), HOURLY))
 
 
 @query
 def best_model(spark, sf_dir):
     models = evaluate.baseline_models(HOURLY)
-    scores = evaluate.backtest_holdout(user_regular(spark, sf_dir), models, HOURLY)
+    scores = evaluate.backtest_holdout(user_newest(spark, sf_dir), models, HOURLY)
     return rounded(evaluate.compare_models(scores, list(models)))
 
 
@@ -799,5 +807,5 @@ def interval_coverage(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regularise, hold out a week, forecast with both baselines, name the best per series."""
     models = evaluate.baseline_models(HALF)
-    scores = evaluate.backtest_holdout(half_regular(configure(spark), sf_dir), models, HALF)
+    scores = evaluate.backtest_holdout(half_newest(configure(spark), sf_dir), models, HALF)
     return rounded(evaluate.compare_models(scores, list(models)))
