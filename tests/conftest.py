@@ -21,6 +21,16 @@ def spark():
     return session
 
 
+@pytest.fixture(autouse=True)
+def compile_large_plans_only(request, spark):
+    """Tiny cases spend most of their time compiling generated code: interpret them.
+
+    The queries on the shared tables run with the default settings.
+    """
+    tiny = request.node.path.name != "test_queries.py"
+    spark.conf.set("spark.sql.codegen.wholeStage", "false" if tiny else "true")
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"

@@ -30,10 +30,12 @@ FEATURES = ("demand", "is_weekend", "temperature_2m")
 
 
 def query(fn: Query) -> Query:
+    """Register ``fn`` under its name; a trailing underscore keeps imported names free."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(configure(spark), sf_dir)
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.rstrip("_")] = run
     return fn
 
 
@@ -244,7 +246,7 @@ def metrics_report_lines(spark, sf_dir):
 
 
 @query
-def safe_names(spark, sf_dir):
+def safe_name_(spark, sf_dir):
     raw = F.concat_ws("/", "o_orderpriority", "o_orderstatus", F.concat_ws("\\", "o_custkey", "o_orderkey"))
     return load(spark, sf_dir, "orders").select("o_orderkey", safe_name(raw).alias("name"))
 
@@ -326,7 +328,7 @@ def empty_series_report(spark, sf_dir):
 
 
 @query
-def parse_timestamps(spark, sf_dir):
+def parse_timestamp_(spark, sf_dir):
     text = (
         F.when(F.col("value") > 200, F.lit("unknown"))
         .when(F.col("event_type") == "click", F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
@@ -474,7 +476,7 @@ def top_missing_blocks(spark, sf_dir):
 
 
 @query
-def regularise_text(spark, sf_dir):
+def regularise_(spark, sf_dir):
     """Text cells to a regular table with its flag, end to end."""
     parsed = parsed_readings(spark, sf_dir)
     regular = regularise.regularise(parsed.select("series_id", "ts", "value"), HALF)

@@ -306,7 +306,7 @@ def _queries() -> dict[str, str]:
        rpad(coalesce(printf('%.3f', kday_average), 'N/A'), 15, ' ') || ' ' || best_model) AS line FROM best""",
         *HALF_SCORES, LONG, BEST,
     )
-    q["safe_names"] = """SELECT o_orderkey, replace(replace(o_orderpriority || '/' || o_orderstatus || '/' || o_custkey || chr(92) || o_orderkey,
+    q["safe_name"] = """SELECT o_orderkey, replace(replace(o_orderpriority || '/' || o_orderstatus || '/' || o_custkey || chr(92) || o_orderkey,
        '/', '_'), chr(92), '_') AS name FROM orders"""
 
     # projections and filters
@@ -346,7 +346,7 @@ def _queries() -> dict[str, str]:
  HAVING count(*) FILTER (WHERE o_orderstatus = 'F' AND o_totalprice IS NOT NULL) = 0"""
 
     # scalar functions
-    q["parse_timestamps"] = """SELECT event_id, CASE WHEN value > 200 THEN NULL WHEN event_type = 'click' THEN date_trunc('second', ts)
+    q["parse_timestamp"] = """SELECT event_id, CASE WHEN value > 200 THEN NULL WHEN event_type = 'click' THEN date_trunc('second', ts)
        WHEN event_type = 'view' THEN CAST(date_trunc('day', ts) AS TIMESTAMP) ELSE date_trunc('minute', ts) END AS parsed FROM events"""
     q["parse_decimal_comma"] = "SELECT event_id, CASE WHEN value >= 1 THEN value END AS parsed FROM events"
     q["grid_floor_ceil"] = """SELECT event_id, time_bucket(INTERVAL 30 MINUTE, ts) AS floor_ts, CASE WHEN time_bucket(INTERVAL 30 MINUTE, ts) = ts THEN ts
@@ -387,7 +387,7 @@ def _queries() -> dict[str, str]:
     q["top_missing_blocks"] = sql(
         """SELECT *, CAST(row_number() OVER (PARTITION BY series_id ORDER BY slots DESC, start) AS INTEGER) AS rank FROM blocks QUALIFY rank <= 5""", *MARKS
     )
-    q["regularise_text"] = sql(
+    q["regularise"] = sql(
         """SELECT r.series_id, r.ts, round(r.value + 1e-9, 6) AS value, CASE WHEN coalesce(f.flag, false) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_weekend, r.pos, r.n
   FROM reg r LEFT JOIN flags f USING (series_id, ts)""",
         cte("p", PARSED),
