@@ -1,6 +1,7 @@
 """Forecasters without SQL, against numpy on small data."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,15 +106,17 @@ def test_ar_search_matches_least_squares(spark, with_exog):
     assert all(b >= a - 1e-9 for a, b in zip(widths, widths[1:]))
 
 
-def test_lag_recursive_matches_numpy(spark):
+@pytest.mark.parametrize("exog_future", ["freeze", "calendar", "asof"])
+def test_lag_recursive_matches_numpy(spark, exog_future):
     spec = Spec(period=4, chunk=16)
-    lags, steps = (1, 4, 28), 6
-    ys = {"a": wave(200, 4), "b": wave(180, 4) * 2}
+    # 200 half hours from a Monday end on a Friday; 230 reach into the weekend.
+    lags, steps = (1, 4, 28), 60
+    ys = {"a": wave(350, 4), "b": wave(230, 4) * 2}
     raw = series(spark, [(s, 30 * i, float(v)) for s, y in ys.items() for i, v in enumerate(y)])
     hot = [(s, 60 * i, float(np.sin(i / 5))) for s, y in ys.items() for i in range((len(y) + 1) // 2)]
     weather = series(spark, hot).withColumnRenamed("value", "temperature_2m")
     table = features._regular(raw, spec)
-    out = regression.lag_recursive(table, weather, spec, steps)
+    out = regression.lag_recursive(table, weather, spec, steps, exog_future=exog_future)
     feats = features.feature_matrix(table, weather, spec).orderBy("series_id", "pos").toPandas()
     xs, targets, scaled = [], [], {}
     for s, g in feats.groupby("series_id"):
@@ -121,18 +124,26 @@ def test_lag_recursive_matches_numpy(spark):
         lo, hi = z.min(0), z.max(0)
         span = np.where(hi > lo, hi - lo, 1.0)
         z = (z - lo) / span
-        scaled[s] = (z, lo[0], span[0])
+        scaled[s] = (z, lo, span, g["ts"].max())
         n, first = len(z), 28
         for i in range(first, first + int(np.floor(0.8 * (n - first)))):
             xs.append([1.0, *[z[i - k, 0] for k in lags], z[i - 1, 1], z[i - 1, 2]])
             targets.append(z[i, 0])
     beta = np.linalg.lstsq(np.array(xs), np.array(targets), rcond=None)[0]
-    for s, (z, lo, span) in scaled.items():
+    for s, (z, lo, span, end) in scaled.items():
         behind = len(ys[s]) - len(z)
-        path = list(z[:, 0])
-        for _ in range(steps + behind):
-            path.append(float(np.dot(beta, [1.0, *[path[-k] for k in lags], z[-1, 1], z[-1, 2]])))
-        want = [v * span + lo for v in path[-steps:]]
+        path, n = list(z[:, 0]), len(z)
+        for h in range(1, steps + behind + 1):
+            flag, heat = z[-1, 1], z[-1, 2]
+            if h > 1 and exog_future != "freeze":
+                day = (end + pd.Timedelta(minutes=30 * (h - 1))).weekday()
+                flag = (float(day >= 5) - lo[1]) / span[1]
+            if h > 1 and exog_future == "asof" and h - 1 <= steps + 4:
+                # A week is 336 half hours; shorter series fall back to their mean.
+                back = n - 1 + (h - 1) - 336
+                heat = z[back, 2] if back >= 0 else z[:, 2].mean()
+            path.append(float(np.dot(beta, [1.0, *[path[-k] for k in lags], flag, heat])))
+        want = [v * span[0] + lo[0] for v in path[-steps:]]
         got = column(out.where(F.col("series_id") == s), "yhat", "h")
         assert got == pytest.approx(want, rel=1e-6)
 

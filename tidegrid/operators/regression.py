@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidegrid.functions.calendar import is_weekend
 from tidegrid.functions.timegrid import shift
+from tidegrid.operators.align import lag_fallback
 from tidegrid.operators.chunked import with_halo
 from tidegrid.operators.features import feature_matrix
 from tidegrid.operators.scaling import minmax_fit, minmax_transform
@@ -263,14 +265,19 @@ def lag_recursive(
     days: int = 90,
     cap: int = 2000,
     share: float = 0.8,
+    exog_future: str = "freeze",
     model: str = "lag_recursive",
 ) -> DataFrame:
     """One linear model for all series on scaled lags, predicting one step at a time.
 
     Features are demand at ``lags`` plus weekend and temperature of the previous row. The
     newest ``cap`` samples of each series are used, the first ``share`` of them for
-    training. Weekend and temperature stay at their last values during the rollout.
+    training. In the rollout weekend and temperature stay at their last values (``freeze``),
+    the weekend follows the calendar (``calendar``), or the temperature also comes from a
+    year or a week ago (``asof``).
     """
+    if exog_future not in ("freeze", "calendar", "asof"):
+        raise ValueError(f"unknown exog_future: {exog_future}")
     steps = spec.horizon if steps is None else steps
     lags = list(lags or (1, spec.period, 7 * spec.period))
     depth = max(lags)
@@ -294,7 +301,8 @@ def lag_recursive(
     fit = LinearRegression(solver="normal").fit(train)
     b = [float(c) for c in fit.coefficients]
 
-    state = scaled.where(F.col("pos") >= F.col("n") - depth).groupBy("series_id", "demand_min", "demand_max").agg(
+    scaler = ["demand_min", "demand_max", "is_weekend_min", "is_weekend_max"]
+    state = scaled.where(F.col("pos") >= F.col("n") - depth).groupBy("series_id", *scaler).agg(
         F.sort_array(F.collect_list(F.struct("pos", "demand"))).alias("_past"),
         F.max_by("is_weekend", "pos").alias("_weekend"),
         F.max_by("temperature_2m", "pos").alias("_temperature"),
@@ -306,10 +314,31 @@ def lag_recursive(
         F.unix_seconds(F.col("_last").cast("timestamp")) - F.unix_seconds(F.col("_from").cast("timestamp"))
     ) / spec.step
     state = state.join(ends, "series_id").withColumn("_behind", behind.cast("int"))
-    frozen = F.lit(float(fit.intercept)) + F.lit(b[-2]) * F.col("_weekend") + F.lit(b[-1]) * F.col("_temperature")
-
-    def step(acc: Column, _: Column) -> Column:
-        value = frozen
+    if exog_future == "asof":
+        # One more season than the horizon covers features that end before the demand.
+        ahead = lag_fallback(scaled, "temperature_2m", spec, steps + spec.period).groupBy("series_id").agg(
+            F.sort_array(F.collect_list(F.struct("h", "temperature_2m"))).alias("_temps")
+        )
+        state = state.join(ahead, "series_id").withColumn("_temps", F.transform("_temps", lambda r: r["temperature_2m"]))
+
+    def weekend(h: Column) -> Column:
+        """Scaled weekend flag of the row before step h."""
+        if exog_future == "freeze":
+            return F.col("_weekend")
+        lo, hi = F.col("is_weekend_min"), F.col("is_weekend_max")
+        flag = is_weekend(shift("_from", h - 1, spec.step)).cast("double")
+        # A series without any weekend so far has a constant column, whose range counts as 1.
+        moved = (flag - lo) / F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo)
+        return F.when(h == 1, F.col("_weekend")).otherwise(moved)
+
+    def temperature(h: Column) -> Column:
+        if exog_future != "asof":
+            return F.col("_temperature")
+        known = (h > 1) & (h - 1 <= F.size("_temps"))
+        return F.when(known, F.element_at("_temps", F.greatest(h - 1, F.lit(1)))).otherwise(F.col("_temperature"))
+
+    def step(acc: Column, h: Column) -> Column:
+        value = F.lit(float(fit.intercept)) + F.lit(b[-2]) * weekend(h) + F.lit(b[-1]) * temperature(h)
         for k, c in zip(lags, b):
             value = value + F.lit(c) * F.element_at(acc, -k)
         return F.concat(acc, F.array(value))
