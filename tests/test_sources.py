@@ -16,9 +16,9 @@ from tidegrid.streaming.resample import stream_means
 
 def test_wide_csv_with_decimal_commas(spark, tmp_path):
     path = tmp_path / "wide.csv"
-    path.write_text('DATE/HOUR,A,B,is_weekend\n01/01/2024 00:00,"1,5","2,0",false\n01/01/2024 00:30,n/a,"3,25",false\nbad,"9","9",true\n')
-    schema = "`DATE/HOUR` string, A string, B string, is_weekend boolean"
-    wide = tables.read_wide(spark, str(path), "DATE/HOUR", ["A", "B"], "is_weekend", schema)
+    path.write_text('stamp,A,B,is_weekend\n01/01/2024 00:00,"1,5","2,0",false\n01/01/2024 00:30,n/a,"3,25",false\nbad,"9","9",true\n')
+    schema = "`stamp` string, A string, B string, is_weekend boolean"
+    wide = tables.read_wide(spark, str(path), "stamp", ["A", "B"], "is_weekend", schema)
     long = tables.wide_to_long(wide, ["A", "B"])
     rows = {(r["series_id"], r["ts"]): r["value"] for r in long.collect()}
     assert rows[("A", stamp(0))] == 1.5 and rows[("A", stamp(30))] is None and rows[("B", stamp(30))] == 3.25
