@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidegrid.llm import minhash, secrets, sharding
+from tidegrid.llm import minhash, mixing, quality, secret_scan, sharding, token_counts, toxicity
 from tidegrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +18,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assignments(table(spark, sf_dir, "documents"))
@@ -29,10 +39,23 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies"
+    )
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+    return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": sharding.oracle_sql(), "op10_secrets": secrets.oracle_sql()}
+    return {"op4_sharding": sharding.oracle_sql(), "op10_secrets": secret_scan.oracle_sql()}
