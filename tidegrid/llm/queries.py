@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import minhash, mixing, quality, secret_scan, sharding, token_counts, toxicity
+from tidegrid.llm import decontaminate, minhash, mixing, quality, secret_scan, sharding, token_counts, toxicity
 from tidegrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))

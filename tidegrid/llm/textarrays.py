@@ -100,9 +100,11 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, n
     out_counts = np.where(counts >= WIDTH, counts - WIDTH + 1, np.minimum(counts, 1))
     row = np.repeat(np.arange(len(counts)), out_counts)
     first = begins[row] + np.arange(len(row)) - np.repeat(np.cumsum(out_counts) - out_counts, out_counts)
-    left = ends[row] - first
-    total = np.zeros(len(first), np.uint64)
+    left = np.minimum(ends[row] - first, WIDTH)
+    total = left.astype(np.uint64)
+    full = left == WIDTH
     for k in range(WIDTH):
-        there = left > k
-        total[there] += words[first[there] + k] * _PLACE[k]
-    return mixed(total + np.minimum(left, WIDTH).astype(np.uint64)), out_counts
+        # a word beyond the row's last adds nothing
+        there = words[np.minimum(first + k, len(words) - 1)] if len(words) else words
+        total += np.where(full | (left > k), there * _PLACE[k], np.uint64(0))
+    return mixed(total), out_counts
