@@ -1,14 +1,16 @@
 """Near-duplicate documents by b-bit MinHash.
 
-Each distinct shingle set gets 128 minima. Bands of four full minima propose candidates; the low
-two bits of all minima, packed into four longs, estimate the similarity of a candidate by bit
+Each distinct shingle set gets 256 minima. Bands of four full minima propose candidates; the low
+two bits of all minima, packed into eight longs, estimate the similarity of a candidate by bit
 counts, corrected for chance collisions; what may reach the threshold is decided on the full sets.
 At the threshold itself (0.75) a pair shares none of the 32 bands with probability 5e-6.
 
 Groups of copies cost no pairs: equal sets are one class from the start. Within a bucket of a band
-only the links to its smallest class are checked first. Then only members outside the bucket's
-main component are compared with the rest, so a large group of near copies stays linear, while no
-pair of different components that shares a bucket is left unchecked.
+each member is first compared with one leader, another one in every bucket; then members outside
+the bucket's main component with one of its members; and at last members outside the main
+component with everyone, in blocks that return links only. A large group of near copies is joined
+by the first two, which are linear in its size, while no pair of different components that shares
+a bucket is left undecided.
 """
 
 from __future__ import annotations
@@ -24,11 +26,13 @@ from pyspark.sql import functions as F
 from tidegrid.llm.common import components, saved
 from tidegrid.llm.textarrays import mixed, shingle_hashes, slices, text_buffers, word_hashes
 
-HASHES, BANDS, BITS = 128, 32, 2
-ROWS = HASHES // BANDS
+HASHES, BITS = 256, 2
+BANDS, ROWS = 32, 4
 THRESHOLD = (3, 4)  # similarity as a fraction: 0.75
 #: How far an estimate may fall short: five standard deviations of a 2-bit estimate at 0.75.
-MARGIN = 0.23
+MARGIN = 0.16
+#: Members of a block, and rows of a bin of blocks, in the last comparison.
+BLOCK, BIN = 512, 4096
 
 _rng = np.random.default_rng(7)
 _A = _rng.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -90,7 +94,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(full):
                 minima = _minima(np.concatenate([sets[i] for i in full]), np.cumsum(sizes[full]) - sizes[full])
                 sig[full] = _packed(minima)
-                folded = (minima.reshape(len(full), BANDS, ROWS) * _BAND).sum(axis=2, dtype=np.uint64)
+                folded = (minima[:, : BANDS * ROWS].reshape(len(full), BANDS, ROWS) * _BAND).sum(axis=2, dtype=np.uint64)
                 keys[full] = mixed(folded + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
             bands = pa.ListArray.from_arrays(
                 np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32), keys[full].ravel()
@@ -130,6 +134,113 @@ def estimate(a: str, b: str):
     return ((F.lit(float(HASHES)) - unequal) / HASHES - chance) / (1 - chance)
 
 
+def _may_link(a: str, b: str):
+    """Whether two signed sets can reach the threshold, by their sizes and their estimate."""
+    num, den = THRESHOLD
+    fewer, more = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
+    return (den * fewer >= num * more) & (estimate(a, b) >= num / den - MARGIN)
+
+
+def _ordered(rows: DataFrame, one: str, two: str) -> DataFrame:
+    return rows.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b"))
+
+
+def _near(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    return (
+        pairs.join(signed.alias("x"), F.col("a") == F.col("x.cls"))
+        .join(signed.alias("y"), F.col("b") == F.col("y.cls"))
+        .where(_may_link("x", "y"))
+        .select("a", "b")
+    )
+
+
+def _stars(joined: DataFrame) -> DataFrame:
+    return joined.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _strays(shared: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members (bucket, cls, comp, main, guide) of the buckets that hold several components.
+
+    ``main`` is the component with most members there, ``guide`` one of its members.
+    """
+    label = shared.join(joined, shared["cls"] == joined["node"], "left").select(
+        "bucket", "cls", F.coalesce("component", "cls").alias("comp")
+    )
+    per = label.groupBy("bucket", "comp").agg(
+        F.count("*").alias("n"), F.min(F.struct(F.xxhash64("cls", "bucket"), "cls"))["cls"].alias("one")
+    )
+    mixed_up = (
+        per.groupBy("bucket")
+        .agg(F.max(F.struct("n", "comp", "one")).alias("top"), F.count("*").alias("parts"))
+        .where("parts > 1")
+        .select("bucket", F.col("top.comp").alias("main"), F.col("top.one").alias("guide"))
+    )
+    return label.join(mixed_up, "bucket")
+
+
+def _unsettled(stray: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components among the members of mixed buckets that still link.
+
+    Members are laid out by the main component of their bucket, once however many buckets they
+    share: those outside it in blocks against blocks of all members. A task counts the shingles
+    that the sets of two blocks share, on 32 bits of each hash, and returns only pairs that reach
+    the threshold, so rows are as many as links.
+    """
+    of = saved(
+        stray.groupBy("main", "cls").agg(F.first("comp").alias("comp")).withColumn("outside", F.col("comp") != F.col("main"))
+    )
+    per = of.groupBy("main").agg(
+        F.ceil(F.sum(F.col("outside").cast("int")) / BLOCK).alias("rows"), F.ceil(F.count("*") / BLOCK).alias("cols")
+    )
+    laid = of.join(per, "main")
+    own = F.pmod(F.xxhash64("cls"), F.col("rows"))
+    sides = laid.where("outside").select(
+        "main", "cls", "comp", F.lit(0).alias("side"), own.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cols") - 1)).alias("j")
+    ).union(
+        laid.select(
+            "main", "cls", "comp", F.lit(1).alias("side"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"), F.pmod(F.xxhash64("cls"), F.col("cols")).alias("j"),
+        )
+    )
+    bins = of.count() // BIN + 1
+    token = F.transform("shingles", lambda h: F.shiftright(h, 32).cast("int"))
+    placed = sides.join(sets.select("cls", token.alias("tokens")), "cls").withColumn(
+        "bin", F.pmod(F.xxhash64("main", "i", "j"), F.lit(bins))
+    )
+    return placed.groupBy("bin").applyInArrow(_block_links, "a bigint, b bigint").distinct()
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Pairs that reach the threshold between the two sides of every block in a bin."""
+    block = np.stack([table.column(c).to_numpy() for c in ("main", "i", "j")])
+    group = np.unique(block, axis=1, return_inverse=True)[1].ravel()
+    cls, comp, side = (table.column(c).to_numpy() for c in ("cls", "comp", "side"))
+    lists = table.column("tokens").combine_chunks()
+    values, off = lists.values.to_numpy(), lists.offsets.to_numpy()
+    num, den = THRESHOLD
+    found: list[tuple[int, int]] = []
+    order = np.argsort(group, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+        left, right = rows[side[rows] == 0], rows[side[rows] == 1]
+        if not len(left) or not len(right):
+            continue
+        sizes = off[right + 1] - off[right]
+        tokens = np.concatenate([values[off[r] : off[r + 1]] for r in right])
+        owner = np.repeat(np.arange(len(right)), sizes)
+        sort = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[sort], owner[sort]
+        for r in left:
+            mine = values[off[r] : off[r + 1]]
+            lo, hi = np.searchsorted(tokens, mine, "left"), np.searchsorted(tokens, mine, "right")
+            n = hi - lo
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+            common = np.bincount(owner[at], minlength=len(right))
+            links = (den * common >= num * (len(mine) + sizes - common)) & (comp[right] != comp[r])
+            found += [(min(int(cls[r]), int(c)), max(int(cls[r]), int(c))) for c in cls[right[links]]]
+    a, b = np.array(found, np.int64).reshape(-1, 2).T
+    return pa.table({"a": pa.array(np.ascontiguousarray(a)), "b": pa.array(np.ascontiguousarray(b))})
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
     num, den = THRESHOLD
@@ -156,58 +267,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = saved(
         signed.where("cls is not null")
         .groupBy("cls")
-        .agg(F.min("doc_id").alias("rep"), *[F.first(s).alias(s) for s in sig], F.first("bands").alias("bands"))
+        .agg(
+            F.min("doc_id").alias("rep"),
+            F.first("n_shingles").alias("n"),
+            *[F.first(s).alias(s) for s in sig],
+            F.first("bands").alias("bands"),
+        )
     )
     named = classes.where("rep is not null")
     entries = named.select(F.explode("bands").alias("bucket"), "cls")
-    buckets = entries.groupBy("bucket").agg(F.min("cls").alias("lead"), F.max("cls").alias("last"))
-    shared = saved(
-        entries.join(buckets.where("lead < last").select("bucket", "lead"), "bucket")
-    )
+    draw = F.struct(F.xxhash64("bucket", "cls"), F.col("cls").alias("cls"))
+    buckets = entries.groupBy("bucket").agg(F.min(draw)["cls"].alias("lead"), F.count("*").alias("n"))
+    shared = saved(entries.join(buckets.where("n > 1").select("bucket", "lead"), "bucket"))
     sets = saved(_wanted_sets(rows, named, shared))
+    s = named.select("cls", "n", *sig)
 
-    s = named.select("cls", *sig)
-    stars = shared.where("cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
-    near = (
-        stars.join(s.alias("x"), F.col("a") == F.col("x.cls"))
-        .join(s.alias("y"), F.col("b") == F.col("y.cls"))
-        .where(estimate("x", "y") >= THRESHOLD[0] / THRESHOLD[1] - MARGIN)
-        .select("a", "b")
-    )
-    links = saved(confirmed(near, sets))
-    joined = components(links)
+    def checked(pairs: DataFrame) -> DataFrame:
+        return saved(confirmed(_near(pairs, s), sets))
 
-    # buckets that still hold several components: everyone outside the main one meets all members
-    label = shared.join(joined, shared["cls"] == joined["node"], "left").select(
-        "bucket", "cls", F.coalesce("component", "cls").alias("comp")
-    )
-    label = saved(label)
-    per = label.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    mixed_buckets = per.groupBy("bucket").agg(
-        F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")
-    )
-    member = label.join(mixed_buckets.where("parts > 1").select("bucket", "main"), "bucket").join(
-        s, "cls"
-    )
-    member = saved(member.select("bucket", "comp", "main", "cls", *sig))
-    x, y = member.where("comp != main").alias("x"), member.alias("y")
-    rest = (
-        x.join(
-            y,
-            (F.col("x.bucket") == F.col("y.bucket"))
-            & (F.col("x.comp") != F.col("y.comp"))
-            & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.cls") < F.col("y.cls")))
-            & (estimate("x", "y") >= THRESHOLD[0] / THRESHOLD[1] - MARGIN),
-        )
-        .select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
-        .distinct()
-        .join(near, ["a", "b"], "left_anti")
-    )
-    late = saved(confirmed(rest, sets))
-    groups = joined
-    if not late.isEmpty():
-        stars_of = joined.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        groups = components(stars_of.union(late))
+    links = checked(_ordered(shared.where("cls != lead"), "cls", "lead").distinct())
+    joined = components(links)
+    stray = _strays(shared, joined)
+    again = checked(_ordered(stray.where("comp != main"), "cls", "guide").distinct())
+    links = saved(_stars(joined).union(again))
+    joined = components(links)
+    stray = _strays(shared, joined)
+    rest = _unsettled(stray, sets)
+    late = saved(confirmed(rest.distinct(), sets))
+    groups = joined if late.isEmpty() else components(_stars(joined).union(late))
 
     member_of = named.join(groups, named["cls"] == groups["node"], "left").select(
         "cls", "rep", F.coalesce("component", "cls").alias("comp")
