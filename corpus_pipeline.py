@@ -5,26 +5,52 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidegrid.llm import minhash, sharding
-from tidegrid.llm.common import table
+from tidegrid.llm import decontaminate, minhash, mixing, quality, sharding
+from tidegrid.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the quality classifier rejects; it learns from the labelled rows of ``docs``."""
+    return quality.good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates."""
+    return minhash.deduplicated(docs)
+
+
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold an item of the benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat or drop documents until the sources have their target shares of words."""
+    return mixing.mixed(docs)
+
+
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Assign every document to a shard."""
     return sharding.sharded(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("shard", shard)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_good),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark_passages),
+    ("mixing", mix_sources),
+    ("sharding", shard),
+]
 #: The classifier is trained, so SQL cannot express the rows; a test compares with a plain version.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; a stage reads the table that the one before it wrote."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

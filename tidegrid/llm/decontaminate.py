@@ -247,29 +247,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     out = spark.createDataFrame([], ddl)
     for items in item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(items)
+        out = out.union(rows.mapInArrow(_rows_of(spark.sparkContext.broadcast(items), schema), ddl))
+    return out
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids = batch.column("doc_id").to_pylist()
-                found = [(ids[r], *rest) for r, rest in _found(shared.value, batch.column("text"))]
-                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, f)) for f in found], schema=schema)
 
-        out = out.union(rows.mapInArrow(run, ddl))
-    return out
+def _rows_of(shared, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            found = [(ids[r], *rest) for r, rest in _found(shared.value, batch.column("text"))]
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, f)) for f in found], schema=schema)
+
+    return run
+
+
+def _is_clean(shared):
+    @F.pandas_udf("boolean")
+    def test(text: pd.Series) -> pd.Series:
+        out = np.ones(len(text), bool)
+        for row, _ in _found(shared.value, pa.array(text, pa.string(), from_pandas=True)):
+            out[row] = False
+        return pd.Series(out)
+
+    return test
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns; nothing is shuffled."""
     for items in item_blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(items)
-
-        @F.pandas_udf("boolean")
-        def is_clean(text: pd.Series, shared=shared) -> pd.Series:
-            out = np.ones(len(text), bool)
-            for row, _ in _found(shared.value, pa.array(text, pa.string(), from_pandas=True)):
-                out[row] = False
-            return pd.Series(out)
-
-        docs = docs.where(is_clean(F.col("text").cast("string")))
+        docs = docs.where(_is_clean(shared)(F.col("text").cast("string")))
     return docs

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import components, saved
+from tidegrid.llm.common import LOWER, UPPER, WORD, components, saved
 from tidegrid.llm.textarrays import mixed, shingle_hashes, slices, text_buffers, word_hashes
 
 HASHES, BITS = 256, 2
@@ -78,7 +78,7 @@ def _digest(values: np.ndarray) -> int | None:
 
 
 SIGNED = pa.schema(
-    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64())]
+    [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64())]
     + [(f"s{k}", pa.int64()) for k in range(HASHES * BITS // 64)]
     + [("bands", pa.list_(pa.int64()))]
 )
@@ -99,10 +99,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands = pa.ListArray.from_arrays(
                 np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32), keys[full].ravel()
             )
-            ids = batch.column("doc_id")[rows.start : rows.stop].cast(pa.int64())
+            ids, hashes = (batch.column(c)[rows.start : rows.stop].cast(pa.int64()) for c in ("doc_id", "text_hash"))
             longs = [pa.array(np.ascontiguousarray(sig[:, k])) for k in range(sig.shape[1])]
             digests = pa.array([_digest(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), digests, *longs, bands], schema=SIGNED)
+            yield pa.RecordBatch.from_arrays([ids, hashes, pa.array(sizes), digests, *longs, bands], schema=SIGNED)
 
 
 FULL = pa.schema([("cls", pa.int64()), ("shingles", pa.list_(pa.int64()))])
@@ -251,18 +251,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(den * common >= num * union).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Component of near-duplicate documents for each row: doc_id, n_shingles, component_id, kept.
-
-    ``docs`` has ``doc_id`` and ``text``; other columns are ignored. Documents are linked when
-    the Jaccard similarity of their distinct five-word shingles is 0.75 or more; components are
-    what links reach. Null, empty and wordless texts have no shingles and link with nothing.
-    Repeated rows stay repeated, in one component. A row without doc_id shares the component of
-    its text's class but never names it; if no row of a component has an id, component_id is null
-    and the row is kept. An empty table gives an empty result.
-    """
+def _grouped(docs: DataFrame) -> DataFrame:
+    """Every row with its component: doc_id, text_hash, n_shingles, cls, comp, name (its smallest doc_id)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = saved(rows.mapInArrow(_sign, _ddl()))
+    signed = saved(rows.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_sign, _ddl()))
     sig = [f"s{k}" for k in range(HASHES * BITS // 64)]
     classes = saved(
         signed.where("cls is not null")
@@ -300,10 +292,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "cls", "rep", F.coalesce("component", "cls").alias("comp")
     )
     names = member_of.groupBy("comp").agg(F.min("rep").alias("name"))
-    named_as = member_of.join(names, "comp").select("cls", "name")
-    out = signed.select("doc_id", "n_shingles", "cls").join(named_as, "cls", "left")
+    # classes whose rows all lack an id are components of their own
+    named_as = member_of.join(names, "comp").select("cls", "comp", "name")
+    out = signed.select("doc_id", "text_hash", "n_shingles", "cls").join(named_as, "cls", "left")
+    return out.withColumn("comp", F.coalesce("comp", "cls"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Component of near-duplicate documents for each row: doc_id, n_shingles, component_id, kept.
+
+    ``docs`` has ``doc_id`` and ``text``; other columns are ignored. Documents are linked when
+    the Jaccard similarity of their distinct five-word shingles is 0.75 or more; components are
+    what links reach. Null, empty and wordless texts have no shingles and link with nothing.
+    Repeated rows stay repeated, in one component. A row without doc_id shares the component of
+    its text's class but never names it; if no row of a component has an id, component_id is null
+    and the row is kept. An empty table gives an empty result.
+    """
     component = F.coalesce("name", F.when(F.col("cls").isNull(), F.col("doc_id")))
-    return out.select(
+    return _grouped(docs).select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
@@ -311,9 +317,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component, with its columns, and all rows without words.
+
+    The row with the smallest doc_id stays, of equal ids the one with the smallest hash of its text.
+    """
+    per = _grouped(docs).where("cls is not null").groupBy("comp", "doc_id", "text_hash").agg(F.count("*").alias("m"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "m"))
+    keep = saved(per.groupBy("comp").agg(first.alias("k")).select("k.doc_id", "k.text_hash", "k.m"))
+
+    def rows_of(kept: DataFrame) -> DataFrame:
+        same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id"))
+        return docs.alias("d").join(
+            kept.alias("k"), same & (F.xxhash64(F.col("d.text").cast("string")) == F.col("k.text_hash")), "left_semi"
+        )
+
+    has_words = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
+    out = rows_of(keep.where("m = 1")).where(has_words).union(docs.where(~has_words))
+    many = keep.where("m > 1")
+    if many.isEmpty():
+        return out
+    return out.union(rows_of(many).where(has_words).dropDuplicates(["doc_id", "text"]))
+
+
 def _ddl() -> str:
     longs = ", ".join(f"s{k} bigint" for k in range(HASHES * BITS // 64))
-    return f"doc_id bigint, n_shingles bigint, cls bigint, {longs}, bands array<bigint>"
+    return f"doc_id bigint, text_hash bigint, n_shingles bigint, cls bigint, {longs}, bands array<bigint>"
 
 
 def _wanted_sets(rows: DataFrame, named: DataFrame, shared: DataFrame) -> DataFrame:
@@ -321,3 +350,18 @@ def _wanted_sets(rows: DataFrame, named: DataFrame, shared: DataFrame) -> DataFr
     wanted = shared.select("cls").distinct().join(named.select("cls", "rep"), "cls")
     text = rows.join(wanted, rows["doc_id"] == wanted["rep"]).select("cls", "text")
     return text.mapInArrow(_full_sets, "cls bigint, shingles array<bigint>").dropDuplicates(["cls"])
+
+
+def oracle_sql() -> str:
+    """Exact similarities of all pairs that share a shingle, and links followed to the smallest doc_id."""
+    num, den = THRESHOLD
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS ws FROM documents),
+s AS MATERIALIZED (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+  ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w),
+u AS MATERIALIZED (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+l AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING {den} * count(*) >= {num} * (a.n + b.n - count(*))),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, coalesce(least(doc_id, m), doc_id) AS component_id, coalesce(doc_id <= m, true) AS kept
+FROM s LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a) USING (doc_id)"""

@@ -253,7 +253,7 @@ def good(docs: DataFrame, trees: Trees) -> DataFrame:
     """The rows of ``docs`` that the trees do not reject, with their columns; nothing is shuffled."""
 
     @F.pandas_udf("boolean")
-    def passes(text):
+    def passes(text: pd.Series) -> pd.Series:
         raw, off = text_buffers(pa.array(text, pa.string(), from_pandas=True))
         found = [trees.scores(statistics(raw, off[a : b + 1])) >= CUT for a, b in slices(off)]
         return pd.Series(np.concatenate([*found, np.zeros(0, bool)]))

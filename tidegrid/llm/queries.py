@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import decontaminate, minhash, mixing, quality, secret_scan, sharding, token_counts, toxicity
+from tidegrid.llm import decontaminate, extract, minhash, mixing, near_vectors, quality, secret_scan, sharding, token_counts, toxicity
 from tidegrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -34,6 +39,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assignments(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extracted(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -62,5 +72,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+#: Queries that SQL cannot express; tests compare them with plain versions.
+WITHOUT_SQL = ("op2_toxicity", "op3_token_counts", "op5_extract", "op7_mixing", "op8_quality", "op9_decontamination")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": sharding.oracle_sql(), "op10_secrets": secret_scan.oracle_sql()}
+    return {
+        "op1_near_vectors": near_vectors.oracle_sql(),
+        "op4_sharding": sharding.oracle_sql(),
+        "op6_minhash_dedup": minhash.oracle_sql(),
+        "op10_secrets": secret_scan.oracle_sql(),
+    }
