@@ -40,8 +40,9 @@ _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 def windows(text: str | None) -> list[bytes]:
     """Runs of whole lower-case words of about WINDOW_BYTES; neighbours share a word."""
-    line = b" " + _NOT_LETTERS.sub(" ", (text or "").lower()).strip().encode() + b" "
-    out, start, last = [], 0, len(line) - 1
+    letters = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    line = b" " + letters.encode() + b" "
+    out, start, last = [], 0, len(line) - 1 if letters else 0
     while start < last:
         end = line.find(b" ", min(start + WINDOW_BYTES, last))
         out.append(line[start : end + 1])
