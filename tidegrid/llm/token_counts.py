@@ -11,6 +11,7 @@ so their tables are kept; a text's table is the tables of its pieces laid end to
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 VOCABULARY = "byte_bpe_50k.json"
 #: Code points whose tables leave Python in one batch.
 BATCH_CHARS = 1 << 20
-#: Pieces whose tables a worker keeps; beyond it, it starts anew.
-KEPT_PIECES = 400_000
+#: Pieces whose tables a worker keeps in each of two generations.
+KEPT_PIECES = 600_000
 
 # Fixed values of the vocabulary's splitting rule.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -45,6 +46,24 @@ def _byte_letters() -> dict[str, int]:
     return letters
 
 
+class Tables(dict):
+    """Tables of pieces in two generations: when the young one is full, what it lacks is forgotten."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= KEPT_PIECES:
+            self.old = dict(self)
+            self.clear()
+        found = self.old.get(piece)
+        if found is None:
+            found = self.make(piece)
+        self[piece] = found
+        return found
+
+
 class PrefixCounter:
     """Prefix tables under one vocabulary."""
 
@@ -62,7 +81,8 @@ class PrefixCounter:
         self.special = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
         self.longest = max(map(len, self.vocabulary))
         self.follows: dict[tuple[bytes, bytes], bool] = {}
-        self.tables: dict[str, bytes] = {}
+        self.widths: dict[bytes, bytes] = {}
+        self.tables = Tables(self.table)
 
     def may_follow(self, a: bytes, b: bytes) -> bool:
         """Whether token b can stand right after token a in an encoding; at the start, a is empty.
@@ -96,41 +116,48 @@ class PrefixCounter:
         """Tokens of piece[:i] as one piece, for each i from 1 on.
 
         Only one token can end a prefix. Mostly it is the last one grown by a byte, or a short one,
-        so those are tried first.
+        so those are tried first. A known piece that begins this one gives its part of the table.
         """
-        counts, last, vocabulary, may_follow = [0], [b""], self.vocabulary, self.may_follow
-        for i in range(1, len(piece) + 1):
-            for width in chain((len(last[-1]) + 1,), range(1, min(i, self.longest) + 1)):
+        n, widths = len(piece), self.widths
+        for k in range(n, max(n - 12, 0), -1):
+            known = widths.get(piece[:k])
+            if known is not None:
+                break
+        else:
+            known = b""
+        counts, last = [0], list(known)
+        for i, width in enumerate(known, 1):
+            counts.append(counts[i - width] + 1)
+        vocabulary, may_follow = self.vocabulary, self.may_follow
+        for i in range(len(known) + 1, n + 1):
+            for width in chain((last[-1] + 1 if last else 1,), range(1, min(i, self.longest) + 1)):
                 token = piece[i - width : i]
-                if token in vocabulary and may_follow(last[i - width], token):
-                    counts.append(counts[i - width] + 1)
-                    last.append(token)
+                before = i - width
+                if token in vocabulary and may_follow(piece[before - last[before - 1] : before] if before else b"", token):
+                    counts.append(counts[before] + 1)
+                    last.append(width)
                     break
             else:
                 raise ValueError("the vocabulary lacks a byte")
+        if len(widths) >= KEPT_PIECES:
+            widths.clear()
+        widths[piece] = bytes(last)
         return counts[1:]
 
     def table(self, piece: str) -> bytes:
         """Counts after each code point of a piece, as 32-bit integers."""
-        found = self.tables.get(piece)
-        if found is None:
-            if len(self.tables) >= KEPT_PIECES:
-                self.tables.clear()
-            raw = piece.encode()
-            counts = np.array(self.byte_counts(raw), np.int32)
-            if len(raw) != len(piece):
-                ends = np.flatnonzero((np.frombuffer(raw + b"a", np.uint8)[1:] & 0xC0) != 0x80)
-                counts = counts[ends]
-            if piece in LONG_SUFFIXES:  # cut after its second letter it is two pieces
-                counts[1] = 2
-            found = self.tables[piece] = counts.tobytes()
-        return found
+        raw = piece.encode()
+        counts = self.byte_counts(raw)
+        if len(raw) != len(piece):
+            counts = [c for c, b in zip(counts, raw[1:] + b"a") if b & 0xC0 != 0x80]
+        if piece in LONG_SUFFIXES:  # cut after its second letter it is two pieces
+            counts[1] = 2
+        return array("i", counts).tobytes()
 
     def _plain(self, text: str) -> np.ndarray:
         """Counts after each code point of a text without special tokens."""
         pieces = PIECE.findall(text)
-        table, tables = self.table, self.tables
-        local = np.frombuffer(b"".join([tables.get(p) or table(p) for p in pieces]), np.int32)
+        local = np.frombuffer(b"".join(map(self.tables.__getitem__, pieces)), np.int32)
         widths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         finals = local[np.cumsum(widths) - 1].astype(np.int64)
         counts = local + np.repeat(np.cumsum(finals) - finals, widths)
@@ -139,7 +166,7 @@ class PrefixCounter:
         for run in RUNS.finditer(text):
             a, b = run.span()
             if b < len(text):
-                counts[b - 1] = (counts[a - 1] if a else 0) + np.frombuffer(self.table(run.group()), np.int32)[-1]
+                counts[b - 1] = (counts[a - 1] if a else 0) + np.frombuffer(self.tables[run.group()], np.int32)[-1]
         return counts
 
     def counts(self, text: str) -> np.ndarray:
