@@ -156,10 +156,10 @@ def test_parsing(spark):
     cells = ["12,5", "3.25", " 7 ", "n/a", "NaN", None]
     df = spark.createDataFrame([(c,) for c in cells], "c string")
     assert [r[0] for r in df.select(parse_decimal(F.col("c"))).collect()] == [12.5, 3.25, 7.0, None, None, None]
-    stamps = ["02/01/2024 03:30", "02/01/2024 03:30:15", "02/01/2024", "2024-01-02", "31/02/2024", None]
+    stamps = ["02/01/2024 03:30", "02/01/2024 03:30:15", "02/01/2024", "2024-01-02", "31/02/2024", "2.1.24", None]
     df = spark.createDataFrame([(c,) for c in stamps], "c string")
     assert [r[0] for r in df.select(parse_timestamp(F.col("c"))).collect()] == [
-        datetime(2024, 1, 2, 3, 30), datetime(2024, 1, 2, 3, 30, 15), datetime(2024, 1, 2), None, None, None,
+        datetime(2024, 1, 2, 3, 30), datetime(2024, 1, 2, 3, 30, 15), datetime(2024, 1, 2), datetime(2024, 1, 2), None, None, None,
     ]
 
 
@@ -183,8 +183,12 @@ def test_weather_edges(spark, chunk):
     assert column(left, "temperature_2m") == [10.0, 10.0, 10.0, 15.0, 20.0, 20.0, 20.0, 20.0]
     # Weather that does not overlap the demand counts as absent.
     assert column(features.covariates(demand, weather, spec).where("series_id = 'b'"), "temperature_2m") == [0.0, 0.0]
-    assert features.exog_matrix(demand, weather, spec).where("series_id = 'b'").count() == 0
+    assert column(features.exog_matrix(demand, weather, spec).where("series_id = 'b'"), "temperature_2m") == [None, None]
     inner = features.feature_matrix(demand, weather, spec)
+    assert [(r["demand"], r["temperature_2m"], r["pos"], r["n"]) for r in inner.where("series_id = 'b'").orderBy("ts").collect()] == [
+        (1.0, 0.0, 0, 2), (2.0, 0.0, 1, 2),
+    ]
+    inner = inner.where("series_id = 'a'")
     assert [(r["demand"], r["temperature_2m"], r["pos"], r["n"]) for r in inner.orderBy("ts").collect()] == [
         (2.0, 10.0, 0, 3), (3.0, 15.0, 1, 3), (4.0, 20.0, 2, 3),
     ]

@@ -35,31 +35,33 @@ def test_ar1_of_constant_series(spark):
 
 def _ols_candidates(y, level, period, max_p, exog=None):
     """All candidate fits on the common sample by plain least squares."""
-    lags = sorted({*range(1, max_p + 3), *range(period, period + max_p + 1)})
+    lags = sorted({*range(1, max_p + 3), *range(period, period + max_p + 3)})
     c = y - level
     rows = np.arange(lags[-1], len(c))
     lag = lambda k: c[rows - k]
     ones = np.ones(len(rows))
-    ex = [] if exog is None else [e[rows] for e in exog]
     out = {}
 
     def fit(name, target, cols):
-        x = np.array(cols).T
+        x = np.array(cols).reshape(len(cols), len(rows)).T
         beta = np.linalg.lstsq(x, target, rcond=None)[0]
         rss = float(np.sum((target - x @ beta) ** 2))
         m = len(rows)
         out[name] = (m * np.log(rss / m) + 2 * x.shape[1], rss, beta)
 
-    for p in range(max_p + 1):
-        fit(f"({p},0,0)(0,0,0)", lag(0), [ones, *[lag(i) for i in range(1, p + 1)], *ex])
-        fit(f"({p},0,0)(1,0,0)", lag(0), [ones, *[lag(i) for i in range(1, p + 1)], *ex, lag(period)])
-        if p or ex:
-            d1 = lambda k: lag(k) - lag(k + 1)
-            d2 = lambda k: lag(k) - 2 * lag(k + 1) + lag(k + 2)
-            fit(f"({p},1,0)(0,0,0)", d1(0), [*[d1(i) for i in range(1, p + 1)], *ex])
-            fit(f"({p},2,0)(0,0,0)", d2(0), [*[d2(i) for i in range(1, p + 1)], *ex])
-        ds = lambda k: lag(k) - lag(k + period)
-        fit(f"({p},0,0)(0,1,0)", ds(0), [ones, *[ds(i) for i in range(1, p + 1)], *ex])
+    def differenced(v, d, seasonal):
+        """The series after its differences, aligned so that index i stays time i."""
+        for gap in [1] * d + [period] * seasonal:
+            v = np.concatenate([np.full(gap, np.nan), v[gap:] - v[:-gap]])
+        return v
+
+    for d in range(3):
+        for big_p, big_d in ((0, 0), (1, 0), (0, 1)):
+            w = differenced(c, d, big_d)
+            ex = [differenced(np.asarray(e, float), d, big_d)[rows] for e in exog or []]
+            for p in range(max_p + 1):
+                cols = [ones] * (d == 0) + [w[rows - i] for i in range(1, p + 1)] + [w[rows - period]] * big_p + ex
+                fit(f"({p},{d},0)({big_p},{big_d},0)", w[rows], cols)
     return out
 
 
@@ -76,30 +78,35 @@ def test_ar_search_matches_least_squares(spark, with_exog):
         table = table.join(lookup, F.col("pos") == F.col("i")).drop("i")
         future = lookup.where(F.col("i") >= n).select(F.lit("a").alias("series_id"), (F.col("i") - n + 1).cast("int").alias("h"), "heat")
         args = {"exog_cols": ["heat"], "future": future}
-    out = regression.ar_forecast(table, spec, steps, max_p=max_p, **args).orderBy("h").collect()
-    fits = _ols_candidates(y, y.mean(), period, max_p, [heat] if with_exog else None)
+    out = regression.ar_forecast(table, spec, steps, max_p=max_p, min_rows=0, **args).orderBy("h").collect()
+    level = y[period + max_p + 2 :].mean()
+    fits = _ols_candidates(y, level, period, max_p, [heat[:n]] if with_exog else None)
     best = min(fits, key=lambda k: fits[k][0])
     assert out[0]["order"] == best
     # Roll the best model out by hand.
-    beta, c = fits[best][2], list(y - y.mean())
-    p, d, seasonal, differenced = int(best[1]), int(best[3]), best[8] == "1", best[10] == "1"
+    beta, c = fits[best][2], list(y - level)
+    p, d, seasonal, seasonal_difference = int(best[1]), int(best[3]), int(best[8]), int(best[10])
+
+    def change(v, i):
+        """Differenced value at time i of a plain sequence."""
+        poly = {0: 1.0}
+        for gap in [1] * d + [period] * seasonal_difference:
+            grown = dict(poly)
+            for k, f in poly.items():
+                grown[k + gap] = grown.get(k + gap, 0.0) - f
+            poly = grown
+        return sum(f * v[i - k] for k, f in poly.items())
+
     for h in range(steps):
         i = len(c)
-        ex = [heat[n + h]] if with_exog else []
-        if differenced:
-            ds = lambda k: c[i - k] - c[i - k - period]
-            c.append(c[i - period] + float(np.dot(beta, [1.0, *[ds(k) for k in range(1, p + 1)], *ex])))
-        elif d == 1:
-            d1 = lambda k: c[i - k] - c[i - k - 1]
-            c.append(c[i - 1] + float(np.dot(beta, [*[d1(k) for k in range(1, p + 1)], *ex])))
-        elif d == 2:
-            pytest.skip("not expected for this series")
-        else:
-            x = [1.0, *[c[i - k] for k in range(1, p + 1)], *ex] + ([c[i - period]] if seasonal else [])
-            c.append(float(np.dot(beta, x)))
-    want = [v + y.mean() for v in c[n:]]
-    assert [r["yhat"] for r in out] == pytest.approx(want, rel=1e-7)
-    sigma = np.sqrt(fits[best][1] / (n - period - max_p - len(beta)))
+        x = [1.0] * (d == 0) + [change(c, i - k) for k in range(1, p + 1)] + [change(c, i - period)] * seasonal
+        x += [change(heat, i)] if with_exog else []
+        # the differenced value with 0 for the unknown one leaves what the past contributes
+        c.append(0.0)
+        c[i] = float(np.dot(beta, x)) - change(c, i)
+    want = [v + level for v in c[n:]]
+    assert [r["yhat"] for r in out] == pytest.approx(want, rel=1e-6)
+    sigma = np.sqrt(fits[best][1] / (n - period - max_p - 2 - len(beta)))
     first = out[0]
     assert first["upper"] - first["yhat"] == pytest.approx(1.959963984540054 * sigma, rel=1e-6)
     widths = [r["upper"] - r["lower"] for r in out]
@@ -116,7 +123,7 @@ def test_lag_recursive_matches_numpy(spark, exog_future):
     hot = [(s, 60 * i, float(np.sin(i / 5))) for s, y in ys.items() for i in range((len(y) + 1) // 2)]
     weather = series(spark, hot).withColumnRenamed("value", "temperature_2m")
     table = features._regular(raw, spec)
-    out = regression.lag_recursive(table, weather, spec, steps, exog_future=exog_future)
+    out = regression.lag_recursive(table, weather, spec, steps, exog_future=exog_future, share=0.8)
     feats = features.feature_matrix(table, weather, spec).orderBy("series_id", "pos").toPandas()
     xs, targets, scaled = [], [], {}
     for s, g in feats.groupby("series_id"):
@@ -154,7 +161,7 @@ def test_direct_horizon_matches_numpy(spark, chunk):
     steps, lookback = 6, 28
     ys = {"a": wave(150, 4), "b": 3 * wave(130, 4)}
     table = regular(spark, ys["a"], series_id="a").unionByName(regular(spark, ys["b"], series_id="b"))
-    out = regression.direct_horizon(table, spec, steps)
+    out = regression.direct_horizon(table, spec, steps, share=0.8)
     z = {s: (y - y.min()) / (y.max() - y.min()) for s, y in ys.items()}
 
     def x(v, i, h):
@@ -235,3 +242,72 @@ def test_holdout_never_sees_validation(spark):
     table = regular(spark, [1, 2, 1, 2, 1, 2, 99, 99, 99, 99])
     out = baseline.seasonal_naive(training_part(table, spec), spec, 4)
     assert column(out, "yhat", "h") == [1.0, 2.0, 1.0, 2.0]
+
+
+def _two(spark, short, long=900):
+    """A long and a short series of one table."""
+    return regular(spark, wave(long), series_id="long").unionByName(regular(spark, range(short), series_id="short"))
+
+
+def _forecasters(spec):
+    from tidegrid.plans.comparison import all_models
+
+    return all_models(spec)
+
+
+@pytest.mark.parametrize("short", [1, 5, 17, 60])
+def test_every_model_answers_for_every_series(spark, short):
+    spec = Spec(period=12, horizon=8)
+    table = _two(spark, short)
+    for name, make in _forecasters(spec).items():
+        rows = make(table, spec, 8).collect()
+        per = {s: {r["h"] for r in rows if r["series_id"] == s and r["yhat"] is not None} for s in ("long", "short")}
+        assert per == {"long": set(range(1, 9)), "short": set(range(1, 9))}, name
+        used = {r["model_used"] for r in rows if r["series_id"] == "short"}
+        if name in ("ar_p", "lag_recursive", "direct_horizon"):
+            assert used == {"persistence" if short < 12 else "kday_average_7"}, name
+
+
+def test_models_refuse_tables_cut_to_their_tail(spark):
+    spec = Spec(period=12, horizon=4)
+    cut = regular(spark, wave(900)).where("pos >= 100")
+    for name in ("ar1", "ar_p", "lag_recursive", "direct_horizon"):
+        with pytest.raises(Exception, match="needs whole series"):
+            _forecasters(spec)[name](cut, spec, 4).collect()
+
+
+def test_all_history_is_fitted(spark):
+    spec = Spec(period=4)
+    y = np.concatenate([wave(400, 4) * 3, wave(200, 4)])
+    b, a = np.polyfit(y[:-1], y[1:], 1)
+    table = regular(spark, y)
+    assert column(regression.ar1(table, spec, 1), "yhat", "h") == pytest.approx([a + b * y[-1]])
+    b, a = np.polyfit(y[-40:-1], y[-39:], 1)
+    assert column(regression.ar1(table, spec, 1, train_seasons=10), "yhat", "h") == pytest.approx([a + b * y[-1]])
+
+
+def test_series_without_weather_are_forecast(spark):
+    from tidegrid.plans.comparison import all_models
+
+    spec = Spec(period=4, horizon=6)
+    ys = {"a": wave(620, 4), "b": wave(640, 4)}
+    raw = series(spark, [(s, 30 * i, float(v)) for s, y in ys.items() for i, v in enumerate(y)])
+    weather = series(spark, [("a", 60 * i, float(np.sin(i / 5))) for i in range(310)]).withColumnRenamed("value", "temperature_2m")
+    table = features._regular(raw, spec)
+    for name, make in all_models(spec, weather).items():
+        rows = make(table, spec, 6).collect()
+        assert {(r["series_id"], r["h"]) for r in rows if r["yhat"] is not None} == {(s, h) for s in ys for h in range(1, 7)}, name
+
+
+def test_direct_horizon_with_covariates(spark):
+    """A covariate that moves the target is found, also when it is scaled on the first part only."""
+    n, steps = 400, 5
+    spec = Spec(period=4)
+    heat = RNG.normal(0, 1, n + steps)
+    y = 20 + 5 * heat[:n] + RNG.normal(0, 0.01, n)
+    lookup = spark.createDataFrame([(i, float(v)) for i, v in enumerate(heat)], "i bigint, heat double")
+    table = regular(spark, y).join(lookup, F.col("pos") == F.col("i")).drop("i")
+    future = lookup.where(F.col("i") >= n).select(F.lit("a").alias("series_id"), (F.col("i") - n + 1).cast("int").alias("h"), "heat")
+    for share in (None, 0.5):
+        out = regression.direct_horizon(table, spec, steps, exog_cols=["heat"], future=future, scaler_share=share)
+        assert column(out, "yhat", "h") == pytest.approx(20 + 5 * heat[n:], abs=0.1)

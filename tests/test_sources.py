@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import column, series, stamp
+from tidegrid.functions.parsing import parse_timestamp
 from tidegrid.operators import evaluate
+from tidegrid.operators.align import first_station
 from tidegrid.operators.regularise import resample_mean
 from tidegrid.plans.comparison import run_comparison
 from tidegrid.sources import sinks, tables
@@ -46,16 +48,47 @@ def test_whole_job_and_sinks(spark, sf_dir, tmp_path):
     sinks.write_forecast_table(result.table, str(tmp_path / "table"))
     back = spark.read.option("header", True).csv(str(tmp_path / "table"))
     assert back.count() == result.table.count()
-    assert {r[0] for r in back.select("series").distinct().collect()} == {f"{t}_x" for t in ("click", "view", "error", "signup", "purchase")}
+    names = {f"{t}/x" for t in ("click", "view", "error", "signup", "purchase")}
+    assert {r[0] for r in back.select("series_id").distinct().collect()} == names
     sinks.write_forecast_table(result.table, str(tmp_path / "parquet"), "parquet")
     assert spark.read.parquet(str(tmp_path / "parquet")).count() == result.table.count()
-    sinks.write_report(result.report, str(tmp_path / "report"))
-    lines = spark.read.text(str(tmp_path / "report")).where("series = 'click_x'").collect()
-    assert [r["value"].split()[0] for r in lines] == ["MAPE", "MSE", "wMAPE"]
+    models = ["seasonal_naive", "kday_average"]
+    sinks.write_report(result.report, str(tmp_path / "report"), models)
+    schema = "series_id string, line_no int, line string"
+    lines = spark.read.option("sep", "\t").schema(schema).csv(str(tmp_path / "report")).where("series_id = 'click/x'")
+    text = column(lines, "line", "line_no")
+    assert text[0] == "Model comparison: click/x" and text[2].split() == ["Metric", *models, "Best", "model"]
+    assert [t.split()[0] for t in text[4:7]] == ["MAPE", "MSE", "wMAPE"] and text[-1].startswith("Lower is better")
     header = result.table.columns
     assert header[:2] == ["series_id", "timestamp"] and "demand_history" in header
 
 
+def test_series_that_share_a_folder_stay_apart(spark, tmp_path):
+    rows = [("a/b", 1), ("a_b", 2)]
+    table = spark.createDataFrame(rows, "series_id string, v int").withColumn("timestamp", F.lit(stamp(0)))
+    for layout in ("series", "date", "bucket"):
+        sinks.write_forecast_table(table, str(tmp_path / layout), "parquet", layout)
+        back = spark.read.parquet(str(tmp_path / layout))
+        assert sorted((r.series_id, r.v) for r in back.collect()) == rows
+
+
+@pytest.mark.parametrize(
+    "text, minutes",
+    [("1/1/2024 0:30", 30), ("01/01/2024 01:00:00", 60), ("2024-01-01 00:30", 30), ("2024-01-01T00:30:00.500", 30), ("1/1/2024", 0), ("13/13/2024", None)],
+)
+def test_stamps_as_people_write_them(spark, text, minutes):
+    got = spark.createDataFrame([(text,)], "t string").select(F.date_trunc("minute", parse_timestamp(F.col("t"))).cast("timestamp_ntz"))
+    assert got.first()[0] == (None if minutes is None else stamp(minutes))
+
+
+def test_interval_means_and_stations(spark):
+    rows = [("a", "m", 1.0, 0.0, 2.0), ("a", "m", 3.0, 1.0, 6.0)]
+    summary = evaluate.forecast_summary(spark.createDataFrame(rows, "series_id string, model string, yhat double, lower double, upper double"))
+    assert (summary.first().mean_lower, summary.first().mean_upper) == (0.5, 4.0)
+    stations = spark.createDataFrame([("s", 1, 2.0, 9.0), ("s", 1, 1.0, 10.0)], "station string, k int, x double, y double")
+    assert tuple(first_station(stations, "k").first()) == ("s", 1.0, 10.0)
+
+
 def test_report_marks_missing_scores(spark):
     scores = spark.createDataFrame([("a", "m", None, 1.23456, 2.0)], "series_id string, model string, mape double, mse double, wmape double")
     lines = column(sinks.report_lines(evaluate.compare_models(scores, ["m"]), ["m"]), "line", "line_no")

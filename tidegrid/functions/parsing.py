@@ -7,8 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Day-first layouts, most specific first.
-DAY_FIRST_FORMATS = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy")
+# Day-first layouts, most specific first, then ISO ones. Single letters take one
+# or two digits; brackets are optional parts.
+DAY_FIRST_FORMATS = (
+    "d/M/yyyy H:m:s[.SSSSSS][.SSS]",
+    "d/M/yyyy H:m",
+    "d/M/yyyy",
+    "yyyy-M-d['T'][ ]H:m:s[.SSSSSS][.SSS]",
+    "yyyy-M-d['T'][ ]H:m",
+    "yyyy-M-d",
+)
 
 
 def parse_timestamp(text: Column, formats: Sequence[str] = DAY_FIRST_FORMATS) -> Column:

@@ -14,9 +14,10 @@ from tidegrid.spec import Spec
 
 
 def first_station(stations: DataFrame, order: str) -> DataFrame:
-    """One row per station name: the one that comes first by ``order``."""
+    """One row per station name: the one that comes first by ``order``, of equal ones by the other columns."""
     rest = [c for c in stations.columns if c not in ("station", order)]
-    return stations.groupBy("station").agg(*[F.min_by(c, order).alias(c) for c in rest])
+    first = stations.groupBy("station").agg(F.min(F.struct(order, *rest)).alias("_first"))
+    return first.select("station", *[F.col(f"_first.{c}") for c in rest])
 
 
 def lookup_stations(names: DataFrame, stations: DataFrame, order: str) -> DataFrame:

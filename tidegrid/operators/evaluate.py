@@ -75,18 +75,22 @@ def baseline_tail(spec: Spec) -> int:
     return spec.validation_steps + max(spec.k_days, 1) * spec.period
 
 
-def holdout_forecasts(regular: DataFrame, models: Mapping[str, Forecaster], spec: Spec) -> DataFrame:
-    """Forecasts of the validation days from the rows before them, all series and models."""
-    train = training_part(regular, spec)
+def forecasts_of(regular: DataFrame, models: Mapping[str, Forecaster], spec: Spec, steps: int) -> DataFrame:
+    """Forecasts of all models in one table; what only some of them have is NULL elsewhere."""
     out = None
-    for make in models.values():
-        part = make(train, spec, spec.validation_steps)
-        out = part if out is None else out.unionByName(part)
+    for name, make in models.items():
+        part = make(regular, spec, steps).withColumn("model", F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         raise ValueError("no models")
     return out
 
 
+def holdout_forecasts(regular: DataFrame, models: Mapping[str, Forecaster], spec: Spec) -> DataFrame:
+    """Forecasts of the validation days from the rows before them, all series and models."""
+    return forecasts_of(training_part(regular, spec), models, spec, spec.validation_steps)
+
+
 def backtest_holdout(regular: DataFrame, models: Mapping[str, Forecaster], spec: Spec) -> DataFrame:
     """Errors of every model on the validation days."""
     return metrics(validation_part(regular, spec), holdout_forecasts(regular, models, spec))
@@ -123,12 +127,14 @@ def improvement(scores: DataFrame, baseline: str) -> DataFrame:
 
 
 def forecast_summary(forecasts: DataFrame) -> DataFrame:
-    """Range and mean of each forecast."""
+    """Range and mean of each forecast, and the mean interval bounds where there are any."""
+    bounds = [F.avg(c).alias(f"mean_{c}") for c in ("lower", "upper") if c in forecasts.columns]
     return forecasts.groupBy("series_id", "model").agg(
         F.count(F.lit(1)).alias("steps"),
         F.min("yhat").alias("min_yhat"),
         F.max("yhat").alias("max_yhat"),
         F.avg("yhat").alias("mean_yhat"),
+        *bounds,
     )
 
 

@@ -82,14 +82,14 @@ def exog_matrix(
 ) -> DataFrame:
     """Demand, weekend and temperature on every demand row; weather gaps are filled.
 
-    A series without any weather keeps no rows, as its temperature stays missing.
+    The temperature of a series without any weather is NULL in all its rows.
     """
     if weather is None:
         table = add_weekend(_regular(demand, spec), flags).withColumnRenamed("value", "demand")
         return table.select("series_id", "ts", "pos", "n", "demand", "is_weekend")
     table = add_weekend(_left_filled(demand, weather, spec, "temperature_2m"), flags)
-    complete = table.where(F.col("temperature_2m").isNotNull()).withColumnRenamed("value", "demand")
-    return complete.select("series_id", "ts", "pos", "n", "demand", "is_weekend", "temperature_2m")
+    named = table.withColumnRenamed("value", "demand")
+    return named.select("series_id", "ts", "pos", "n", "demand", "is_weekend", "temperature_2m")
 
 
 def covariates(
@@ -107,16 +107,18 @@ def feature_matrix(
     demand: DataFrame,
     weather: DataFrame | None,
     spec: Spec,
-    days: int | None = 90,
+    days: int | None = None,
     measures: Sequence[str] = ("temperature_2m",),
     calendar: bool = False,
     flags: DataFrame | None = None,
 ) -> DataFrame:
     """Complete rows of demand, weekend and weather, optionally with calendar columns.
 
-    Only stamps inside the weather stay, at most ``days`` before the last demand. Without
-    weather the measures are 0.0. What stays has no gaps, so ``pos`` and ``n`` follow
-    from its first and last slot.
+    Only stamps inside the weather stay, and with ``days`` only those at most so long before the
+    last demand. A series without weather, or whose weather lies wholly outside its demand, keeps
+    all its stamps, and so does every series if ``weather`` is None; the measures are 0.0 there. A
+    measure that a series lacks altogether is 0.0 too. What stays has no gaps, so ``pos`` and
+    ``n`` follow from its first and last slot.
     """
     back = None if days is None else days * 86400 // spec.step
     if weather is None:
@@ -128,14 +130,19 @@ def feature_matrix(
         )
     else:
         near = _merged(demand, weather, spec, measures)
-        starts = [F.col("value_first_at"), *[F.col(f"{m}_first_at") for m in measures]]
-        # greatest() skips NULL, so series that lack a column altogether go first.
-        for start in starts:
-            near = near.where(start.isNotNull())
+        near = near.where(F.col("value_first_at").isNotNull())
+        first, last = F.col("value_first_at"), F.col("value_last_at")
+        # greatest() and least() skip NULL: what a series lacks does not bound it.
+        begin = F.greatest(first, *[F.col(f"{m}_first_at") for m in measures])
+        end = F.least(last, "_weather_last_at")
+        inside = (begin <= end) & F.col("_weather_last_at").isNotNull()
+        lo = F.when(inside, begin).otherwise(first)
+        hi = F.when(inside, end).otherwise(last)
         if back is not None:
-            starts.append(F.col("value_last_at") - back)
-        lo, hi = F.greatest(*starts), F.least("value_last_at", "_weather_last_at")
-        values = {c: filled_value(c, "linear") for c in ("value", *measures)}
+            lo = F.greatest(lo, last - back)
+        values = {"value": filled_value("value", "linear")}
+        for m in measures:
+            values[m] = F.when(inside, F.coalesce(filled_value(m, "linear"), F.lit(0.0))).otherwise(0.0)
         table = _grid(near, lo, hi, spec, values)
     table = add_weekend(table, flags).withColumnRenamed("value", "demand")
     table = table.select("series_id", "ts", "demand", "is_weekend", *measures, "pos", "n")

@@ -11,8 +11,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,26 +18,20 @@ from pyspark.sql import functions as F
 from tidegrid.functions.calendar import is_weekend
 from tidegrid.functions.timegrid import shift
 from tidegrid.operators.align import lag_fallback
+from tidegrid.operators.baseline import seasonal_naive
 from tidegrid.operators.chunked import with_halo
 from tidegrid.operators.features import feature_matrix
 from tidegrid.operators.scaling import minmax_fit, minmax_transform
-from tidegrid.operators.select import last_ts
+from tidegrid.operators.select import gates, last_ts
 from tidegrid.operators.windows import lagged, step_pairs
-from tidegrid.session import checkpointed
 from tidegrid.spec import Spec
 
-# Days of history a model trains on, two-sided 95 % normal quantile,
-# 5 % critical value of the Dickey-Fuller test with a constant.
-TRAIN_DAYS = 30
+# Two-sided 95 % normal quantile, 5 % critical value of the Dickey-Fuller test
+# with a constant.
 NORMAL_95 = 1.959963984540054
 DICKEY_FULLER_5 = -2.86
 
 
-def _train_tail(regular: DataFrame, spec: Spec) -> DataFrame:
-    """The training days of each series: a bounded number of rows."""
-    return regular.where(F.col("pos") >= F.col("n") - TRAIN_DAYS * spec.period)
-
-
 def _forecast_rows(df: DataFrame, spec: Spec, model: str, *extra: str) -> DataFrame:
     return df.select(
         "series_id",
@@ -52,19 +44,43 @@ def _forecast_rows(df: DataFrame, spec: Spec, model: str, *extra: str) -> DataFr
     )
 
 
+def _substitute(regular: DataFrame, spec: Spec, steps: int, model: str) -> DataFrame:
+    """The K-day average for series too short for ``model``; ``model_used`` names what it is."""
+    rows = seasonal_naive(regular, spec, steps, k=spec.k_days)
+    return rows.withColumn("model", F.lit(model))
+
+
+def _whole(rows: Column, wanted: Column, value: Column, model: str) -> Column:
+    """``value``, or an error if a series has fewer ``rows`` than it says, as a table cut to its tail has."""
+    text = F.concat(F.lit(f"{model} needs whole series: "), rows.cast("string"), F.lit(" of "), wanted.cast("string"))
+    return F.when(rows < wanted, F.raise_error(text)).otherwise(value)
+
+
+def _since(spec: Spec, seasons: int | None) -> Column:
+    """First position that counts when only the newest ``seasons`` are to be fitted."""
+    return F.lit(0) if seasons is None else F.greatest(F.lit(0), F.col("n") - seasons * spec.period)
+
+
 # --- first-order autoregression, built-in aggregates only -------------------------
 
 
-def ar1(regular: DataFrame, spec: Spec, steps: int | None = None, model: str = "ar1") -> DataFrame:
-    """y(t) = a + b y(t-1), fitted per series on the training days and rolled out."""
+def ar1(
+    regular: DataFrame, spec: Spec, steps: int | None = None, model: str = "ar1", train_seasons: int | None = None
+) -> DataFrame:
+    """y(t) = a + b y(t-1), fitted per series and rolled out.
+
+    All history counts, or the newest ``train_seasons``. A series that is constant or has one row
+    repeats its last value.
+    """
     steps = spec.horizon if steps is None else steps
-    # The window sees the training days only, a bounded number of rows per series.
-    before = F.lag("value").over(W.partitionBy("series_id").orderBy("pos"))
-    pairs = _train_tail(regular, spec).select("series_id", "pos", "value", before.alias("x"), last_ts(spec).alias("_last"))
+    pairs = step_pairs(regular, spec).select(
+        "series_id", "pos", "n", "value", last_ts(spec).alias("_last"),
+        F.when(F.col("pos") > _since(spec, train_seasons), F.col("value_lag1")).alias("x"),
+    )
     fit = pairs.groupBy("series_id", "_last").agg(
         F.regr_slope("value", "x").alias("b"),
         F.regr_intercept("value", "x").alias("a"),
-        F.max_by("value", "pos").alias("y"),
+        _whole(F.count(F.lit(1)), F.max("n"), F.max_by("value", "pos"), model).alias("y"),
     )
     # No slope (constant or single row): the last value is the forecast.
     known = fit.withColumns(
@@ -82,76 +98,92 @@ def ar1(regular: DataFrame, spec: Spec, steps: int | None = None, model: str = "
 # --- autoregression with order search and exogenous columns ------------------------
 
 
-def _candidates(lags: Sequence[int], max_p: int, period: int, n_exog: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """Models as restrictions of one regression on the constant, all lags and the exogenous columns.
+def _lags(max_p: int, period: int) -> tuple[list[int], list[int]]:
+    """Lags of the series and of the covariates that the candidate orders read."""
+    near = range(max_p + 3)
+    return sorted({k + s for k in near for s in (0, period)} - {0}), [k + s for s in (0, period) for k in range(3)]
+
 
-    A model is ``coef = base + free @ theta``. Differencing fixes some lag weights in
-    ``base`` and ties others in ``free``, so every model predicts the same value from the same
-    columns on the same rows, and their AIC values are comparable.
+def _candidates(max_p: int, period: int, n_exog: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """Models as restrictions of one regression on the constant, the lags and the covariates' lags.
+
+    A model is ``coef = base + free @ theta``. Differencing (regular and seasonal) fixes lag weights
+    in ``base`` and ties others in ``free``, for the covariates as for the series, so every model
+    predicts the same value from the same columns on the same rows, and AIC values compare.
     """
+    lags, exog_lags = _lags(max_p, period)
     at = {lag: 1 + i for i, lag in enumerate(lags)}
-    width = 1 + len(lags) + n_exog
-    exog = [np.eye(width)[width - n_exog + j] for j in range(n_exog)]
+    width = 1 + len(lags) + n_exog * len(exog_lags)
 
-    def weights(poly: np.ndarray, by: int = 0) -> np.ndarray:
-        """Lag weights of ``poly`` applied to the series ``by`` steps back."""
+    def weights(poly: dict[int, float], by: int = 0) -> np.ndarray:
+        """Lag weights of the differenced series ``by`` steps back."""
         v = np.zeros(width)
-        for k, c in enumerate(poly):
-            if k + by > 0 and c:
+        for k, c in poly.items():
+            if k + by > 0:
                 v[at[k + by]] += c
         return v
 
-    season = np.zeros(period + 1)
-    season[0], season[period] = 1.0, -1.0
-    plain = [np.array([1.0]), np.array([1.0, -1.0]), np.array([1.0, -2.0, 1.0])]
+    def covariate(poly: dict[int, float], j: int) -> np.ndarray:
+        v = np.zeros(width)
+        for k, c in poly.items():
+            v[1 + len(lags) + j * len(exog_lags) + exog_lags.index(k)] += c
+        return v
+
+    plain = [{0: 1.0}, {0: 1.0, 1: -1.0}, {0: 1.0, 1: -2.0, 2: 1.0}]
     out = []
     for d, poly in enumerate(plain):
-        for p in range(max_p + 1):
-            free = [weights(poly, i) for i in range(1, p + 1)] + exog
-            if d == 0:
-                free = [np.eye(width)[0], *free]
-            if free:
-                out.append((f"({p},{d},0)(0,0,0)", -weights(poly), np.array(free).T))
-            if d == 0:
-                seasonal = [*free, weights(np.array([1.0]), period)]
-                out.append((f"({p},0,0)(1,0,0)", -weights(poly), np.array(seasonal).T))
-    for p in range(max_p + 1):
-        free = [np.eye(width)[0]] + [weights(season, i) for i in range(1, p + 1)] + exog
-        out.append((f"({p},0,0)(0,1,0)", -weights(season), np.array(free).T))
+        for seasonal_lag, seasonal_difference in ((0, 0), (1, 0), (0, 1)):
+            diff = dict(poly)
+            if seasonal_difference:
+                diff |= {k + period: -c for k, c in poly.items()}
+            for p in range(max_p + 1):
+                free = [] if d else [np.eye(width)[0]]
+                free += [weights(diff, i) for i in range(1, p + 1)]
+                free += [weights(diff, period)] if seasonal_lag else []
+                free += [covariate(diff, j) for j in range(n_exog)]
+                name = f"({p},{d},0)({seasonal_lag},{seasonal_difference},0)"
+                out.append((name, -weights(diff), np.array(free).reshape(-1, width).T))
     return out
 
 
 def ar_fit(
-    regular: DataFrame,
-    spec: Spec,
-    max_p: int,
-    exog_cols: Sequence[str] = (),
-) -> tuple[DataFrame, list[int]]:
-    """Sums of products per series over the training days, and the lags they cover.
+    regular: DataFrame, spec: Spec, max_p: int, exog_cols: Sequence[str] = (), train_seasons: int | None = None
+) -> DataFrame:
+    """Sums of products per series, and its newest rows.
 
-    ``gram`` is the upper triangle over (1, lags..., exog..., y), row by row; ``recent``
-    holds the last values, oldest first. Values are centred by the series mean
-    (``level``) so that the sums stay well conditioned.
+    ``gram`` is the upper triangle over (1, lags..., covariates' lags..., y), row by row; ``recent``
+    and ``recent_exog`` hold the last values, oldest first. Lags cross chunk borders by copies, so
+    no task holds a series. A missing covariate counts as 0.
     """
-    lags = sorted({*range(1, max_p + 3), *range(spec.period, spec.period + max_p + 1)})
-    tail = _train_tail(regular, spec)
-    series = W.partitionBy("series_id")  # training days only: bounded
-    ordered = series.orderBy("pos")
-    centred = tail.withColumn("level", F.avg("value").over(series)).withColumn("y", F.col("value") - F.col("level"))
-    rows = centred.select(
-        "series_id", "level", "y", *exog_cols, last_ts(spec).alias("_last"),
-        *[F.lag("y", k).over(ordered).alias(f"lag{k}") for k in lags],
-    ).where(F.col(f"lag{lags[-1]}").isNotNull())
-    z = [F.lit(1.0), *[F.col(f"lag{k}") for k in lags], *[F.col(c) for c in exog_cols], F.col("y")]
+    lags, exog_lags = _lags(max_p, spec.period)
+    depth = max(lags)
+    exog = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in exog_cols]
+    table = regular.select("series_id", "ts", "pos", "n", "value", *exog)
+    one = table.select("series_id", "ts", "pos", "n", F.struct("value", *exog_cols).alias("_row"))
+    back = sorted({*lags, *exog_lags} - {0}) if exog_cols else lags
+    rows = lagged(one, "_row", back, spec).where(F.col("pos") >= depth + _since(spec, train_seasons))
+
+    def cell(lag: int, name: str) -> Column:
+        return F.col(f"_row_lag{lag}.{name}" if lag else f"_row.{name}")
+
+    z = [F.lit(1.0), *[cell(k, "value") for k in lags], *[cell(k, c) for c in exog_cols for k in exog_lags], cell(0, "value")]
     products = [F.sum(z[i] * z[j]) for i in range(len(z)) for j in range(i, len(z))]
-    # Plain sums and the list are aggregated apart: a list would take the sums off the
+    # Plain sums and the lists are aggregated apart: a list would take the sums off the
     # generated hash aggregation.
-    sums = rows.groupBy("series_id", "_last", "level").agg(F.count(F.lit(1)).alias("m"), F.array(*products).alias("gram"))
-    recent = tail.where(F.col("pos") >= F.col("n") - lags[-1]).groupBy("series_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("recent")
+    m = F.count(F.lit(1))
+    wanted = F.max(F.col("n") - depth - _since(spec, train_seasons))
+    sums = rows.groupBy("series_id", last_ts(spec).alias("_last")).agg(
+        _whole(m, wanted, m, "ar_forecast").alias("m"), F.array(*products).alias("gram")
+    )
+    recent = table.where(F.col("pos") >= F.col("n") - depth).groupBy("series_id").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "value", F.array(*exog_cols).cast("array<double>").alias("x")))).alias("r")
+    )
+    recent = recent.select(
+        "series_id",
+        F.transform("r", lambda r: r["value"]).alias("recent"),
+        F.flatten(F.transform("r", lambda r: r["x"])).alias("recent_exog"),
     )
-    recent = recent.select("series_id", F.transform("recent", lambda r: r["value"]).alias("recent"))
-    return sums.join(recent, "series_id"), lags
+    return sums.join(recent, "series_id")
 
 
 def ar_forecast(
@@ -163,31 +195,41 @@ def ar_forecast(
     exog_cols: Sequence[str] = (),
     future: DataFrame | None = None,
     model: str = "ar_p",
+    min_rows: int | None = None,
+    train_seasons: int | None = None,
 ) -> DataFrame:
     """Autoregression with the order of lowest AIC, a 95 % interval, and optional covariates.
 
-    Orders: up to ``max_p`` lags, up to two differences, a seasonal lag or a seasonal
-    difference. ``regular`` holds the exogenous columns, ``future`` their values for
-    ``h = 1..steps``. Adds ``lower``, ``upper`` and ``order``.
+    Orders: up to ``max_p`` lags, up to two differences, and a seasonal lag or a seasonal difference
+    with any of them; covariates are differenced like the series. An order needs more rows than it
+    has parameters. ``regular`` holds the covariates, ``future`` their values for ``h = 1..steps``.
+    Series with fewer than ``min_rows`` (by default the gate for autoregressions) get the K-day
+    average, named in ``model_used``. Adds ``lower``, ``upper`` and ``order``, NULL for those.
     """
     steps = spec.horizon if steps is None else steps
-    sums, lags = ar_fit(regular, spec, max_p, exog_cols)
+    lags, exog_lags = _lags(max_p, spec.period)
+    n_lags, n_exog, n_back, depth, period = len(lags), len(exog_cols), len(exog_lags), max(lags), spec.period
+    need = max(depth + 3, gates(spec)["autoregression"] if min_rows is None else min_rows)
+    sums = ar_fit(regular.where(F.col("n") >= need), spec, max_p, exog_cols, train_seasons)
     if exog_cols:
         if future is None:
             raise ValueError("exogenous columns need their future values")
         # At most ``steps`` rows per series.
         ahead = future.where(F.col("h") <= steps).groupBy("series_id").agg(
-            F.sort_array(F.collect_list(F.struct("h", F.array(*exog_cols).alias("x")))).alias("_x")
+            F.sort_array(F.collect_list(F.struct("h", F.array(*exog_cols).cast("array<double>").alias("x")))).alias("_x")
         )
-        ahead = ahead.select("series_id", F.flatten(F.transform("_x", lambda r: r["x"])).alias("future"))
-        sums = sums.join(ahead, "series_id")
+        flat = F.flatten(F.transform("_x", lambda r: F.transform(r["x"], lambda v: F.coalesce(v, F.lit(0.0)))))
+        sums = sums.join(ahead.select("series_id", flat.alias("future")), "series_id", "left")
+        enough = F.coalesce(F.size("future"), F.lit(0)) == steps * n_exog
+        sums = sums.withColumn("future", F.when(enough, F.col("future")).otherwise(F.raise_error(F.lit(f"{model} lacks future covariates"))))
     else:
         sums = sums.withColumn("future", F.array().cast("array<double>"))
-    width, n_exog, period = 2 + len(lags) + len(exog_cols), len(exog_cols), spec.period
+    width = 2 + n_lags + n_exog * n_back
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models = _candidates(lags, max_p, period, n_exog)
+        models = _candidates(max_p, period, n_exog)
         upper = np.triu_indices(width)
+        series_at = [*range(1, 1 + n_lags), width - 1]
         for pdf in batches:
             if not len(pdf):
                 continue
@@ -195,44 +237,51 @@ def ar_forecast(
             full = np.zeros((size, width, width))
             full[:, upper[0], upper[1]] = np.stack(pdf["gram"].to_numpy())
             full = full + np.transpose(np.triu(full, 1), (0, 2, 1))
-            gram, gy, yy = full[:, :-1, :-1], full[:, :-1, -1], full[:, -1, -1]
             m = pdf["m"].to_numpy(dtype=float)
+            # Centre the series by its mean, so that the systems are well conditioned.
+            level = full[:, 0, -1] / m
+            shift_by = np.tile(np.eye(width), (size, 1, 1))
+            shift_by[:, series_at, 0] = -level[:, None]
+            full = shift_by @ full @ np.transpose(shift_by, (0, 2, 1))
+            gram, gy, yy = full[:, :-1, :-1], full[:, :-1, -1], full[:, -1, -1]
             best_aic = np.full(size, np.inf)
             coef, sigma2 = np.zeros((size, width - 1)), np.zeros(size)
             order = np.full(size, "", dtype=object)
             for name, base, free in models:
-                inner = free.T @ gram @ free
-                theta = np.einsum("sij,sj->si", np.linalg.pinv(inner, hermitian=True), (gy - gram @ base) @ free)
-                b = base + theta @ free.T
+                b = np.tile(base, (size, 1))
+                if free.shape[1]:
+                    inner = free.T @ gram @ free
+                    b = b + np.einsum("sij,sj->si", np.linalg.pinv(inner, hermitian=True), (gy - gram @ base) @ free) @ free.T
                 rss = yy - 2 * np.einsum("si,si->s", b, gy) + np.einsum("si,sij,sj->s", b, gram, b)
                 rss = np.maximum(rss, 1e-12 * np.maximum(yy, 1e-12))
-                aic = m * np.log(rss / m) + 2 * free.shape[1]
+                aic = np.where(m > free.shape[1] + 1, m * np.log(rss / m) + 2 * free.shape[1], np.inf)
                 better = aic < best_aic
                 best_aic = np.where(better, aic, best_aic)
                 coef[better], order[better] = b[better], name
                 sigma2[better] = (rss / np.maximum(m - free.shape[1], 1))[better]
-            depth = lags[-1]
             path = np.zeros((size, depth + steps))
             impulse = np.zeros((size, depth + steps))
-            path[:, :depth] = np.stack(pdf["recent"].to_numpy()) - pdf["level"].to_numpy()[:, None]
+            path[:, :depth] = np.stack(pdf["recent"].to_numpy()) - level[:, None]
             impulse[:, depth] = 1.0
-            fut = np.stack(pdf["future"].to_numpy()).reshape(size, steps, n_exog) if n_exog else None
-            lag_coef = coef[:, 1 : 1 + len(lags)]
+            lag_coef = coef[:, 1 : 1 + n_lags]
+            exog_coef = coef[:, 1 + n_lags :].reshape(size, n_exog, n_back)
+            if n_exog:
+                known = [np.stack(pdf[c].to_numpy()).reshape(size, -1, n_exog) for c in ("recent_exog", "future")]
+                exog = np.concatenate(known, axis=1)
             for h in range(steps):
                 back = depth + h - np.array(lags)
                 path[:, depth + h] = coef[:, 0] + np.einsum("sl,sl->s", lag_coef, path[:, back])
                 if n_exog:
-                    path[:, depth + h] += np.einsum("sj,sj->s", coef[:, 1 + len(lags) :], fut[:, h])
+                    path[:, depth + h] += np.einsum("sjl,slj->s", exog_coef, exog[:, depth + h - np.array(exog_lags)])
                 if h:
                     impulse[:, depth + h] = np.einsum("sl,sl->s", lag_coef, impulse[:, back])
-            yhat = path[:, depth:] + pdf["level"].to_numpy()[:, None]
+            yhat = path[:, depth:] + level[:, None]
             half = NORMAL_95 * np.sqrt(sigma2[:, None] * np.cumsum(impulse[:, depth:] ** 2, axis=1))
             yield pd.DataFrame(
                 {
                     "series_id": pdf["series_id"],
                     "_last": pdf["_last"],
                     "order": order,
-                    "coef": list(coef),
                     "yhat": list(yhat),
                     "lower": list(yhat - half),
                     "upper": list(yhat + half),
@@ -241,20 +290,46 @@ def ar_forecast(
 
     key = sums.schema["series_id"].dataType.simpleString()
     schema = (
-        f"series_id {key}, _last timestamp_ntz, order string, coef array<double>, "
-        "yhat array<double>, lower array<double>, upper array<double>"
+        f"series_id {key}, _last timestamp_ntz, order string, yhat array<double>, lower array<double>, upper array<double>"
     )
     # Only ship what the solver reads.
-    solved = sums.select("series_id", "_last", "level", "m", "gram", "recent", "future").mapInPandas(solve, schema)
+    shipped = ["series_id", "_last", "m", "gram", "recent", "recent_exog", "future"]
+    solved = sums.select(*shipped).mapInPandas(solve, schema)
     steps_col = F.sequence(F.lit(1), F.lit(steps)).alias("h")
     zipped = solved.select("series_id", "_last", "order", F.arrays_zip(steps_col, "yhat", "lower", "upper").alias("z"))
     rolled = zipped.select("series_id", "_last", "order", F.inline("z"))
-    return _forecast_rows(rolled, spec, model, "lower", "upper", "order")
+    found = _forecast_rows(rolled, spec, model, "lower", "upper", "order")
+    rest = _substitute(regular.where(F.col("n") < need), spec, steps, model)
+    return found.unionByName(rest, allowMissingColumns=True)
 
 
 # --- pooled one-step regression, rolled out recursively -----------------------------
 
 
+def _solved(sums: DataFrame, keys: str, width: int) -> DataFrame:
+    """Least squares from rows of ``gram`` sums, upper triangles of (x..., y): the coefficients ``b``."""
+    names = [k.split(" ")[0] for k in keys.split(", ") if k]
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        upper = np.triu_indices(width)
+        for pdf in batches:
+            pdf = pdf[[g is not None and g[0] is not None and not np.isnan(g[0]) for g in pdf["gram"]]]
+            if not len(pdf):
+                continue
+            full = np.zeros((len(pdf), width, width))
+            full[:, upper[0], upper[1]] = np.stack([np.asarray(g, float) for g in pdf["gram"]])
+            full = full + np.transpose(np.triu(full, 1), (0, 2, 1))
+            inverse = np.linalg.pinv(full[:, :-1, :-1], hermitian=True)
+            b = np.einsum("sij,sj->si", inverse, full[:, :-1, -1])
+            yield pd.DataFrame({**{k: pdf[k].to_numpy() for k in names}, "b": list(b)})
+
+    return sums.mapInPandas(solve, f"{keys}{', ' if keys else ''}b array<double>")
+
+
+def _grams(z: Sequence[Column]) -> Column:
+    return F.array(*[F.sum(z[i] * z[j]) for i in range(len(z)) for j in range(i, len(z))])
+
+
 def lag_recursive(
     regular: DataFrame,
     weather: DataFrame | None,
@@ -262,19 +337,21 @@ def lag_recursive(
     steps: int | None = None,
     *,
     lags: Sequence[int] | None = None,
-    days: int = 90,
-    cap: int = 2000,
-    share: float = 0.8,
+    days: int | None = None,
+    cap: int | None = None,
+    share: float = 1.0,
+    scaler_share: float | None = None,
     exog_future: str = "freeze",
     model: str = "lag_recursive",
 ) -> DataFrame:
     """One linear model for all series on scaled lags, predicting one step at a time.
 
-    Features are demand at ``lags`` plus weekend and temperature of the previous row. The
-    newest ``cap`` samples of each series are used, the first ``share`` of them for
-    training. In the rollout weekend and temperature stay at their last values (``freeze``),
-    the weekend follows the calendar (``calendar``), or the temperature also comes from a
-    year or a week ago (``asof``).
+    Features are demand at ``lags`` plus weekend and temperature of the previous row. All samples
+    train; ``days`` and ``cap`` keep the newest of each series, ``share`` the first part of them, and
+    ``scaler_share`` has the scaler see only that part of a series. In the rollout weekend and
+    temperature stay at their last values (``freeze``), the weekend follows the calendar
+    (``calendar``), or the temperature also comes from a year or a week ago (``asof``). A series
+    with fewer feature rows than the deepest lag gets the K-day average, named in ``model_used``.
     """
     if exog_future not in ("freeze", "calendar", "asof"):
         raise ValueError(f"unknown exog_future: {exog_future}")
@@ -283,31 +360,36 @@ def lag_recursive(
     depth = max(lags)
     cols = ["demand", "is_weekend", "temperature_2m"]
     recent = feature_matrix(regular, weather, spec, days)
-    # Training and rollout both read the scaled rows: keep them instead of recomputing.
-    scaled = checkpointed(minmax_transform(recent, minmax_fit(recent, cols), cols))
-
-    first = F.greatest(F.lit(depth), F.col("n") - cap)
-    newest = scaled.where(F.col("pos") >= F.greatest(F.lit(0), F.col("n") - cap - depth))
-    one = newest.select("series_id", "pos", "n", F.struct(*cols).alias("_row"))
-    samples = lagged(one, "_row", lags, spec).where(F.col("pos") >= first)
-    names = [f"y{k}" for k in lags] + ["weekend", "temperature"]
-    table = samples.where(F.col("pos") - first < F.floor(F.lit(share) * (F.col("n") - first))).select(
-        F.col("_row.demand").alias("label"),
-        *[F.col(f"_row_lag{k}.demand").alias(f"y{k}") for k in lags],
-        F.col(f"_row_lag{min(lags)}.is_weekend").alias("weekend"),
-        F.col(f"_row_lag{min(lags)}.temperature_2m").alias("temperature"),
+    scaler = minmax_fit(recent, cols, scaler_share).join(
+        recent.groupBy("series_id").agg(F.count(F.lit(1)).alias("_rows"), F.max("n").alias("_n")), "series_id"
     )
-    train = VectorAssembler(inputCols=names, outputCol="features").transform(table).select("features", "label")
-    fit = LinearRegression(solver="normal").fit(train)
-    b = [float(c) for c in fit.coefficients]
+    scaler = scaler.withColumn("demand_min", _whole(F.col("_rows"), F.col("_n"), F.col("demand_min"), model)).drop("_rows", "_n")
+    scaled = minmax_transform(recent, scaler, cols)
 
-    scaler = ["demand_min", "demand_max", "is_weekend_min", "is_weekend_max"]
-    state = scaled.where(F.col("pos") >= F.col("n") - depth).groupBy("series_id", *scaler).agg(
+    newest = F.lit(0) if cap is None else F.greatest(F.lit(0), F.col("n") - cap)
+    first = F.greatest(F.lit(depth), newest)
+    kept = scaled if cap is None else scaled.where(F.col("pos") >= F.greatest(F.lit(0), F.col("n") - cap - depth))
+    one = kept.select("series_id", "pos", "n", F.struct(*cols).alias("_row"))
+    samples = lagged(one, "_row", lags, spec).where(F.col("pos") >= first)
+    train = samples.where(F.col("pos") - first < F.floor(F.lit(share) * (F.col("n") - first)))
+    nearest = f"_row_lag{min(lags)}"
+    z = [
+        F.lit(1.0),
+        *[F.col(f"_row_lag{k}.demand") for k in lags],
+        F.col(f"{nearest}.is_weekend"),
+        F.col(f"{nearest}.temperature_2m"),
+        F.col("_row.demand"),
+    ]
+    # One row of sums, one row of coefficients: a scalar subquery, nothing runs before the result does.
+    b = _solved(train.agg(_grams(z).alias("gram")), "", len(z)).select("b").scalar()
+
+    scales = ["demand_min", "demand_max", "is_weekend_min", "is_weekend_max"]
+    state = scaled.where(F.col("pos") >= F.col("n") - depth).groupBy("series_id", *scales).agg(
         F.sort_array(F.collect_list(F.struct("pos", "demand"))).alias("_past"),
         F.max_by("is_weekend", "pos").alias("_weekend"),
         F.max_by("temperature_2m", "pos").alias("_temperature"),
         F.max("ts").alias("_from"),
-    ).where(F.size("_past") == depth)
+    ).where(F.size("_past") == depth).withColumn("_b", b)
     ends = regular.where(F.col("pos") == F.col("n") - 1).select("series_id", F.col("ts").alias("_last"))
     # Features may end before the demand does; those steps are rolled through and dropped.
     behind = (
@@ -337,14 +419,19 @@ def lag_recursive(
         known = (h > 1) & (h - 1 <= F.size("_temps"))
         return F.when(known, F.element_at("_temps", F.greatest(h - 1, F.lit(1)))).otherwise(F.col("_temperature"))
 
+    # The path is a sliding window of fixed length, however far the features end before the demand.
+    width = max(depth, steps)
+
     def step(acc: Column, h: Column) -> Column:
-        value = F.lit(float(fit.intercept)) + F.lit(b[-2]) * weekend(h) + F.lit(b[-1]) * temperature(h)
-        for k, c in zip(lags, b):
-            value = value + F.lit(c) * F.element_at(acc, -k)
-        return F.concat(acc, F.array(value))
+        known = F.col("_b")
+        value = known[0] + known[len(lags) + 1] * weekend(h) + known[len(lags) + 2] * temperature(h)
+        for i, k in enumerate(lags, 1):
+            value = value + known[i] * F.element_at(acc, -k)
+        return F.concat(F.slice(acc, 2, width - 1), F.array(value))
 
+    padding = F.array_repeat(F.lit(None).cast("double"), width - depth)
     path = F.aggregate(
-        F.sequence(F.lit(1), F.col("_behind") + steps), F.transform("_past", lambda r: r["demand"]), step
+        F.sequence(F.lit(1), F.col("_behind") + steps), F.concat(padding, F.transform("_past", lambda r: r["demand"])), step
     )
     ahead = state.select(
         "series_id", "_last", "demand_min", "demand_max", F.posexplode(F.slice(path, -steps, steps)).alias("i", "z")
@@ -355,7 +442,10 @@ def lag_recursive(
         (F.col("i") + 1).alias("h"),
         (F.col("z") * (F.col("demand_max") - F.col("demand_min")) + F.col("demand_min")).alias("yhat"),
     )
-    return _forecast_rows(rolled, spec, model)
+    # One row per series says whether its features reach deep enough.
+    short = recent.where((F.col("pos") == 0) & (F.col("n") < depth)).select("series_id")
+    rest = _substitute(regular.join(short, "series_id", "left_semi"), spec, steps, model)
+    return _forecast_rows(rolled, spec, model).unionByName(rest)
 
 
 # --- direct multi-step regression ----------------------------------------------------
@@ -371,24 +461,36 @@ def direct_horizon(
     steps: int | None = None,
     *,
     lookback: int | None = None,
-    share: float = 0.8,
+    share: float = 1.0,
+    scaler_share: float | None = None,
+    exog_cols: Sequence[str] = (),
+    future: DataFrame | None = None,
     model: str = "direct_horizon",
 ) -> DataFrame:
     """All steps at once: one linear model per horizon step, shared by all series.
 
     Step h is predicted from the last value, the value of the same slot in the last season
-    known at the origin, and that of the last week. Values are scaled per series. Every
-    origin with a complete lookback and horizon is a sample, the first ``share`` of each
-    series trains. The fit needs only sums of products per step, so the number of rows
-    that leave the map side does not grow with the data.
+    known at the origin, that of the last week, and the covariates of the target (``regular`` holds
+    them, ``future`` has them for ``h = 1..steps``; a missing one counts as 0). Values are scaled
+    per series, by all rows or the first ``scaler_share``. Every origin with a complete lookback
+    and horizon is a sample; ``share`` keeps the first part of each series. The fit needs only
+    sums of products per step, so the number of rows that leave the map side does not grow with
+    the data. Series shorter than the lookback get the K-day average, named in ``model_used``.
     """
+    if exog_cols and future is None:
+        raise ValueError("exogenous columns need their future values")
     steps = spec.horizon if steps is None else steps
     period, week = spec.period, 7 * spec.period
     seasons, weeks = -(-steps // period), -(-steps // week)
     # The oldest value any step reads lies one week of steps before its target.
     lookback = max(lookback or 0, week, steps)
-    scaler = minmax_fit(regular, ["value"])
-    scaled = minmax_transform(regular.where(F.col("n") >= lookback), scaler, ["value"])
+    exog = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in exog_cols]
+    table = regular.select("series_id", "ts", "pos", "n", "value", *exog)
+    scaler = minmax_fit(table, ["value"], scaler_share).join(
+        table.groupBy("series_id").agg(F.count(F.lit(1)).alias("_rows"), F.max("n").alias("_n")), "series_id"
+    )
+    scaler = scaler.withColumn("value_min", _whole(F.col("_rows"), F.col("_n"), F.col("value_min"), model)).drop("_rows", "_n")
+    scaled = minmax_transform(table.where(F.col("n") >= lookback), scaler, ["value"])
     # Seen from the target, the seasonal columns are a few fixed lags. Only the last value
     # before the origin needs an array, of ``steps`` rows.
     frames = {"past": lambda w: F.collect_list("value").over(w.rowsBetween(-steps, -1))}
@@ -396,7 +498,7 @@ def direct_horizon(
         frames[f"_season{i}"] = lambda w, k=i * period: F.lag("value", k).over(w)
     for i in range(1, weeks + 1):
         frames[f"_week{i}"] = lambda w, k=i * week: F.lag("value", k).over(w)
-    rows = scaled.select("series_id", "pos", "n", "value")
+    rows = scaled.select("series_id", "pos", "n", "value", *exog_cols)
     targets = with_halo(rows, max(steps, seasons * period, weeks * week), 0, frames, span=spec.chunk)
     # Training origins are first, first + 1, ..., first + train - 1.
     first = F.lit(lookback - 1)
@@ -413,27 +515,14 @@ def direct_horizon(
             F.element_at(season_values, _ceil_div(h, period)).alias("x2"),
             F.element_at(week_values, _ceil_div(h, week)).alias("x3"),
             F.col("value").alias("y"),
+            *[F.col(c).alias(f"e{j}") for j, c in enumerate(exog_cols)],
         )
 
     served = targets.where((train > 0) & (nearest <= farthest))
     pairs = served.select(F.inline(F.transform(F.sequence(nearest, farthest), pair)))
-    z = [F.lit(1.0), F.col("x1"), F.col("x2"), F.col("x3"), F.col("y")]
-    products = [F.sum(z[i] * z[j]) for i in range(5) for j in range(i, 5)]
-    sums = pairs.groupBy("h").agg(F.array(*products).alias("gram"))
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        upper = np.triu_indices(5)
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            full = np.zeros((len(pdf), 5, 5))
-            full[:, upper[0], upper[1]] = np.stack(pdf["gram"].to_numpy())
-            full = full + np.transpose(np.triu(full, 1), (0, 2, 1))
-            inverse = np.linalg.pinv(full[:, :4, :4], hermitian=True)
-            b = np.einsum("sij,sj->si", inverse, full[:, :4, 4])
-            yield pd.DataFrame({"h": pdf["h"], "b0": b[:, 0], "b1": b[:, 1], "b2": b[:, 2], "b3": b[:, 3]})
-
-    coef = sums.mapInPandas(solve, "h int, b0 double, b1 double, b2 double, b3 double")
+    covariates = [F.col(f"e{j}") for j in range(len(exog_cols))]
+    z = [F.lit(1.0), F.col("x1"), F.col("x2"), F.col("x3"), *covariates, F.col("y")]
+    coef = _solved(pairs.groupBy("h").agg(_grams(z).alias("gram")), "h int", len(z))
     newest = scaled.where(F.col("pos") >= F.col("n") - lookback)
     state = newest.groupBy("series_id", "value_min", "value_max").agg(
         F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_past"), F.max("ts").alias("_last")
@@ -449,11 +538,18 @@ def direct_horizon(
 
     horizon = F.sequence(F.lit(1), F.lit(steps))
     asked = state.select("series_id", "_last", "value_min", "value_max", F.inline(F.transform(horizon, ask)))
+    if exog_cols:
+        ahead = future.select(
+            "series_id", F.col("h").cast("int").alias("h"),
+            *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"e{j}") for j, c in enumerate(exog_cols)],
+        )
+        asked = asked.join(ahead, ["series_id", "h"])
     # One row per horizon step: its size is fixed by ``steps``.
     solved = asked.join(F.broadcast(coef), "h")
-    z_hat = F.col("b0") + F.col("b1") * F.col("x1") + F.col("b2") * F.col("x2") + F.col("b3") * F.col("x3")
+    z_hat = sum((F.col("b")[i] * x for i, x in enumerate(z[1:-1], 1)), F.col("b")[0])
     rolled = solved.withColumn("yhat", z_hat * (F.col("value_max") - F.col("value_min")) + F.col("value_min"))
-    return _forecast_rows(rolled, spec, model)
+    rest = _substitute(regular.where(F.col("n") < lookback), spec, steps, model)
+    return _forecast_rows(rolled, spec, model).unionByName(rest)
 
 
 # --- decomposition and stationarity --------------------------------------------------

@@ -16,6 +16,7 @@ from tidegrid.functions import calendar as cal
 from tidegrid.functions.parsing import parse_decimal, parse_timestamp, safe_name
 from tidegrid.functions.timegrid import ceil_to_step, floor_to_step
 from tidegrid.operators import align, baseline, evaluate, features, gaps, regularise, regression, scaling, select, windows
+from tidegrid.plans import comparison
 from tidegrid.session import configure
 from tidegrid.sources import sinks, tables
 from tidegrid.spec import DAILY, HALF_HOURLY, HOURLY, Spec
@@ -150,6 +151,12 @@ def user_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regularise.regularise(user_readings(spark, sf_dir), DAILY)
 
 
+def user_hours_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly tables of all users; those with an id divisible by three only have their last days."""
+    late = (F.col("series_id") % 3 != 0) | (F.col("ts") >= F.lit("2024-01-27").cast("timestamp_ntz"))
+    return regularise.regularise(user_readings(spark, sf_dir).where(late), HOURLY)
+
+
 def price_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regularise.regularise(price_readings(spark, sf_dir), DAILY)
 
@@ -159,7 +166,7 @@ def half_weather(spark: SparkSession, sf_dir: str, cols: Sequence[str] = ("tempe
 
 
 def half_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.feature_matrix(readings(spark, sf_dir), hourly_weather(spark, sf_dir), HALF)
+    return features.feature_matrix(readings(spark, sf_dir), hourly_weather(spark, sf_dir), HALF, days=90)
 
 
 def half_covariates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,8 +225,12 @@ def weather_json_rows(spark, sf_dir):
 def weather_requests(spark, sf_dir):
     name = F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0"))
     series = load(spark, sf_dir, "lineitem").select(name.alias("series_id"), F.col("l_shipdate").alias("ts"))
-    stations = supplier_stations(spark, sf_dir).withColumn("place", F.col("station"))
-    return tables.weather_requests(series, stations, "place")
+    supplier = load(spark, sf_dir, "supplier")
+    stations = supplier.select(
+        F.trim("s_name").alias("station"), F.col("s_nationkey").cast("double").alias("x"),
+        F.col("s_acctbal").cast("double").alias("y"), "s_suppkey",
+    )
+    return tables.weather_requests(series, stations, "s_suppkey")
 
 
 @query
@@ -533,6 +544,20 @@ def exog_matrix(spark, sf_dir):
     return rounded(half_exog(spark, sf_dir))
 
 
+@query
+def feature_matrix_some_weather(spark, sf_dir):
+    """One series has no weather: it keeps its rows, with zeros."""
+    weather = hourly_weather(spark, sf_dir).where("series_id <> 'click'")
+    return rounded(features.feature_matrix(readings(spark, sf_dir), weather, HALF))
+
+
+@query
+def exog_matrix_some_weather(spark, sf_dir):
+    """One series has no weather: its temperature is missing."""
+    weather = hourly_weather(spark, sf_dir).where("series_id <> 'click'")
+    return rounded(features.exog_matrix(readings(spark, sf_dir), weather, HALF))
+
+
 @query
 def asof_lookup(spark, sf_dir):
     probes = load(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("series_id"), (F.col("ts") - F.expr("INTERVAL 7 DAYS")).alias("ts"))
@@ -778,6 +803,28 @@ def backtest_holdout(spark, sf_dir):
     return rounded(evaluate.backtest_holdout(user_newest(spark, sf_dir), evaluate.baseline_models(HOURLY), HOURLY))
 
 
+@query
+def models_used(spark, sf_dir):
+    """Which model answered for which user, long and short histories alike."""
+    regular = user_hours_cut(spark, sf_dir)
+    forecasts = evaluate.forecasts_of(regular, comparison.all_models(HOURLY), HOURLY, HOURLY.horizon)
+    return forecasts.groupBy("series_id", "model", "model_used").agg(F.count("yhat").alias("steps"))
+
+
+@query
+def backtest_all_models(spark, sf_dir):
+    """Hold-out errors of every model, with and without weather."""
+    models = comparison.all_models(HALF, hourly_weather(spark, sf_dir))
+    return rounded(evaluate.backtest_holdout(half_regular(spark, sf_dir), models, HALF))
+
+
+@query
+def best_of_all_models(spark, sf_dir):
+    models = comparison.all_models(HALF, hourly_weather(spark, sf_dir))
+    scores = evaluate.backtest_holdout(half_regular(spark, sf_dir), models, HALF)
+    return rounded(evaluate.compare_models(scores, list(models)))
+
+
 @query
 def best_model(spark, sf_dir):
     models = evaluate.baseline_models(HOURLY)
@@ -790,7 +837,7 @@ def improvement_over_baseline(spark, sf_dir):
     models = evaluate.baseline_models(HALF) | {"ar1": regression.ar1}
     scores = evaluate.backtest_holdout(half_regular(spark, sf_dir), models, HALF)
     gains = evaluate.improvement(scores, "seasonal_naive")
-    return rounded(gains).join(sinks.improvement_lines(gains), ["series_id", "metric", "model"])
+    return rounded(sinks.with_improvement_text(gains))
 
 
 @query

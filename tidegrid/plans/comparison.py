@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from tidegrid.operators.evaluate import Forecaster, backtest_holdout, baseline_models, compare_models, metrics
+from tidegrid.operators import features, regression
+from tidegrid.operators.evaluate import Forecaster, backtest_holdout, baseline_models, compare_models, forecasts_of
 from tidegrid.operators.gaps import top_missing_blocks
 from tidegrid.operators.regularise import regularise
 from tidegrid.sources.sinks import forecast_table, report_lines
@@ -37,10 +38,7 @@ def run_comparison(
     regular = regularise(raw, spec)
     scores = backtest_holdout(regular, models, spec)
     best = compare_models(scores, list(models))
-    forecasts = None
-    for make in models.values():
-        part = make(regular, spec, spec.horizon)
-        forecasts = part if forecasts is None else forecasts.unionByName(part)
+    forecasts = forecasts_of(regular, models, spec, spec.horizon)
     return Comparison(
         regular=regular,
         gaps=top_missing_blocks(raw, spec),
@@ -52,6 +50,34 @@ def run_comparison(
     )
 
 
-def evaluate(actual: DataFrame, forecasts: DataFrame) -> DataFrame:
-    """Errors of given forecasts, per series and model."""
-    return metrics(actual, forecasts)
+def all_models(spec: Spec, weather: DataFrame | None = None, max_p: int = 2) -> dict[str, Forecaster]:
+    """Every forecaster under one form, the baselines first.
+
+    With ``weather`` the order search and the direct model also come with weekend and temperature:
+    known stamps of the past from the weather, future ones from the calendar and from a year or a
+    week before. Every model answers for every series; ``model_used`` names a substitute.
+    """
+    cols = ["is_weekend", "temperature_2m"]
+
+    def with_covariates(make):
+        def run(df: DataFrame, s: Spec, steps: int) -> DataFrame:
+            table = features.exog_matrix(df, weather, s)
+            ahead = features.future_covariates(table, s, steps)
+            return make(table.withColumnRenamed("demand", "value"), s, steps, exog_cols=cols, future=ahead)
+
+        return run
+
+    models = baseline_models(spec) | {
+        "ar1": regression.ar1,
+        "ar_p": lambda df, s, steps: regression.ar_forecast(df, s, steps, max_p=max_p),
+        "lag_recursive": lambda df, s, steps: regression.lag_recursive(df, weather, s, steps),
+        "direct_horizon": regression.direct_horizon,
+    }
+    if weather is not None:
+        models["ar_exog"] = with_covariates(
+            lambda df, s, steps, **known: regression.ar_forecast(df, s, steps, max_p=max_p, model="ar_exog", **known)
+        )
+        models["direct_exog"] = with_covariates(
+            lambda df, s, steps, **known: regression.direct_horizon(df, s, steps, model="direct_exog", **known)
+        )
+    return models

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings that are safe to set on any session. Shuffle sizes are left to
 # the cluster; adaptive execution sizes partitions and splits skewed joins.
@@ -31,20 +29,3 @@ def get_session(master: str | None = None, **extra: str) -> SparkSession:
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return configure(builder.getOrCreate())
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder, so that later jobs do not recompute it.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting (tests) gets a folder of its own.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="tidegrid-checkpoint-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tidegrid.functions.parsing import safe_name
 from tidegrid.operators.evaluate import METRIC_LABELS
 
+#: Folders of the hashed layout.
+BUCKETS = 256
+
 
 def forecast_table(
     history: DataFrame,
@@ -36,14 +39,28 @@ def forecast_table(
     return table.select("series_id", F.col("ts").alias("timestamp"), *values)
 
 
-def write_forecast_table(table: DataFrame, path: str, fmt: str = "csv") -> None:
-    """One folder per series, rows in time order within each file.
+def _folder(layout: str, stamp: Column | None = None) -> Column:
+    """Folder of a row: ``bucket`` is a hash of the series, ``series`` its safe name, ``date`` the month."""
+    name = F.col("series_id").cast("string")
+    if layout == "series":
+        return safe_name(name)
+    if layout == "date" and stamp is not None:
+        return F.date_format(stamp, "yyyy-MM")
+    if layout == "bucket":
+        return F.format_string("%03d", F.pmod(F.xxhash64(name), F.lit(BUCKETS)))
+    raise ValueError(f"unknown layout: {layout}")
+
+
+def write_forecast_table(table: DataFrame, path: str, fmt: str = "csv", layout: str = "bucket") -> None:
+    """Folders by hash of the series, by month or by series; rows by series and time in each file.
 
-    Rows are spread by series and year, so a long series is written by several tasks.
+    ``series_id`` stays a column, so series whose names share a folder stay apart. Rows are spread
+    by folder, series and year, so a long series is written by several tasks.
     """
-    ordered = table.withColumn("series", safe_name(F.col("series_id").cast("string"))).drop("series_id")
-    spread = ordered.repartition("series", F.year("timestamp")).sortWithinPartitions("series", "timestamp")
-    spread.write.mode("overwrite").partitionBy("series").option("header", True).format(fmt).save(path)
+    placed = table.withColumn("part", _folder(layout, F.col("timestamp")))
+    spread = placed.repartition("part", "series_id", F.year("timestamp"))
+    spread = spread.sortWithinPartitions("part", "series_id", "timestamp")
+    spread.write.mode("overwrite").partitionBy("part").option("header", True).format(fmt).save(path)
 
 
 def _cell(score: Column) -> Column:
@@ -63,17 +80,45 @@ def report_lines(comparison: DataFrame, models: Sequence[str]) -> DataFrame:
     return comparison.select("series_id", place.alias("line_no"), F.rtrim(F.concat_ws(" ", *cells)).alias("line"))
 
 
-def improvement_lines(gains: DataFrame) -> DataFrame:
-    """Signed percentage per series, metric and model as text; N/A when undefined."""
+def with_improvement_text(gains: DataFrame) -> DataFrame:
+    """Add the signed percentage as text; N/A when undefined."""
     text = F.coalesce(
         F.when(F.col("improvement").isNotNull(), F.format_string("%+.1f%%", F.col("improvement"))), F.lit("N/A")
     )
-    return gains.select("series_id", "metric", "model", text.alias("improvement_text"))
+    return gains.withColumn("improvement_text", text)
 
 
-def write_report(lines: DataFrame, path: str) -> None:
-    """Report as text files, one folder per series, lines in order."""
-    named = lines.withColumn("series", safe_name(F.col("series_id").cast("string")))
+def report_with_header(lines: DataFrame, models: Sequence[str]) -> DataFrame:
+    """Report lines of every series under a title and the column names, with notes below them."""
+    # Column widths of the report.
+    head = " ".join(["Metric".ljust(12), *[m.ljust(15) for m in models], "Best model".ljust(15)]).rstrip()
+    last = len(METRIC_LABELS)
+    notes = [
+        (-3, None),
+        (-2, "=" * len(head)),
+        (-1, head),
+        (0, "-" * len(head)),
+        (last + 1, "-" * len(head)),
+        (last + 2, "Lower is better. N/A: no score, or an actual of zero in MAPE."),
+    ]
+    title = F.concat(F.lit("Model comparison: "), F.col("series_id").cast("string"))
+    around = [
+        F.struct(F.lit(no).alias("line_no"), (title if text is None else F.lit(text)).alias("line")) for no, text in notes
+    ]
+    series = lines.select("series_id").distinct()
+    framed = series.select("series_id", F.inline(F.array(*around)))
+    return lines.select("series_id", "line_no", "line").unionByName(framed)
+
+
+def write_report(lines: DataFrame, path: str, models: Sequence[str] = (), layout: str = "bucket") -> None:
+    """Report as tab-separated text files of series, line number and line, in order.
+
+    With ``models`` every series gets a title, a header that names them, and notes.
+    """
+    lines = report_with_header(lines, models) if models else lines
     # A series has a handful of lines.
-    spread = named.repartition("series").sortWithinPartitions("series", "line_no")
-    spread.select("series", "line").write.mode("overwrite").partitionBy("series").text(path)
+    placed = lines.withColumn("part", _folder(layout))
+    spread = placed.repartition("part").sortWithinPartitions("part", "series_id", "line_no")
+    spread.select("part", "series_id", "line_no", "line").write.mode("overwrite").partitionBy("part").option(
+        "sep", "\t"
+    ).option("quote", "").csv(path)

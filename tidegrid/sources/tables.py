@@ -60,9 +60,10 @@ def read_wide(
     value_cols: Sequence[str],
     weekend_col: str | None = None,
     schema: T.StructType | str | None = None,
+    formats: Sequence[str] = DAY_FIRST_FORMATS,
 ) -> DataFrame:
     """Scan only the time column and the chosen measures of a wide table."""
-    return typed_wide(read_table(spark, path, schema), time_col, value_cols, weekend_col)
+    return typed_wide(read_table(spark, path, schema), time_col, value_cols, weekend_col, formats)
 
 
 def wide_to_long(df: DataFrame, value_cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -119,9 +120,17 @@ def read_weather(spark: SparkSession, path: str, measures: Sequence[str] = WEATH
 
 
 def weather_requests(
-    series: DataFrame, stations: DataFrame, order: str, measures: Sequence[str] = WEATHER_MEASURES
+    series: DataFrame,
+    stations: DataFrame,
+    order: str,
+    measures: Sequence[str] = WEATHER_MEASURES,
+    timezone: str = "auto",
 ) -> DataFrame:
-    """What a downloader has to fetch per series: date range, coordinates, measures."""
+    """What a downloader has to fetch per series: date range, coordinates, measures, time zone.
+
+    Stamps of the demand have no zone; ``timezone`` is the one they are local to, or ``auto`` for
+    that of the station.
+    """
     from tidegrid.operators.align import lookup_stations
 
     spans = series.groupBy("series_id").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
@@ -134,4 +143,5 @@ def weather_requests(
         "x",
         "y",
         F.concat_ws(",", *[F.lit(m) for m in measures]).alias("hourly"),
+        F.lit(timezone).alias("timezone"),
     )
