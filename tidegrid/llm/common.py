@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What separates words in every operator here: space and the five ASCII controls from tab on.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of a batch that are tested together.
+ROWS_AT_ONCE = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,6 +51,23 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def where_text(docs: DataFrame, test: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """Rows whose ``text`` passes ``test``, a function of a string array; the columns stay as they are.
+
+    Rows stay in Arrow batches and are tested some at a time, so no copy of a whole batch is made.
+    """
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(first, ROWS_AT_ONCE)
+                keep = test(part.column(place).cast(pa.string()))
+                yield part.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def words(text):
     """Words of a text column, in order; none for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))

@@ -16,11 +16,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm.common import where_text
 from tidegrid.llm.textarrays import WIDTH, shingle_hashes, slices, text_buffers, word_hashes
 
 THRESHOLD = 0.75
@@ -261,20 +261,17 @@ def _rows_of(shared, schema: pa.Schema):
     return run
 
 
-def _is_clean(shared):
-    @F.pandas_udf("boolean")
-    def test(text: pd.Series) -> pd.Series:
-        out = np.ones(len(text), bool)
-        for row, _ in _found(shared.value, pa.array(text, pa.string(), from_pandas=True)):
-            out[row] = False
-        return pd.Series(out)
-
-    return test
-
-
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns; nothing is shuffled."""
     for items in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-        docs = docs.where(_is_clean(shared)(F.col("text").cast("string")))
+        docs = where_text(docs, _without(docs.sparkSession.sparkContext.broadcast(items)))
     return docs
+
+
+def _without(shared):
+    def test(text: pa.Array) -> np.ndarray:
+        out = np.ones(len(text), bool)
+        out[[row for row, _ in _found(shared.value, text)]] = False
+        return out
+
+    return test

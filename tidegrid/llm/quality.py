@@ -12,12 +12,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import saved
+from tidegrid.llm.common import saved, where_text
 from tidegrid.llm.textarrays import slices, text_buffers, word_hashes
 
 #: Labelled rows that the trees are fitted on, those with the smallest hash of their id.
@@ -252,10 +251,8 @@ def scored(docs: DataFrame, trees: Trees) -> DataFrame:
 def good(docs: DataFrame, trees: Trees) -> DataFrame:
     """The rows of ``docs`` that the trees do not reject, with their columns; nothing is shuffled."""
 
-    @F.pandas_udf("boolean")
-    def passes(text: pd.Series) -> pd.Series:
-        raw, off = text_buffers(pa.array(text, pa.string(), from_pandas=True))
-        found = [trees.scores(statistics(raw, off[a : b + 1])) >= CUT for a, b in slices(off)]
-        return pd.Series(np.concatenate([*found, np.zeros(0, bool)]))
+    def passed(text: pa.Array) -> np.ndarray:
+        raw, off = text_buffers(text)
+        return np.concatenate([np.zeros(0, bool), *(trees.scores(statistics(raw, off[a : b + 1])) >= CUT for a, b in slices(off))])
 
-    return docs.where(passes(F.col("text").cast("string")))
+    return where_text(docs, passed)
