@@ -204,8 +204,8 @@ class Items:
         return hashes, n, np.cumsum(n) - n
 
 
-def item_blocks(benchmark: DataFrame) -> list[Items]:
-    """The items in blocks of about ITEMS_PER_PASS; only one block at a time is on the driver.
+def item_blocks(benchmark: DataFrame) -> Iterator[tuple[tuple[int, ...], tuple[str, ...]]]:
+    """Ids and texts of the items in blocks of about ITEMS_PER_PASS.
 
     Null and empty items match nothing. Of rows that repeat an item_id the texts all count.
     """
@@ -214,11 +214,22 @@ def item_blocks(benchmark: DataFrame) -> list[Items]:
     ).where("text is not null and item_id is not null")
     rows = rows.distinct()
     blocks = -(-rows.count() // ITEMS_PER_PASS)
-    out = []
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        out.append(Items([r[0] for r in part], [r[1] for r in part]))
-    return [b for b in out if b.ids]
+        if part:
+            yield tuple(r[0] for r in part), tuple(r[1] for r in part)
+
+
+_filed: dict[int, Items] = {}
+
+
+def _items_of(block: tuple[tuple[int, ...], tuple[str, ...]]) -> Items:
+    """The filed items of a block: a worker files a block once, and keeps one."""
+    key = hash(block)
+    if key not in _filed:
+        _filed.clear()
+        _filed[key] = Items(*block)
+    return _filed[key]
 
 
 def _found(items: Items, column: pa.Array) -> Iterator[tuple[int, tuple[int, int, float, int, int]]]:
@@ -246,16 +257,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
     out = spark.createDataFrame([], ddl)
-    for items in item_blocks(benchmark):
-        out = out.union(rows.mapInArrow(_rows_of(spark.sparkContext.broadcast(items), schema), ddl))
+    for block in item_blocks(benchmark):
+        out = out.union(rows.mapInArrow(_rows_of(spark.sparkContext.broadcast(block), schema), ddl))
     return out
 
 
 def _rows_of(shared, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = _items_of(shared.value)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            found = [(ids[r], *rest) for r, rest in _found(shared.value, batch.column("text"))]
+            found = [(ids[r], *rest) for r, rest in _found(items, batch.column("text"))]
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, f)) for f in found], schema=schema)
 
     return run
@@ -263,15 +275,15 @@ def _rows_of(shared, schema: pa.Schema):
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns; nothing is shuffled."""
-    for items in item_blocks(benchmark):
-        docs = where_text(docs, _without(docs.sparkSession.sparkContext.broadcast(items)))
+    for block in item_blocks(benchmark):
+        docs = where_text(docs, _without(docs.sparkSession.sparkContext.broadcast(block)))
     return docs
 
 
 def _without(shared):
     def test(text: pa.Array) -> np.ndarray:
         out = np.ones(len(text), bool)
-        out[[row for row, _ in _found(shared.value, text)]] = False
+        out[[row for row, _ in _found(_items_of(shared.value), text)]] = False
         return out
 
     return test
