@@ -77,6 +77,28 @@ def _left_filled(demand: DataFrame, weather: DataFrame, spec: Spec, measure: str
     return _grid(near, lo, hi, spec, {"value": filled_value("value", "linear"), measure: padded})
 
 
+def regularise_with_flags(raw: DataFrame, spec: Spec, flag: str = "is_weekend", order: str = "ingest_order") -> DataFrame:
+    """Readings with a flag to a regular table with ``is_weekend`` as a number, in one pass.
+
+    The flag that came first by ``order`` counts per stamp, the first stamp's per bin, then it is
+    carried on; before the first one the next counts. Value and flag are merged per slot before
+    either is put on the grid. ``raw`` has ``series_id, ts, value`` and the flag.
+    """
+    usable = F.when(~F.isnan("value"), F.col("value"))
+    stamps = raw.where(F.col("ts").isNotNull()).groupBy("series_id", "ts").agg(
+        F.avg(usable).alias("value"), F.min_by(flag, order).alias("_flag")
+    )
+    bins = stamps.groupBy("series_id", slot_of("ts", spec.step).alias("slot")).agg(
+        F.avg("value").alias("value"), F.min_by("_flag", "ts").alias("_flag")
+    )
+    near = with_neighbours(bins, ["value", "_flag"], at="slot", span=spec.chunk, extent=True)
+    near = near.where(F.col("value_first_at").isNotNull())
+    carried = F.coalesce("_flag_prev", "_flag_next", F.lit(False)).cast("double")
+    values = {"value": filled_value("value", "linear"), "is_weekend": carried}
+    table = _grid(near, F.col("value_first_at"), F.col("value_last_at"), spec, values)
+    return table.select("series_id", "ts", "value", "is_weekend", "pos", "n")
+
+
 def exog_matrix(
     demand: DataFrame, weather: DataFrame | None, spec: Spec, flags: DataFrame | None = None
 ) -> DataFrame:

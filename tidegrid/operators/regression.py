@@ -360,11 +360,9 @@ def lag_recursive(
     depth = max(lags)
     cols = ["demand", "is_weekend", "temperature_2m"]
     recent = feature_matrix(regular, weather, spec, days)
-    scaler = minmax_fit(recent, cols, scaler_share).join(
-        recent.groupBy("series_id").agg(F.count(F.lit(1)).alias("_rows"), F.max("n").alias("_n")), "series_id"
-    )
-    scaler = scaler.withColumn("demand_min", _whole(F.col("_rows"), F.col("_n"), F.col("demand_min"), model)).drop("_rows", "_n")
-    scaled = minmax_transform(recent, scaler, cols)
+    scaler = minmax_fit(recent, cols, scaler_share)
+    scaler = scaler.withColumn("demand_min", _whole(F.col("n_rows"), F.col("n"), F.col("demand_min"), model))
+    scaled = minmax_transform(recent, scaler, cols, spec.chunk)
 
     newest = F.lit(0) if cap is None else F.greatest(F.lit(0), F.col("n") - cap)
     first = F.greatest(F.lit(depth), newest)
@@ -486,11 +484,9 @@ def direct_horizon(
     lookback = max(lookback or 0, week, steps)
     exog = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in exog_cols]
     table = regular.select("series_id", "ts", "pos", "n", "value", *exog)
-    scaler = minmax_fit(table, ["value"], scaler_share).join(
-        table.groupBy("series_id").agg(F.count(F.lit(1)).alias("_rows"), F.max("n").alias("_n")), "series_id"
-    )
-    scaler = scaler.withColumn("value_min", _whole(F.col("_rows"), F.col("_n"), F.col("value_min"), model)).drop("_rows", "_n")
-    scaled = minmax_transform(table.where(F.col("n") >= lookback), scaler, ["value"])
+    scaler = minmax_fit(table, ["value"], scaler_share)
+    scaler = scaler.withColumn("value_min", _whole(F.col("n_rows"), F.col("n"), F.col("value_min"), model))
+    scaled = minmax_transform(table.where(F.col("n") >= lookback), scaler, ["value"], spec.chunk)
     # Seen from the target, the seasonal columns are a few fixed lags. Only the last value
     # before the origin needs an array, of ``steps`` rows.
     frames = {"past": lambda w: F.collect_list("value").over(w.rowsBetween(-steps, -1))}

@@ -75,13 +75,6 @@ def resample_first(df: DataFrame, flag: str, spec: Spec) -> DataFrame:
     return _stamped(slot_firsts(df, flag, spec), spec, [flag])
 
 
-def series_bounds(df: DataFrame) -> DataFrame:
-    """First and last stamp and number of rows per series."""
-    return df.groupBy("series_id").agg(
-        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n")
-    )
-
-
 def regular_grid(df: DataFrame, spec: Spec) -> DataFrame:
     """Every grid stamp from the first to the last bin of each series."""
     slot = slot_of("ts", spec.step)

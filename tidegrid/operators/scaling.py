@@ -11,19 +11,31 @@ from pyspark.sql import functions as F
 def minmax_fit(df: DataFrame, cols: Sequence[str], train_share: float | None = None) -> DataFrame:
     """Minimum and maximum per series and feature.
 
-    All rows count, or only the first ``train_share`` of each series (needs ``pos``, ``n``).
+    All rows count, or only the first ``train_share`` of each series (needs ``pos``, ``n``). Of a
+    table with positions the scaler also has ``n`` and ``n_rows``, the rows it has seen in all.
     """
-    if train_share is not None:
-        df = df.where(F.col("pos") < F.floor(F.lit(train_share) * F.col("n")))
+    counts = F.lit(True) if train_share is None else F.col("pos") < F.floor(F.lit(train_share) * F.col("n"))
     aggs = []
     for c in cols:
-        aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+        value = F.when(counts, F.col(c))
+        aggs += [F.min(value).alias(f"{c}_min"), F.max(value).alias(f"{c}_max")]
+    if "pos" in df.columns:
+        aggs += [F.max("n").alias("n"), F.count(F.lit(1)).alias("n_rows")]
     return df.groupBy("series_id").agg(*aggs)
 
 
-def minmax_transform(df: DataFrame, scaler: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Map every column to 0..1; a constant column maps to 0. Keeps the scaler columns."""
-    joined = df.join(scaler, "series_id")
+def minmax_transform(df: DataFrame, scaler: DataFrame, cols: Sequence[str], span: int = 4096) -> DataFrame:
+    """Map every column to 0..1; a constant column maps to 0. Keeps the scaler columns.
+
+    Rows with positions are joined by series and stretch of ``span`` rows: the scaler, one row per
+    series, is repeated for every stretch, so that a long series is many keys.
+    """
+    if "pos" in df.columns and "n" in scaler.columns:
+        stretches = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / F.lit(span)))
+        spread = scaler.withColumn("_part", F.explode(stretches)).drop("n", "n_rows")
+        joined = df.withColumn("_part", F.floor(F.col("pos") / F.lit(span))).join(spread, ["series_id", "_part"]).drop("_part")
+    else:
+        joined = df.join(scaler.drop("n", "n_rows"), "series_id")
     scaled = {}
     for c in cols:
         lo, hi = F.col(f"{c}_min"), F.col(f"{c}_max")

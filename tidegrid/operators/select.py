@@ -35,9 +35,18 @@ def recent_days(regular: DataFrame, days: int, spec: Spec) -> DataFrame:
 
 
 def recent_days_raw(df: DataFrame, days: int) -> DataFrame:
-    """The same for a table without grid positions."""
-    ends = df.groupBy("series_id").agg((F.max("ts") - F.expr(f"INTERVAL {int(days)} DAYS")).alias("_from"))
-    return df.join(ends, "series_id").where(F.col("ts") >= F.col("_from")).drop("_from")
+    """The same for a table without grid positions.
+
+    Rows meet their bound by series and day: a long series is many keys, and rows of other days
+    find no partner.
+    """
+    ends = df.groupBy("series_id").agg(F.max("ts").alias("_last"))
+    begin = F.col("_last") - F.expr(f"INTERVAL {int(days)} DAYS")
+    wanted = ends.select(
+        "series_id", begin.alias("_from"), F.explode(F.sequence(F.to_date(begin), F.to_date("_last"))).alias("_day")
+    )
+    near = df.withColumn("_day", F.to_date("ts")).join(wanted, ["series_id", "_day"])
+    return near.where(F.col("ts") >= F.col("_from")).drop("_from", "_day")
 
 
 def tail_n(regular: DataFrame, rows: int) -> DataFrame:

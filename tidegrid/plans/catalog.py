@@ -489,10 +489,7 @@ def top_missing_blocks(spark, sf_dir):
 @query
 def regularise_(spark, sf_dir):
     """Text cells to a regular table with its flag, end to end."""
-    parsed = parsed_readings(spark, sf_dir)
-    regular = regularise.regularise(parsed.select("series_id", "ts", "value"), HALF)
-    flags = regularise.regularise_flags(parsed, HALF, order="event_id")
-    return rounded(features.add_weekend(regular, flags).select("series_id", "ts", "value", "is_weekend", "pos", "n"))
+    return rounded(features.regularise_with_flags(parsed_readings(spark, sf_dir), HALF, order="event_id"))
 
 
 @query
@@ -682,12 +679,12 @@ def holdout_split(spark, sf_dir):
 
 @query
 def minmax_fit(spark, sf_dir):
-    return rounded(scaling.minmax_fit(half_features(spark, sf_dir), FEATURES))
+    return rounded(scaling.minmax_fit(half_features(spark, sf_dir), FEATURES).drop("n", "n_rows"))
 
 
 @query
 def minmax_fit_train(spark, sf_dir):
-    return rounded(scaling.minmax_fit(half_features(spark, sf_dir), FEATURES, train_share=0.8))
+    return rounded(scaling.minmax_fit(half_features(spark, sf_dir), FEATURES, train_share=0.8).drop("n", "n_rows"))
 
 
 @query
