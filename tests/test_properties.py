@@ -91,12 +91,15 @@ def test_fused_features_equal_joined_features(spark, rows, hours, chunk):
     joined = align.align_inner(regular.select("series_id", "ts", "value"), wide, ["temperature_2m"])
     fused = features.feature_matrix(demand, weather, spec, days=None).select("series_id", "ts", F.col("demand").alias("value"), "temperature_2m")
     order = ["series_id", "ts"]
+    # a series whose weather does not meet its demand keeps its rows, with zeros
+    alone = regular.join(joined.select("series_id").distinct(), "series_id", "left_anti").select("series_id", "ts", "value")
+    joined = joined.unionByName(alone.withColumn("temperature_2m", F.lit(0.0)))
     a, b = joined.toPandas().sort_values(order), fused.toPandas().sort_values(order)
     assert list(a["ts"]) == list(b["ts"])
     np.testing.assert_allclose(a[["value", "temperature_2m"]], b[["value", "temperature_2m"]], rtol=1e-9, atol=1e-9)
     filled = align.align_left_fill(regular.select("series_id", "ts"), wide, ["temperature_2m"], spec)
     exog = features.exog_matrix(demand, weather, spec).select("series_id", "ts", "temperature_2m")
-    c, d = filled.dropna().toPandas().sort_values(order), exog.toPandas().sort_values(order)
+    c, d = filled.toPandas().sort_values(order), exog.toPandas().sort_values(order)
     assert list(c["ts"]) == list(d["ts"])
     np.testing.assert_allclose(c["temperature_2m"].astype(float), d["temperature_2m"].astype(float), rtol=1e-9, atol=1e-9)
 

@@ -68,9 +68,10 @@ def _grid(near: DataFrame, lo: Column, hi: Column, spec: Spec, values: dict[str,
 def _left_filled(demand: DataFrame, weather: DataFrame, spec: Spec, measure: str) -> DataFrame:
     """Every demand row; the measure is interpolated, then padded at both edges.
 
-    Weather that does not overlap the demand at all does not count.
+    Weather that does not overlap the demand at all does not count, nor does that of series
+    without demand.
     """
-    near = _merged(demand, weather, spec, [measure])
+    near = _merged(demand, weather, spec, [measure]).where(F.col("value_first_at").isNotNull())
     lo, hi = F.col("value_first_at"), F.col("value_last_at")
     overlap = (F.col(f"{measure}_first_at") <= hi) & (F.col("_weather_last_at") >= lo)
     padded = F.when(overlap, F.coalesce(filled_value(measure, "linear"), F.col(f"{measure}_next")))
