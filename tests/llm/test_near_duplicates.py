@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +154,13 @@ def test_estimate_is_corrected_for_collisions(spark):
     sets = {i: set(shingles(t)) for i, t in rows}
     for a, b, e in got:
         assert abs(e - len(sets[a] & sets[b]) / len(sets[a] | sets[b])) < 0.16
+
+
+def test_bins_of_blocks_count_copied_rows(spark, monkeypatch):
+    """A bin holds about BIN rows however often its members are copied for the blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "BIN", 32)
+    monkeypatch.setattr(minhash, "_block_links", lambda t: pa.table({"a": [t.num_rows], "b": pa.array([0], pa.int64())}))
+    stray = spark.range(200).selectExpr("0L AS bucket", "id AS cls", "IF(id < 120, 0L, id) AS comp", "0L AS main", "0L AS guide")
+    sets = stray.selectExpr("cls", "array(cls, cls + 1) AS shingles")
+    assert max(r.a for r in minhash._unsettled(stray, sets).collect()) < 8 * 32

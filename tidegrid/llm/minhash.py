@@ -33,6 +33,8 @@ THRESHOLD = (3, 4)  # similarity as a fraction: 0.75
 MARGIN = 0.16
 #: Members of a block, and rows of a bin of blocks, in the last comparison.
 BLOCK, BIN = 512, 4096
+#: Shingles of the members of a block, and of the rows of a bin of blocks: long texts make smaller ones.
+BLOCK_SHINGLES, BIN_SHINGLES = 1 << 19, 1 << 22
 
 _rng = np.random.default_rng(7)
 _A = _rng.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -187,11 +189,22 @@ def _unsettled(stray: DataFrame, sets: DataFrame) -> DataFrame:
     the threshold, so rows are as many as links.
     """
     of = saved(
-        stray.groupBy("main", "cls").agg(F.first("comp").alias("comp")).withColumn("outside", F.col("comp") != F.col("main"))
+        stray.groupBy("main", "cls")
+        .agg(F.first("comp").alias("comp"))
+        .withColumn("outside", F.col("comp") != F.col("main"))
+        .join(sets.select("cls", F.size("shingles").cast("long").alias("n")), "cls")
     )
-    per = of.groupBy("main").agg(
-        F.ceil(F.sum(F.col("outside").cast("int")) / BLOCK).alias("rows"), F.ceil(F.count("*") / BLOCK).alias("cols")
+    few, long = F.col("outside").cast("long"), F.when(F.col("outside"), F.col("n")).otherwise(0)
+    blocks = lambda rows, n: F.greatest(F.lit(1), F.ceil(rows / BLOCK), F.ceil(n / BLOCK_SHINGLES))
+    per = (
+        of.groupBy("main")
+        .agg(F.sum(few).alias("few"), F.count("*").alias("every"), F.sum(long).alias("few_n"), F.sum("n").alias("every_n"))
+        .withColumns({"rows": blocks(F.col("few"), F.col("few_n")), "cols": blocks(F.col("every"), F.col("every_n"))})
     )
+    # what all blocks hold together: every member once for each block of the other side
+    held = per.agg(F.sum(F.expr("few * cols + every * rows")), F.sum(F.expr("few_n * cols + every_n * rows"))).first()
+    bins = max((held[0] or 0) // BIN, (held[1] or 0) // BIN_SHINGLES) + 1
+    per = per.select("main", "rows", "cols")
     laid = of.join(per, "main")
     own = F.pmod(F.xxhash64("cls"), F.col("rows"))
     sides = laid.where("outside").select(
@@ -202,7 +215,6 @@ def _unsettled(stray: DataFrame, sets: DataFrame) -> DataFrame:
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"), F.pmod(F.xxhash64("cls"), F.col("cols")).alias("j"),
         )
     )
-    bins = of.count() // BIN + 1
     token = F.transform("shingles", lambda h: F.shiftright(h, 32).cast("int"))
     placed = sides.join(sets.select("cls", token.alias("tokens")), "cls").withColumn(
         "bin", F.pmod(F.xxhash64("main", "i", "j"), F.lit(bins))
