@@ -164,3 +164,16 @@ def test_bins_of_blocks_count_copied_rows(spark, monkeypatch):
     stray = spark.range(200).selectExpr("0L AS bucket", "id AS cls", "IF(id < 120, 0L, id) AS comp", "0L AS main", "0L AS guide")
     sets = stray.selectExpr("cls", "array(cls, cls + 1) AS shingles")
     assert max(r.a for r in minhash._unsettled(stray, sets).collect()) < 8 * 32
+
+
+def test_bins_of_lists_count_copied_postings(spark, monkeypatch):
+    """A bin holds about BIN rows however many blocks a hot list has."""
+    monkeypatch.setattr(near_vectors, "BLOCK", 16)
+    monkeypatch.setattr(near_vectors, "BIN", 64)
+    size = lambda t: pa.table({"node": [t.num_rows], "links": pa.array([0], pa.int64()), "towards": pa.array([0], pa.int64())})
+    monkeypatch.setattr(near_vectors, "_group_links", size)
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=32)
+    rows = [(k, [float(x) for x in base + rng.normal(size=32) * 0.02]) for k in range(300)]
+    points = near_vectors.nodes(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert max(r.node for r in near_vectors.links(points).collect()) < 8 * 64

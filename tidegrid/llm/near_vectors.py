@@ -165,10 +165,12 @@ def links(points: DataFrame) -> DataFrame:
     """(node, links, towards): link counts per block, and edges that keep every local group connected."""
     index = saved(postings(points, pivots(points)))
     lists = index.groupBy("dim", "pivot").agg(F.count("*").alias("n"))  # at most MOST rows per dimension
-    cut = index.join(lists, ["dim", "pivot"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    lists = lists.withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    cut = index.join(lists.drop("n"), ["dim", "pivot"])
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     placed = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    bins = index.count() // BIN + 1
+    # every posting is placed once for each block of its list
+    bins = (lists.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) // BIN + 1
     block = placed.select(
         "dim", "pivot", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
         (F.col("own") > F.col("other")).alias("upper"), "node", "copies", "named", "v",
