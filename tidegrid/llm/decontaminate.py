@@ -8,6 +8,13 @@ bits of each other agree to two bits in some block, so every pair within that ra
 What meets and is within the radius is compared exactly: the shingles of as many document words
 as the item has against those of the item, every occurrence with its weight, at the aligned place
 and a few words around it. From 0.75 on it is a match.
+
+At 0.75 itself two fingerprints are eleven bits apart on average, so the radius alone loses passages
+near the threshold. Shorter windows do not: a match has at least three quarters of the item's
+shingles, so of any choice of more than a quarter of them it holds one unchanged. Every item of five
+words and more is therefore also filed under that many of its single shingles, those that the fewest
+items have, and where a document holds one of them all its windows are compared, up to a few words
+over its ends. No match is lost there.
 """
 
 from __future__ import annotations
@@ -35,6 +42,9 @@ SLACK, STEP = 3, 2
 AROUND = 3
 #: Items that one pass over the documents looks for; more items take more passes.
 ITEMS_PER_PASS = 500
+#: Low bits of a shingle that tell at once that no item is filed under it.
+MASK_BITS = 20
+_MASK = np.uint64((1 << MASK_BITS) - 1)
 
 
 def _near_values() -> np.ndarray:
@@ -110,6 +120,7 @@ class Items:
                 self.ids.append(item)
                 self.words.append(hashes)
                 self.shingles.append(np.unique(shingle_hashes(hashes, counts)[0], return_counts=True))
+        self._file_shingles()
         near = _near_values()
         lengths = sorted({len(w) for w in self.words})
         while lengths:
@@ -142,6 +153,62 @@ class Items:
             size.starts.append(np.searchsorted(values.ravel()[order], np.arange((1 << BLOCK_BITS) + 1)))
         return size
 
+    def _file_shingles(self) -> None:
+        """File items under shingles of more than a quarter of their weight, rare ones first."""
+        kinds, holders = np.unique(np.concatenate([k for k, _ in self.shingles] or [np.zeros(0, np.uint64)]), return_counts=True)
+        filed = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for k, (own, weight) in enumerate(self.shingles):
+            if len(self.words[k]) >= WIDTH:
+                order = np.argsort(holders[np.searchsorted(kinds, own)], kind="stable")
+                enough = int(np.searchsorted(np.cumsum(weight[order]), (1 - THRESHOLD) * weight.sum(), "right")) + 1
+                filed.append((own[order[:enough]], np.full(len(order[:enough]), k)))
+        hashes, item = (np.concatenate(x) for x in zip(*filed))
+        order = np.argsort(hashes, kind="stable")
+        self.filed_item = item[order]
+        self.filed, self.filed_first = np.unique(hashes[order], return_index=True)
+        self.filed_first = np.append(self.filed_first, len(order))
+        self.may_be_filed = np.zeros(1 << MASK_BITS, bool)
+        self.may_be_filed[self.filed & _MASK] = True
+
+    def _sharing(self, hashes: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
+        """Pairs (row, item) where the row holds a shingle under which the item is filed."""
+        at = np.flatnonzero(self.may_be_filed[hashes & _MASK])
+        place = np.searchsorted(self.filed, hashes[at])
+        same = place < len(self.filed)
+        same[same] = self.filed[place[same]] == hashes[at[same]]
+        row, place = np.searchsorted(np.cumsum(n), at[same], "right"), place[same]
+        kinds = np.unique(row * np.int64(len(self.filed) + 1) + place)
+        row, place = kinds // (len(self.filed) + 1), kinds % (len(self.filed) + 1)
+        first, count = self.filed_first[place], self.filed_first[place + 1] - self.filed_first[place]
+        entry = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+        pairs = np.unique(np.repeat(row, count) * np.int64(len(self.words) + 1) + self.filed_item[entry])
+        return list(zip((pairs // (len(self.words) + 1)).tolist(), (pairs % (len(self.words) + 1)).tolist()))
+
+    def _best_place(self, k: int, words: np.ndarray, hashes: np.ndarray) -> tuple[float, int, int]:
+        """(similarity, first, end) of the window of a text that is most similar to an item, the first of equal ones.
+
+        Windows are compared in the order of the similarity that their number of item shingles allows.
+        """
+        kinds, weight = self.shingles[k]
+        total, length = int(weight.sum()), len(self.words[k])
+        place = np.minimum(np.searchsorted(kinds, hashes), len(kinds) - 1)
+        seen = np.concatenate([[0], np.cumsum(kinds[place] == hashes)])
+        start = np.arange(-AROUND, max(len(words) - length, 0) + AROUND + 1)
+        a, b = np.maximum(start, 0), np.minimum(start + length, len(words))
+        begin = np.minimum(a, len(hashes))
+        end = np.maximum(b - WIDTH + 1, begin)
+        common = np.minimum(seen[end] - seen[begin], total)
+        most = common / (total + (end - begin) - common)
+        some = np.flatnonzero(most >= THRESHOLD)
+        top = (0.0, 0, 0)
+        for p in some[np.argsort(-most[some], kind="stable")].tolist():
+            if most[p] < top[0]:
+                break
+            s = self.similarity(k, hashes[begin[p] : end[p]])
+            if s > top[0] or (s == top[0] and a[p] < top[1]):
+                top = (s, int(a[p]), int(b[p]))
+        return top
+
     def similarity(self, k: int, window: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item's and a window's shingles; every occurrence weighs one."""
         kinds, weight = self.shingles[k]
@@ -156,8 +223,15 @@ class Items:
         last = np.cumsum(counts)
         first = last - counts
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        walked: dict = {}
+        walked: dict = {WIDTH: self._walked(words, counts, first, WIDTH)}
         sums: dict = {}
+        hashes, n, at = walked[WIDTH]
+        whole = counts >= WIDTH  # a shorter text is one shingle, which no longer item has
+        for r, k in self._sharing(hashes, n):
+            if whole[r]:
+                s, a, b = self._best_place(k, words[first[r] : first[r] + counts[r]], hashes[at[r] : at[r] + n[r]])
+                if s >= THRESHOLD:
+                    best[r, k] = (s, int(begins[first[r] + a]), int(ends[first[r] + b - 1]))
         for size in self.classes:
             width, kind = min(WIDTH, size.window), _count_kind(size.window)
             if width not in walked:
