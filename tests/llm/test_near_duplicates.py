@@ -177,3 +177,30 @@ def test_bins_of_lists_count_copied_postings(spark, monkeypatch):
     rows = [(k, [float(x) for x in base + rng.normal(size=32) * 0.02]) for k in range(300)]
     points = near_vectors.nodes(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     assert max(r.node for r in near_vectors.links(points).collect()) < 8 * 64
+
+
+def test_blocks_return_what_joins_components_only():
+    """A dense group of strays gives fewer links than members, and they still join all of it."""
+    n = 60
+    lists = pa.array([[1 << 40, 2 << 40, 3 << 40, 4]] * 2 * n + [[1 << 40, 2 << 40, 7, 8]], pa.list_(pa.int64()))
+    number = lambda x: pa.array(x, pa.int64())
+    zero = number([0] * (2 * n + 1))
+    ids = number(range(2 * n + 1))
+    table = pa.table(
+        {"main": zero, "i": zero, "j": zero, "cls": ids, "comp": ids, "side": pa.array([0] * n + [1] * (n + 1), pa.int32()), "tokens": lists}
+    )
+    links = [(r["a"], r["b"]) for r in minhash._block_links(table).to_pylist()]
+    assert len(links) < 2 * n
+    low = groups(links, range(2 * n + 1))
+    assert {low[k] for k in range(2 * n)} == {0} and low[2 * n] == 2 * n
+
+
+def test_strays_link_in_blocks(spark, monkeypatch):
+    """Small blocks give the same components: copies of several passages that only the last step links."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "BIN", 16)
+    rng = random.Random(2)
+    base = [f"b{k}" for k in range(120)]
+    rows = list(enumerate([" ".join(w for w in base if rng.random() > rng.choice((0.005, 0.01, 0.03))) for _ in range(60)]))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == exact(rows)[0]

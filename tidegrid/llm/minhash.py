@@ -8,8 +8,8 @@ At the threshold itself (0.75) a pair shares none of the 32 bands with probabili
 Groups of copies cost no pairs: equal sets are one class from the start. Within a bucket of a band
 each member is first compared with one leader, another one in every bucket; then members outside
 the bucket's main component with one of its members; and at last members outside the main
-component with everyone, in blocks that return links only. A large group of near copies is joined
-by the first two, which are linear in its size, while no pair of different components that shares
+component with everyone, in blocks that return as many links as join what the block joins. A large
+group of near copies is joined by the first two, which are linear in its size, while no pair of different components that shares
 a bucket is left undecided.
 """
 
@@ -181,12 +181,12 @@ def _strays(shared: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def _unsettled(stray: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components among the members of mixed buckets that still link.
+    """Links (a, b) between components that members of mixed buckets still join.
 
     Members are laid out by the main component of their bucket, once however many buckets they
     share: those outside it in blocks against blocks of all members. A task counts the shingles
-    that the sets of two blocks share, on 32 bits of each hash, and returns only pairs that reach
-    the threshold, so rows are as many as links.
+    that the full sets of two blocks share and decides; it returns fewer links than the block has
+    components, so rows grow with the members placed, never with the pairs.
     """
     of = saved(
         stray.groupBy("main", "cls")
@@ -215,18 +215,17 @@ def _unsettled(stray: DataFrame, sets: DataFrame) -> DataFrame:
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"), F.pmod(F.xxhash64("cls"), F.col("cols")).alias("j"),
         )
     )
-    token = F.transform("shingles", lambda h: F.shiftright(h, 32).cast("int"))
-    placed = sides.join(sets.select("cls", token.alias("tokens")), "cls").withColumn(
+    placed = sides.join(sets.select("cls", F.col("shingles").alias("tokens")), "cls").withColumn(
         "bin", F.pmod(F.xxhash64("main", "i", "j"), F.lit(bins))
     )
     return placed.groupBy("bin").applyInArrow(_block_links, "a bigint, b bigint").distinct()
 
 
 def _block_links(table: pa.Table) -> pa.Table:
-    """Pairs that reach the threshold between the two sides of every block in a bin."""
+    """Links (a, b) that join the components which the two sides of every block in a bin connect."""
     block = np.stack([table.column(c).to_numpy() for c in ("main", "i", "j")])
     group = np.unique(block, axis=1, return_inverse=True)[1].ravel()
-    cls, comp, side = (table.column(c).to_numpy() for c in ("cls", "comp", "side"))
+    comp, side = (table.column(c).to_numpy() for c in ("comp", "side"))
     lists = table.column("tokens").combine_chunks()
     values, off = lists.values.to_numpy(), lists.offsets.to_numpy()
     num, den = THRESHOLD
@@ -241,14 +240,22 @@ def _block_links(table: pa.Table) -> pa.Table:
         owner = np.repeat(np.arange(len(right)), sizes)
         sort = np.argsort(tokens, kind="stable")
         tokens, owner = tokens[sort], owner[sort]
-        for r in left:
+        kinds, place = np.unique(comp[np.concatenate([left, right])], return_inverse=True)
+        own, other = place[: len(left)], place[len(left) :]
+        joined = np.arange(len(kinds))  # components that are known to be one
+        for r, k in zip(left, own):
+            if (joined[other] == joined[k]).all():
+                continue
             mine = values[off[r] : off[r + 1]]
             lo, hi = np.searchsorted(tokens, mine, "left"), np.searchsorted(tokens, mine, "right")
             n = hi - lo
             at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
             common = np.bincount(owner[at], minlength=len(right))
-            links = (den * common >= num * (len(mine) + sizes - common)) & (comp[right] != comp[r])
-            found += [(min(int(cls[r]), int(c)), max(int(cls[r]), int(c))) for c in cls[right[links]]]
+            linked = other[den * common >= num * (len(mine) + sizes - common)]
+            for c in np.unique(linked):
+                if joined[c] != joined[k]:
+                    found.append((min(int(kinds[k]), int(kinds[c])), max(int(kinds[k]), int(kinds[c]))))
+                    joined[joined == joined[c]] = joined[k]
     a, b = np.array(found, np.int64).reshape(-1, 2).T
     return pa.table({"a": pa.array(np.ascontiguousarray(a)), "b": pa.array(np.ascontiguousarray(b))})
 
@@ -296,8 +303,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     links = saved(_stars(joined).union(again))
     joined = components(links)
     stray = _strays(shared, joined)
-    rest = _unsettled(stray, sets)
-    late = saved(confirmed(rest.distinct(), sets))
+    late = saved(_unsettled(stray, sets))
     groups = joined if late.isEmpty() else components(_stars(joined).union(late))
 
     member_of = named.join(groups, named["cls"] == groups["node"], "left").select(
