@@ -204,3 +204,21 @@ def test_strays_link_in_blocks(spark, monkeypatch):
     rows = list(enumerate([" ".join(w for w in base if rng.random() > rng.choice((0.005, 0.01, 0.03))) for _ in range(60)]))
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == exact(rows)[0]
+
+
+def test_near_copies_without_id_link(spark):
+    """A copy without doc_id bridges two documents; a group without any id keeps one row."""
+    base = [f"w{k}" for k in range(60)]
+    far = [f"x{k}" for k in range(60)]
+    rows = [
+        (7, " ".join([*(f"a{k}" for k in range(8)), *base])), (None, " ".join(base)), (9, " ".join([*base[:-10], "z1"])),
+        (None, " ".join(far)), (None, " ".join([*far, "y1"])),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [frozenset(shingles(t)) for _, t in rows]
+    linked = [(a, b) for b in range(5) for a in range(b) if 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])]
+    assert linked == [(0, 1), (1, 2), (3, 4)]
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()}
+    assert got == {(7, 64, 7), (None, 56, 7), (9, 47, 7), (None, 56, None), (None, 57, None)}
+    kept = minhash.deduplicated(docs).collect()
+    assert len(kept) == 2 and {r.doc_id for r in kept} == {7, None}

@@ -279,19 +279,18 @@ def _grouped(docs: DataFrame) -> DataFrame:
         signed.where("cls is not null")
         .groupBy("cls")
         .agg(
-            F.min("doc_id").alias("rep"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("rep"),
             F.first("n_shingles").alias("n"),
             *[F.first(s).alias(s) for s in sig],
             F.first("bands").alias("bands"),
         )
     )
-    named = classes.where("rep is not null")
-    entries = named.select(F.explode("bands").alias("bucket"), "cls")
+    entries = classes.select(F.explode("bands").alias("bucket"), "cls")
     draw = F.struct(F.xxhash64("bucket", "cls"), F.col("cls").alias("cls"))
     buckets = entries.groupBy("bucket").agg(F.min(draw)["cls"].alias("lead"), F.count("*").alias("n"))
     shared = saved(entries.join(buckets.where("n > 1").select("bucket", "lead"), "bucket"))
-    sets = saved(_wanted_sets(rows, named, shared))
-    s = named.select("cls", "n", *sig)
+    sets = saved(_wanted_sets(rows, classes, shared))
+    s = classes.select("cls", "n", *sig)
 
     def checked(pairs: DataFrame) -> DataFrame:
         return saved(confirmed(_near(pairs, s), sets))
@@ -306,14 +305,13 @@ def _grouped(docs: DataFrame) -> DataFrame:
     late = saved(_unsettled(stray, sets))
     groups = joined if late.isEmpty() else components(_stars(joined).union(late))
 
-    member_of = named.join(groups, named["cls"] == groups["node"], "left").select(
-        "cls", "rep", F.coalesce("component", "cls").alias("comp")
+    member_of = classes.join(groups, classes["cls"] == groups["node"], "left").select(
+        "cls", F.col("rep.doc_id").alias("rep"), F.coalesce("component", "cls").alias("comp")
     )
+    # a component whose rows all lack an id has no name
     names = member_of.groupBy("comp").agg(F.min("rep").alias("name"))
-    # classes whose rows all lack an id are components of their own
     named_as = member_of.join(names, "comp").select("cls", "comp", "name")
-    out = signed.select("doc_id", "text_hash", "n_shingles", "cls").join(named_as, "cls", "left")
-    return out.withColumn("comp", F.coalesce("comp", "cls"))
+    return signed.select("doc_id", "text_hash", "n_shingles", "cls").join(named_as, "cls", "left")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -322,8 +320,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``docs`` has ``doc_id`` and ``text``; other columns are ignored. Documents are linked when
     the Jaccard similarity of their distinct five-word shingles is 0.75 or more; components are
     what links reach. Null, empty and wordless texts have no shingles and link with nothing.
-    Repeated rows stay repeated, in one component. A row without doc_id shares the component of
-    its text's class but never names it; if no row of a component has an id, component_id is null
+    Repeated rows stay repeated, in one component. A row without doc_id links as any other
+    but never names a component; if no row of a component has an id, component_id is null
     and the row is kept. An empty table gives an empty result.
     """
     component = F.coalesce("name", F.when(F.col("cls").isNull(), F.col("doc_id")))
@@ -363,11 +361,14 @@ def _ddl() -> str:
     return f"doc_id bigint, text_hash bigint, n_shingles bigint, cls bigint, {longs}, bands array<bigint>"
 
 
-def _wanted_sets(rows: DataFrame, named: DataFrame, shared: DataFrame) -> DataFrame:
+def _wanted_sets(rows: DataFrame, classes: DataFrame, shared: DataFrame) -> DataFrame:
     """Full sets of the classes that share a bucket, from one representative text each."""
-    wanted = shared.select("cls").distinct().join(named.select("cls", "rep"), "cls")
-    text = rows.join(wanted, rows["doc_id"] == wanted["rep"]).select("cls", "text")
-    return text.mapInArrow(_full_sets, "cls bigint, shingles array<bigint>").dropDuplicates(["cls"])
+    wanted = shared.select("cls").distinct().join(classes.select("cls", "rep"), "cls").alias("w")
+    text = rows.alias("r").join(
+        wanted,
+        F.col("r.doc_id").eqNullSafe(F.col("w.rep.doc_id")) & (F.xxhash64("r.text") == F.col("w.rep.text_hash")),
+    )
+    return text.select("cls", "text").mapInArrow(_full_sets, "cls bigint, shingles array<bigint>").dropDuplicates(["cls"])
 
 
 def oracle_sql() -> str:
