@@ -349,3 +349,20 @@ def test_every_passage_near_the_threshold_is_found(n, edits):
     raw, off = textarrays.text_buffers(pa.array(texts))
     found = decontaminate.Items([k for k, _ in items], [" ".join(w) for _, w in items]).matches(raw, off)
     assert {(r, k): s for r, k, s, _, _ in found} == pytest.approx(want)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body><article class='post has-sidebar'><p>{PARAGRAPH}</p></article></body>", PARAGRAPH),
+        (f"<body><main class='no-sidebar'><p>{PARAGRAPH}</p></main><div class=sidebar>x y z</div></body>", PARAGRAPH),
+        (f"<body><div id='content' class='widget-area'><p>{PARAGRAPH}</p></div></body>", PARAGRAPH),
+        (f"<body><article class='category-advertising comment-open'><p>{PARAGRAPH}</p></article></body>", PARAGRAPH),
+        (f"<body><article class=sidebar><p>{PARAGRAPH}</p></article></body>", PARAGRAPH),
+        (f"<body><div class=widget><main><p>{PARAGRAPH}</p><div class=share-buttons>tell all</div></main></div></body>", PARAGRAPH),
+        (f"<body><form id=aspnetForm><div class=menu><a href=1>one</a></div><div><p>{PARAGRAPH}</p></div></form></body>", PARAGRAPH),
+        (f"<body><article><p>{PARAGRAPH}</p></article><div class=user-comments><p>{PARAGRAPH * 3}</p></div></body>", PARAGRAPH),
+    ],
+)
+def test_names_alone_do_not_cut_the_article(page, text):
+    assert extract.main_text(page) == text

@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements. Boilerplate that the markup itself names (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, comments) is cut off first. Every node then has a
+sidebars, notices, adverts, forms, scripts, comments) is cut off first. A name cuts only as a whole
+class, id or role, and neither a name nor a form cuts the page's article or main element, what holds
+it, or what holds most of the body's characters outside links; there the densities decide. Every node then has a
 composite density: its characters per tag, weighed down by the share of characters and tags in
 links relative to the whole body. A node's sum is the sum of its children's densities. The node with
 the largest sum leads; the smallest density on its path up to the body is the threshold, and every
@@ -44,7 +46,9 @@ ENDS = {
 OUT = RAW | frozenset(
     "head nav footer aside form button select input svg canvas object embed audio video map dialog menu label fieldset".split()
 )
-#: Names in class, id or role that mark boilerplate, as whole words.
+#: Of these, what may also be wrapped around a whole page.
+WRAPPERS = frozenset("form fieldset".split())
+#: Names in class, id or role that mark boilerplate: alone, with each other or with qualifiers.
 OUT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs footer sidebar aside widget cookie cookies consent notice notices gdpr popup modal overlay "
@@ -53,6 +57,11 @@ OUT_WORDS = frozenset(
 )
 #: Header-like names count outside an article only: an article's own heading belongs to it.
 HEADER_WORDS = frozenset("header topbar".split())
+#: Words that add nothing to a name but where or what shape it is: ``user-comments``, ``cookie-bar``.
+QUALIFIERS = frozenset(
+    "user site page top bottom left right main primary secondary global list box block section container wrapper bar "
+    "link links button buttons icons text slot unit message dialog form post posts".split()
+)
 
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
@@ -64,6 +73,7 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Node:
     tag: str
     out: bool = False
+    by_name: bool = False  # out by a name, or as a wrapper, alone
     parent: Node | None = None
     children: list = field(default_factory=list)  # nodes and texts, in order
     chars: int = 0
@@ -74,14 +84,22 @@ class Node:
     sum: float = 0.0
 
 
-def _named_out(attributes: str, inside: bool) -> bool:
+def _hidden(attributes: str) -> bool:
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
-        words = set(_WORD.findall(_CAMEL.sub(" ", value).lower()))
-        if words & OUT_WORDS or (not inside and words & HEADER_WORDS):
-            return True
+    return False
+
+
+def _named_out(attributes: str, inside: bool) -> bool:
+    """Whether a class, id or role as a whole names boilerplate: ``sidebar``, not ``has-sidebar``."""
+    marks = OUT_WORDS if inside else OUT_WORDS | HEADER_WORDS
+    for m in _ATTRIBUTE.finditer(attributes):
+        for token in (m[2] or "").strip("\"'").split():
+            words = set(_WORD.findall(_CAMEL.sub(" ", token).lower()))
+            if words & marks and words <= marks | QUALIFIERS:
+                return True
     return False
 
 
@@ -111,9 +129,11 @@ def parsed(page: str) -> Node:
             _end_paragraph(stack)
         if tag in ENDS:
             _end_open(stack, *ENDS[tag])
-        out = tag in OUT or (tag == "header" and not article) or _named_out(attributes, article > 0)
+        sure = (tag in OUT and tag not in WRAPPERS) or (tag == "header" and not article) or _hidden(attributes)
+        by_name = not sure and (tag in WRAPPERS or _named_out(attributes, article > 0))
         # a page cannot be boilerplate as a whole
-        node = Node(tag, out and tag not in ("html", "body"), stack[-1])
+        named = tag not in ("html", "body")
+        node = Node(tag, named and (sure or by_name), named and by_name, stack[-1])
         stack[-1].children.append(node)
         if tag not in VOID and not attributes.endswith("/"):
             stack.append(node)
@@ -168,6 +188,43 @@ def _end_open(stack: list[Node], kinds: frozenset, borders: frozenset) -> None:
             return
 
 
+def _spare(body: Node) -> None:
+    """Put back what only a name cut although it is, holds or may be the article.
+
+    The page's article is the article or main element, not inside another one, with most characters
+    outside links. Where there is one, names keep cutting what lies elsewhere.
+    """
+    nodes, todo = [], [(body, False)]
+    outer = []
+    while todo:
+        node, inside = todo.pop()
+        nodes.append(node)
+        article = node.tag in ("article", "main")
+        if article and not inside:
+            outer.append(node)
+        todo += [(c, inside or article) for c in reversed(node.children) if isinstance(c, Node) and (not c.out or c.by_name)]
+    if not any(n.by_name for n in nodes):
+        return
+    plain: dict[int, int] = {}
+    for node in reversed(nodes):
+        plain[id(node)] = 0 if node.tag == "a" else sum(
+            len("".join(c.split())) if isinstance(c, str) else plain.get(id(c), 0) for c in node.children
+        )
+    lead = max(outer, key=lambda n: plain[id(n)], default=None)
+    above = set()
+    if lead is not None and plain[id(lead)]:
+        above = {id(n) for n in _upwards(lead)}
+        for node in outer:
+            node.out = node.out and not node.by_name
+    below = {id(lead)} if above else set()
+    for node in nodes:  # parents before children
+        if id(node.parent) in below:
+            below.add(id(node))
+        most = 2 * plain[id(node)] > plain[id(body)] and (not above or id(node) in below)
+        if node.by_name and (id(node) in above or most):
+            node.out = False
+
+
 def _in_order(top: Node) -> list[Node]:
     """Nodes below and including ``top`` that are not cut off, parents before children."""
     out, todo = [], [top]
@@ -282,6 +339,7 @@ def main_text(page: str | None) -> str:
         return ""
     root = parsed(page)
     body = next((n for n in _in_order(root) if n.tag == "body"), root)
+    _spare(body)
     return "\n\n".join(_blocks(body, _chosen(body)))
 
 
