@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import decontaminate, extract, minhash, mixing, near_vectors, quality, secret_scan, sharding, token_counts, toxicity
+from tidegrid.llm import (
+    decontaminate, extract, minhash, mixing, near_vectors, personal_data, quality, ranked_search, runs, secret_scan,
+    sharding, token_counts, toxicity,
+)
 from tidegrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,8 +75,23 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+@query
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.periodic_runs(runs.with_planted_run(table(spark, sf_dir, "documents"))))
+
+
+@query
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 #: Queries that SQL cannot express; tests compare them with plain versions.
-WITHOUT_SQL = ("op2_toxicity", "op3_token_counts", "op5_extract", "op7_mixing", "op8_quality", "op9_decontamination")
+WITHOUT_SQL = ("op2_toxicity", "op3_token_counts", "op5_extract", "op7_mixing", "op8_quality", "op9_decontamination", "op11_runs")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -82,4 +100,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_sharding": sharding.oracle_sql(),
         "op6_minhash_dedup": minhash.oracle_sql(),
         "op10_secrets": secret_scan.oracle_sql(),
+        "op12_search": ranked_search.oracle_sql(),
+        "op13_personal_data": personal_data.oracle_sql(),
     }
