@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions import calendar as cal
 from tidegrid.functions.parsing import parse_decimal, parse_timestamp, safe_name
 from tidegrid.functions.timegrid import ceil_to_step, floor_to_step
-from tidegrid.operators import align, baseline, evaluate, features, gaps, regularise, regression, scaling, select, windows
+from tidegrid.operators import align, arma, baseline, evaluate, features, gaps, regularise, regression, scaling, select, windows
 from tidegrid.plans import comparison
 from tidegrid.session import configure
 from tidegrid.sources import sinks, tables
@@ -745,6 +745,33 @@ def fc_ar_exog(spark, sf_dir):
     return rounded(regression.ar_forecast(history, HALF, max_p=3, exog_cols=cols, future=ahead, model="ar_exog"))
 
 
+@query
+def fc_arma_fixed(spark, sf_dir):
+    """Differences and shocks only, near and seasonal, for every user."""
+    return rounded(arma.arma_forecast(user_regular(spark, sf_dir), HOURLY, order=((0, 1, 1), (0, 1, 1))))
+
+
+@query
+def fc_arma_seasonal(spark, sf_dir):
+    """Lags and shocks, near and seasonal, for every user."""
+    return rounded(arma.arma_forecast(user_regular(spark, sf_dir), HOURLY, order=((1, 0, 1), (1, 0, 1))))
+
+
+@query
+def fc_arma(spark, sf_dir):
+    """The order search without covariates, in the smaller bounds."""
+    return rounded(arma.arma_forecast(user_regular(spark, sf_dir), HOURLY, max_order=(2, 2, 1, 1)))
+
+
+@query
+def fc_arma_exog(spark, sf_dir):
+    """The order search with weekend and temperature, in the wide bounds."""
+    exog = half_exog(spark, sf_dir)
+    ahead = features.future_covariates(exog, HALF, HALF.horizon)
+    history = exog.withColumnRenamed("demand", "value")
+    return rounded(arma.arma_forecast(history, HALF, exog_cols=["is_weekend", "temperature_2m"], future=ahead, model="arma_exog"))
+
+
 @query
 def fc_lag_recursive(spark, sf_dir):
     return rounded(regression.lag_recursive(half_regular(spark, sf_dir), hourly_weather(spark, sf_dir), HALF))

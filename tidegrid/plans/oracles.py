@@ -354,6 +354,72 @@ def order_search(src: str, grid: str, period: int, steps: int, max_p: int, need:
     ]
 
 
+def arma(src: str, grid: str, period: int, steps: int, order: tuple, need: int) -> list[str]:
+    """One order in two stages on whole series: a long autoregression, then lags and lagged residuals.
+
+    Reads ``src`` and makes ``arma``: series_id, h, ts, yhat, lower, upper.
+    """
+    (p, d, q), (sp, sd, sq) = order
+    poly = {0: 1.0}
+    for gap in [1] * d + [period] * sd:
+        poly = {k: poly.get(k, 0.0) - poly.get(k - gap, 0.0) for k in sorted({*poly, *(k + gap for k in poly)})}
+    long = sorted({*range(1, max(p + q, 8) + 1), *(s * period + k for s in range(1, max(sp, sq) + 1) for k in (0, 1))})
+    own = sorted({*range(1, p + 1), *(s * period for s in range(1, sp + 1))})
+    hits = sorted({*range(1, q + 1), *(s * period for s in range(1, sq + 1))})
+    base, first, depth = max(poly), max(poly) + max(long), max([*own, *hits])
+    keep = max(depth, base)
+    w = " + ".join(f"({c}) * lag(value, {k}) OVER w" for k, c in poly.items())
+    constant = int(not d and not sd)
+    names = [f"z{i}" for i in range(constant + len(own) + len(hits))]
+    exprs = ["1.0::DOUBLE"] * constant + [f"lag(w, {k}) OVER o" for k in own] + [f"lag(e, {k}) OVER o" for k in hits]
+    k = len(names)
+    rss = f"(g.g{k}_{k}" + "".join(f" - b{i} * g.g{i}_{k}" for i in range(k)) + ")"
+    value = " + ".join(
+        ["b0"] * constant + [f"b{constant + i} * pw[-{x}]" for i, x in enumerate(own)]
+        + [f"b{constant + len(own) + i} * pe[-{x}]" for i, x in enumerate(hits)]
+    )
+    # response to one shock: the shock itself sits ``h`` places back
+    reply = " + ".join(
+        [f"b{constant + i} * coalesce(rw[-{x}], 0)" for i, x in enumerate(own)]
+        + [f"CASE WHEN h = {x} THEN b{constant + len(own) + i} ELSE 0 END" for i, x in enumerate(hits)]
+    )
+    reply = f"(CASE WHEN h = 0 THEN 1.0 ELSE {reply} END)"
+    undo = "".join(f" - ({c}) * py[-{x}]" for x, c in poly.items() if x)
+    undone = "".join(f" - ({c}) * coalesce(ry[-{x}], 0)" for x, c in poly.items() if x)
+    betas = ", ".join(f"b{i}" for i in range(k))
+    long_names = ["1.0::DOUBLE", *[f"l{x}" for x in long]]
+    return [
+        cte("am_w", f"SELECT series_id, pos, n, ts, value, {w} AS w FROM {src} WHERE n >= {need} WINDOW w AS (PARTITION BY series_id ORDER BY pos)"),
+        cte(
+            "am_l",
+            f"SELECT *, {', '.join(f'lag(w, {x}) OVER o AS l{x}' for x in long)} FROM am_w WHERE pos >= {base} WINDOW o AS (PARTITION BY series_id ORDER BY pos)",
+        ),
+        cte("am_lx", f"SELECT series_id, pos, n, ts, value, w, {', '.join(f'{c} AS x{i}' for i, c in enumerate(long_names))} FROM am_l WHERE pos >= {first}"),
+        cte("am_lg", f"SELECT series_id, {sums([*[f'x{i}' for i in range(len(long_names))], 'w'])} FROM am_lx GROUP BY 1"),
+        *solved("am_lg", len(long_names), ("series_id",), "am_a"),
+        cte("am_e", f"SELECT x.series_id, pos, n, ts, value, w, w - ({' + '.join(f'b{i} * x{i}' for i in range(len(long_names)))}) AS e FROM am_lx x JOIN am_a USING (series_id)"),
+        cte("am_z", f"SELECT series_id, pos, w, {', '.join(f'{x} AS {c}' for c, x in zip(names, exprs))} FROM am_e WINDOW o AS (PARTITION BY series_id ORDER BY pos)"),
+        cte("am_g", f"SELECT series_id, count(*) AS m, {sums([*names, 'w'])} FROM am_z WHERE pos >= {first + depth} GROUP BY 1"),
+        *solved("am_g", k, ("series_id",), "am_b"),
+        cte("am_fit", f"SELECT g.series_id, {betas}, {rss} / greatest(m - {k}, 1) AS sigma2 FROM am_g g JOIN am_b USING (series_id)"),
+        cte(
+            "am_past",
+            f"SELECT series_id, max(ts) AS last_ts, list(w ORDER BY pos) AS pw, list(e ORDER BY pos) AS pe, list(value ORDER BY pos) AS py FROM am_e WHERE pos >= n - {keep} GROUP BY 1",
+        ),
+        cte(
+            "am_roll",
+            f"""SELECT p.*, f.* EXCLUDE (series_id), 0 AS h, []::DOUBLE[] AS rw, []::DOUBLE[] AS ry, 0.0::DOUBLE AS spread FROM am_past p JOIN am_fit f USING (series_id) UNION ALL
+ SELECT series_id, last_ts, list_append(pw, {value}), list_append(pe, 0.0), list_append(py, {value}{undo}), {betas}, sigma2, h + 1,
+   list_append(rw, {reply}), list_append(ry, {reply}{undone}), spread + pow({reply}{undone}, 2) FROM am_roll WHERE h < {steps}""",
+        ),
+        cte(
+            "arma",
+            f"""SELECT series_id, CAST(h AS INTEGER) AS h, last_ts + h * INTERVAL {MINUTES[grid]} MINUTE AS ts, py[-1] AS yhat,
+       py[-1] - 1.959963984540054 * sqrt(sigma2 * spread) AS lower, py[-1] + 1.959963984540054 * sqrt(sigma2 * spread) AS upper FROM am_roll WHERE h > 0""",
+        ),
+    ]
+
+
 def searched(model: str, need: int) -> str:
     """Forecasts of the order search, and the seven-day average for series below its gate."""
     return f"""SELECT series_id, '{model}' AS model, h, ts, {r6('yhat')}, '{model}' AS model_used, {r6('lower', 'upper')}, ord AS "order" FROM arp UNION ALL
@@ -746,6 +812,12 @@ def _queries() -> dict[str, str]:
         searched("ar_exog", 500), *LEFT_FILLED, *baselines("cov", "half", 48, 96, 7), cte("base", "SELECT * FROM cov"), ahead,
         *order_search("cov", "half", 48, 96, 3, 500, ("is_weekend", "temperature_2m")),
     ).replace("WITH ", "WITH RECURSIVE ", 1)
+    for name, order in (("fc_arma_fixed", ((0, 1, 1), (0, 1, 1))), ("fc_arma_seasonal", ((1, 0, 1), (1, 0, 1)))):
+        q[name] = sql(
+            f"""SELECT series_id, 'arma' AS model, h, ts, {r6('yhat')}, 'arma' AS model_used, {r6('lower', 'upper')}, '({",".join(map(str, order[0]))})({",".join(map(str, order[1]))})' AS "order" FROM arma UNION ALL
+ SELECT series_id, 'arma', h, ts, {r6('yhat')}, {used("'kday_average_7'")}, NULL, NULL, NULL FROM kday WHERE series_id IN (SELECT series_id FROM reg GROUP BY 1 HAVING count(*) < 500)""",
+            *USER_HOURS, *baselines("reg", "hour", 24, 48, 7), *arma("reg", "hour", 24, 48, order, 500),
+        ).replace("WITH ", "WITH RECURSIVE ", 1)
     q["interval_coverage"] = sql(
         """SELECT series_id, f.model, CAST(count(v.y) AS BIGINT) AS n,
        round(avg(CASE WHEN f.lower IS NULL THEN NULL WHEN v.y BETWEEN f.lower AND f.upper THEN 1.0 ELSE 0.0 END) + 1e-9, 6) AS coverage
@@ -838,8 +910,9 @@ def _queries() -> dict[str, str]:
     return q
 
 
-# No SQL: the hold-out scores of all models at once. Each of the models has SQL of its own.
-WITHOUT_SQL = ("backtest_all_models", "best_of_all_models")
+# No SQL: the hold-out scores of all models at once, each of which has SQL of its own, and searches
+# over many fits, which tests compare with numpy.
+WITHOUT_SQL = ("backtest_all_models", "best_of_all_models", "fc_arma", "fc_arma_exog")
 
 
 def oracle_sql() -> dict[str, str]:

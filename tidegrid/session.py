@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that are safe to set on any session. Shuffle sizes are left to
 # the cluster; adaptive execution sizes partitions and splits skewed joins.
@@ -29,3 +31,20 @@ def get_session(master: str | None = None, **extra: str) -> SparkSession:
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return configure(builder.getOrCreate())
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """A copy of ``df`` in the folder that the cluster names in ``spark.checkpoint.dir``; cuts its lineage.
+
+    Only a local session without that setting, as in tests, gets a folder of its own.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="tidegrid-saved-")
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()
