@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from tidegrid.functions import calendar as cal
 from tidegrid.functions.parsing import parse_decimal, parse_timestamp, safe_name
 from tidegrid.functions.timegrid import ceil_to_step, floor_to_step
-from tidegrid.operators import align, arma, baseline, evaluate, features, gaps, regularise, regression, scaling, select, windows
+from tidegrid.operators import (
+    align, arma, baseline, boosted, evaluate, features, gaps, regularise, regression, scaling, select, stacked, windows,
+)
 from tidegrid.plans import comparison
 from tidegrid.session import configure
 from tidegrid.sources import sinks, tables
@@ -772,6 +774,19 @@ def fc_arma_exog(spark, sf_dir):
     return rounded(arma.arma_forecast(history, HALF, exog_cols=["is_weekend", "temperature_2m"], future=ahead, model="arma_exog"))
 
 
+@query
+def fc_stacked_horizon(spark, sf_dir):
+    """Stacked blocks on three days of lookback; the last fifth chooses penalty and number of blocks."""
+    return rounded(stacked.stacked_horizon(half_regular(spark, sf_dir), HALF))
+
+
+@query
+def fc_boosted_recursive(spark, sf_dir):
+    """Boosted trees on three days of lookback, weekend, slot and temperature, rolled out step by step."""
+    table = half_exog(spark, sf_dir).withColumnRenamed("demand", "value")
+    return rounded(boosted.boosted_recursive(table, HALF, exog_cols=["temperature_2m"], trees=10))
+
+
 @query
 def fc_lag_recursive(spark, sf_dir):
     return rounded(regression.lag_recursive(half_regular(spark, sf_dir), hourly_weather(spark, sf_dir), HALF))

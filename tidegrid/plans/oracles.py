@@ -912,7 +912,7 @@ def _queries() -> dict[str, str]:
 
 # No SQL: the hold-out scores of all models at once, each of which has SQL of its own, and searches
 # over many fits, which tests compare with numpy.
-WITHOUT_SQL = ("backtest_all_models", "best_of_all_models", "fc_arma", "fc_arma_exog")
+WITHOUT_SQL = ("backtest_all_models", "best_of_all_models", "fc_arma", "fc_arma_exog", "fc_stacked_horizon", "fc_boosted_recursive")
 
 
 def oracle_sql() -> dict[str, str]:
