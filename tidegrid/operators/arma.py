@@ -50,7 +50,7 @@ def _long_lags(p: int, q: int, seasons: int, period: int) -> list[int]:
     return sorted({*range(1, max(p + q, NEAR) + 1), *(s * period + k for s in range(1, seasons + 1) for k in (0, 1))})
 
 
-def _spread(rows: DataFrame, per: DataFrame, spec: Spec) -> DataFrame:
+def spread(rows: DataFrame, per: DataFrame, spec: Spec) -> DataFrame:
     """Join one row per series to its rows, repeated for every stretch, so that no key is a whole series."""
     parts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / F.lit(spec.chunk)))
     ends = rows.where(F.col("pos") == F.col("n") - 1).select("series_id", "n")
@@ -185,7 +185,7 @@ def arma_forecast(
             listed = F.array(*[F.lit(poly.get(k, 0.0)) for k in d_lags])
             weights = F.when((F.col("d") == d) & (F.col("big_d") == s), listed).otherwise(weights.cast("array<double>"))
         per = picked.select("series_id", "d", "big_d", weights.alias("_poly"))
-        rows = _spread(table, per, spec)
+        rows = spread(table, per, spec)
         weight = [F.col("_poly")[i] for i in range(len(d_lags))]
     else:
         poly = difference_weights(order[0][1], order[1][1], period)
@@ -210,7 +210,7 @@ def arma_forecast(
     known = lagged(w, "w", long_lags, spec) if long_lags else w
     fit = [F.lit(1.0), *[F.col(f"w_lag{k}") for k in long_lags], *[F.col(x) for x in xs]]
     guess = sum((F.col("a")[i] * c for i, c in enumerate(fit[1:], 1)), F.col("a")[0])
-    shocked = _spread(known.where(F.col("pos") >= base + ahead_of), a, spec)
+    shocked = spread(known.where(F.col("pos") >= base + ahead_of), a, spec)
     e = saved(
         shocked.select(
             "series_id", "ts", "pos", "n", "d", "big_d", "value", *exog_cols, *xs, F.struct("w", (F.col("w") - guess).alias("e")).alias("_s")

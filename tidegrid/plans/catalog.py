@@ -16,7 +16,8 @@ from tidegrid.functions import calendar as cal
 from tidegrid.functions.parsing import parse_decimal, parse_timestamp, safe_name
 from tidegrid.functions.timegrid import ceil_to_step, floor_to_step
 from tidegrid.operators import (
-    align, arma, baseline, boosted, evaluate, features, gaps, regularise, regression, scaling, select, stacked, windows,
+    align, arma, baseline, basis, boosted, evaluate, features, gaps, regularise, regression, scaling, select, stacked, unitroot,
+    windows,
 )
 from tidegrid.plans import comparison
 from tidegrid.session import configure
@@ -787,6 +788,17 @@ def fc_boosted_recursive(spark, sf_dir):
     return rounded(boosted.boosted_recursive(table, HALF, exog_cols=["temperature_2m"], trees=10))
 
 
+@query
+def fc_basis(spark, sf_dir):
+    """Trend and season as basis functions, carried on."""
+    return rounded(basis.basis_forecast(half_regular(spark, sf_dir), HALF), 4)
+
+
+@query
+def basis_decompose(spark, sf_dir):
+    return rounded(basis.basis_decompose(half_regular(spark, sf_dir), HALF), 4)
+
+
 @query
 def fc_lag_recursive(spark, sf_dir):
     return rounded(regression.lag_recursive(half_regular(spark, sf_dir), hourly_weather(spark, sf_dir), HALF))
@@ -884,6 +896,17 @@ def stationarity_df(spark, sf_dir):
     return rounded(regression.stationarity(half_regular(spark, sf_dir), HALF))
 
 
+@query
+def stationarity_lagged(spark, sf_dir):
+    return rounded(unitroot.stationarity_lagged(half_regular(spark, sf_dir), HALF))
+
+
+@query
+def stationarity_lagged_users(spark, sf_dir):
+    """Daily series of users, with as many lags as a month allows."""
+    return rounded(unitroot.stationarity_lagged(user_daily(spark, sf_dir), DAILY))
+
+
 @query
 def interval_coverage(spark, sf_dir):
     regular = user_regular(spark, sf_dir)

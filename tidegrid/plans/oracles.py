@@ -420,6 +420,94 @@ def arma(src: str, grid: str, period: int, steps: int, order: tuple, need: int)
     ]
 
 
+def basis(src: str, period: int, steps: int, degree: int = 2, daily: int = 3, weekly: int = 1) -> list[str]:
+    """Regression on powers of time and harmonics: ``bcoef`` with weights, ``bpart`` with both parts per row.
+
+    The interval needs the quadratic form of the inverse: eliminating with the functions of a future
+    row as the target leaves it as a sum over the pivots.
+    """
+    waves = [(k, period) for k in range(1, daily + 1)] + [(k, 7 * period) for k in range(1, weekly + 1)]
+
+    def functions(at: str) -> list[str]:
+        angle = [f"(2 * pi() * {k} * ({at}) / {length})" for k, length in waves]
+        return [f"pow(({at})::DOUBLE / (n - 1), {i})" for i in range(degree + 1)] + [f(a) for a in angle for f in (lambda a: f"sin{a}", lambda a: f"cos{a}")]
+
+    k = degree + 1 + 2 * len(waves)
+    named = lambda at, p: ", ".join(f"{f} AS {p}{i}" for i, f in enumerate(functions(at)))
+    cells = [f"g{i}_{j}" for i in range(k) for j in range(i, k)]
+    total = lambda lo, hi: " + ".join(f"b{i} * x{i}" for i in range(lo, hi))
+    return [
+        cte("bx", f"SELECT series_id, pos, n, ts, value AS y, {named('pos', 'x')} FROM {src}"),
+        cte("bg", f"SELECT series_id, any_value(n) AS n, max(ts) AS last_ts, count(*) AS m, {sums([*[f'x{i}' for i in range(k)], 'y'])} FROM bx GROUP BY 1"),
+        *solved("bg", k, ("series_id",), "bcoef"),
+        cte("bpart", f"SELECT x.series_id, ts, y, {total(0, degree + 1)} AS trend, {total(degree + 1, k)} AS season FROM bx x JOIN bcoef USING (series_id)"),
+        cte("bvar", f"SELECT g.series_id, (g{k}_{k} - ({' + '.join(f'b{i} * g{i}_{k}' for i in range(k))})) / greatest(m - {k}, 1) AS sigma2 FROM bg g JOIN bcoef USING (series_id)"),
+        cte("bh", f"SELECT *, {named('n - 1 + h', 'x')} FROM (SELECT series_id, n, last_ts, {', '.join(cells)}, unnest(generate_series(1, {steps})) AS h FROM bg)"),
+        cte("bhg", f"SELECT series_id, h, {', '.join(cells)}, {', '.join(f'x{i} AS g{i}_{k}' for i in range(k))} FROM bh"),
+        *solved("bhg", k, ("series_id", "h"), "bsolved"),
+        cte("bq", f"SELECT series_id, h, {' + '.join(f'CASE WHEN abs(g{i}_{i}) > 1e-9 THEN g{i}_{k} * g{i}_{k} / g{i}_{i} ELSE 0 END' for i in range(k))} AS q FROM bsolved_e{k - 1}"),
+        cte(
+            "bfc",
+            f"""SELECT h.series_id, CAST(h.h AS INTEGER) AS h, last_ts + h.h * INTERVAL 30 MINUTE AS ts, {total(0, degree + 1)} AS trend, {total(degree + 1, k)} AS season,
+       1.959963984540054 * sqrt(sigma2 * (1 + q)) AS half FROM bh h JOIN bcoef USING (series_id) JOIN bvar USING (series_id) JOIN bq USING (series_id, h)""",
+        ),
+    ]
+
+
+def unit_root(src: str, most: int) -> list[str]:
+    """Augmented Dickey-Fuller: one elimination gives the residual sums of all lag counts; ``adf`` has the result.
+
+    ``most`` must not be below the number of lags that the longest series is tested with.
+    """
+    bound = "least(CAST(ceil(12 * pow(n / 100.0, 0.25)) AS BIGINT), n // 2 - 2)"
+    lags = [f"d{k}" for k in range(1, most + 1)]
+    order = ["one", "l", *lags, "d"]
+    k = len(order) - 1
+    rss = [f"g{k}_{k}" + "".join(f" - CASE WHEN abs(g{i}_{i}) > 1e-9 THEN g{i}_{k} * g{i}_{k} / g{i}_{i} ELSE 0 END" for i in range(2 + n)) for n in range(most + 1)]
+    masked = ["one", *[f"(CASE WHEN chosen >= {i} THEN d{i} ELSE 0 END)" for i in range(1, most + 1)], "l", "d"]
+    names = [f"v{i}" for i in range(len(masked))]
+    z = len(names) - 1
+    left = f"(g.g{z}_{z}" + "".join(f" - b{i} * g.g{i}_{z}" for i in range(z)) + ")"
+    return [
+        cte("ad0", f"SELECT series_id, pos, n, 1.0::DOUBLE AS one, value - lag(value) OVER w AS d, lag(value) OVER w AS l, {bound} AS most FROM {src} WINDOW w AS (PARTITION BY series_id ORDER BY pos)"),
+        cte("ad1", f"SELECT *, {', '.join(f'coalesce(lag(d, {i}) OVER w, 0) AS d{i}' for i in range(1, most + 1))} FROM ad0 WINDOW w AS (PARTITION BY series_id ORDER BY pos)"),
+        # lags beyond a series' bound are columns of zeros, which add nothing
+        cte("ad2", f"SELECT series_id, one, l, d, {', '.join(f'CASE WHEN most >= {i} THEN d{i} ELSE 0 END AS d{i}' for i in range(1, most + 1))} FROM ad1 WHERE pos >= 1 + most AND most >= 0"),
+        cte("adg", f"SELECT series_id, count(*) AS m, {sums(order)} FROM ad2 GROUP BY 1"),
+        *solved("adg", k, ("series_id", "m"), "adb"),
+        # after the elimination the corner is used up: take it from the sums
+        cte("adr", f"SELECT e.* , g.g{k}_{k} AS corner FROM adb_e{k - 1} e JOIN adg g USING (series_id)"),
+        cte(
+            "adl",
+            " UNION ALL ".join(
+                f"SELECT series_id, {n} AS chosen, m * ln(({r.replace(f'g{k}_{k}', 'corner', 1)}) / m) + {2 * (n + 2)} AS aic FROM adr" for n, r in enumerate(rss)
+            ),
+        ),
+        cte("adc", "SELECT l.* FROM adl l JOIN (SELECT DISTINCT series_id, most FROM ad0) USING (series_id) WHERE chosen <= most QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY aic, chosen) = 1"),
+        cte("ad3", f"SELECT series_id, chosen, {', '.join(f'{x} AS {c}' for c, x in zip(names, masked))} FROM ad1 JOIN adc USING (series_id) WHERE pos >= 1 + chosen"),
+        cte("ad4", f"SELECT series_id, chosen, count(*) AS used, {sums(names)} FROM ad3 GROUP BY 1, 2"),
+        *solved("ad4", z, ("series_id",), "ad5"),
+        cte(
+            "adf",
+            f"""SELECT g.series_id, chosen, used, b{z - 1} / sqrt({left} / (used - chosen - 2) / e.g{z - 1}_{z - 1}) AS stat
+  FROM ad4 g JOIN ad5 USING (series_id) JOIN ad5_e{z - 1} e ON e.series_id = g.series_id""",
+        ),
+    ]
+
+
+#: Result of ``unit_root``. The normal probability is summed up term by term: x^(2k+1) / (1 3 5 ... (2k+1)).
+STATIONARITY = """SELECT series_id, n, CAST(chosen AS INTEGER) AS lags, used, round(stat + 1e-9, 6) AS stat, round(p + 1e-9, 6) AS p,
+       round(-3.43035 - 6.5393 / used - 16.786 / pow(used, 2) - 79.433 / pow(used, 3) + 1e-9, 6) AS critical_1,
+       round(-2.86154 - 2.8903 / used - 4.234 / pow(used, 2) - 40.040 / pow(used, 3) + 1e-9, 6) AS critical_5,
+       round(-2.56677 - 1.5384 / used - 2.809 / pow(used, 2) + 1e-9, 6) AS critical_10, p <= 0.05 AS stationary
+  FROM (SELECT *, CASE WHEN stat <= -18.83 THEN 0.0::DOUBLE WHEN stat >= 2.74 THEN 1.0::DOUBLE
+      ELSE 0.5 + sign(x) * exp(-x * x / 2) / sqrt(2 * pi()) *
+        list_sum([exp((2 * k + 1) * ln(abs(x)) - (lgamma(2 * k + 2) - k * ln(2) - lgamma(k + 1))) FOR k IN range(300)]) END AS p
+    FROM (SELECT *, CASE WHEN stat <= -1.61 THEN 2.1659 + 1.4412 * stat + 0.038269 * stat * stat
+        ELSE 1.7339 + 0.93202 * stat - 0.12745 * pow(stat, 2) - 0.010368 * pow(stat, 3) END AS x
+      FROM (SELECT series_id, count(*) AS n FROM reg GROUP BY 1) LEFT JOIN adf USING (series_id)))"""
+
+
 def searched(model: str, need: int) -> str:
     """Forecasts of the order search, and the seven-day average for series below its gate."""
     return f"""SELECT series_id, '{model}' AS model, h, ts, {r6('yhat')}, '{model}' AS model_used, {r6('lower', 'upper')}, ord AS "order" FROM arp UNION ALL
@@ -818,6 +906,16 @@ def _queries() -> dict[str, str]:
  SELECT series_id, 'arma', h, ts, {r6('yhat')}, {used("'kday_average_7'")}, NULL, NULL, NULL FROM kday WHERE series_id IN (SELECT series_id FROM reg GROUP BY 1 HAVING count(*) < 500)""",
             *USER_HOURS, *baselines("reg", "hour", 24, 48, 7), *arma("reg", "hour", 24, 48, order, 500),
         ).replace("WITH ", "WITH RECURSIVE ", 1)
+    q["fc_basis"] = sql(
+        f"""SELECT series_id, 'basis' AS model, h, ts, round(trend + season + 1e-7, 4) AS yhat, 'basis' AS model_used, round(trend + 1e-7, 4) AS trend, round(season + 1e-7, 4) AS season,
+       round(trend + season - half + 1e-7, 4) AS lower, round(trend + season + half + 1e-7, 4) AS upper FROM bfc""",
+        *HALF, *basis("reg", 48, 96),
+    )
+    q["basis_decompose"] = sql(
+        f"SELECT series_id, ts, round(y + 1e-7, 4) AS value, round(trend + 1e-7, 4) AS trend, round(season + 1e-7, 4) AS season, round(y - trend - season + 1e-7, 4) AS remainder FROM bpart", *HALF, *basis("reg", 48, 96)
+    )
+    for name, chain, most in (("stationarity_lagged", HALF, 24), ("stationarity_lagged_users", USER_DAYS, 9)):
+        q[name] = sql(STATIONARITY, *chain, *unit_root("reg", most))
     q["interval_coverage"] = sql(
         """SELECT series_id, f.model, CAST(count(v.y) AS BIGINT) AS n,
        round(avg(CASE WHEN f.lower IS NULL THEN NULL WHEN v.y BETWEEN f.lower AND f.upper THEN 1.0 ELSE 0.0 END) + 1e-9, 6) AS coverage
