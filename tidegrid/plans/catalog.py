@@ -16,7 +16,7 @@ from tidegrid.functions import calendar as cal
 from tidegrid.functions.parsing import parse_decimal, parse_timestamp, safe_name
 from tidegrid.functions.timegrid import ceil_to_step, floor_to_step
 from tidegrid.operators import (
-    align, arma, baseline, basis, boosted, evaluate, features, gaps, regularise, regression, scaling, select, stacked, unitroot,
+    align, analogue, arma, baseline, basis, boosted, evaluate, features, gaps, regularise, regression, scaling, select, stacked, unitroot,
     windows,
 )
 from tidegrid.plans import comparison
@@ -799,6 +799,19 @@ def basis_decompose(spark, sf_dir):
     return rounded(basis.basis_decompose(half_regular(spark, sf_dir), HALF), 4)
 
 
+@query
+def nearest_windows(spark, sf_dir):
+    """The past windows that look most like the newest one, by series."""
+    found = analogue.nearest_windows(half_regular(spark, sf_dir), HALF, HALF.horizon, 3 * HALF.period)
+    first, last = F.element_at("continuation", 1), F.element_at("continuation", -1)
+    return rounded(found.select("series_id", "rank", "origin", "distance", first.alias("first"), last.alias("last")), 4)
+
+
+@query
+def fc_analogue(spark, sf_dir):
+    return rounded(analogue.analogue_forecast(half_regular(spark, sf_dir), HALF), 4)
+
+
 @query
 def fc_lag_recursive(spark, sf_dir):
     return rounded(regression.lag_recursive(half_regular(spark, sf_dir), hourly_weather(spark, sf_dir), HALF))

@@ -495,6 +495,28 @@ def unit_root(src: str, most: int) -> list[str]:
     ]
 
 
+def analogues(src: str, steps: int, lookback: int, nearest: int) -> list[str]:
+    """Past windows joined to the newest one value by value; ``nearw`` ranks them, ``anfc`` averages them."""
+    return [
+        cte("an_q", f"SELECT series_id, n, pos - (n - {lookback}) AS i, value AS q, avg(value) OVER s AS qm, stddev_pop(value) OVER s AS qs FROM {src} WHERE pos >= n - {lookback} AND n >= {lookback + steps} WINDOW s AS (PARTITION BY series_id)"),
+        cte("an_o", f"SELECT series_id, pos AS origin FROM {src} WHERE pos >= {lookback} AND pos <= n - {steps}"),
+        cte(
+            "an_d",
+            f"""SELECT o.series_id, origin, avg(r.value) AS m, stddev_pop(r.value) AS s, greatest(2 * {lookback} * (1 - corr(r.value, q)), 0) AS distance
+  FROM an_o o JOIN {src} r ON r.series_id = o.series_id AND r.pos BETWEEN origin - {lookback} AND origin - 1
+  JOIN an_q q ON q.series_id = o.series_id AND q.i = r.pos - origin + {lookback} GROUP BY 1, 2""",
+        ),
+        cte("nearw", f"SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY distance, origin) AS rank FROM an_d QUALIFY rank <= {nearest}"),
+        cte("an_w", "SELECT *, exp(-(distance - min(distance) OVER v) / (avg(distance) OVER v - min(distance) OVER v)) AS weight FROM nearw WINDOW v AS (PARTITION BY series_id)"),
+        cte(
+            "anfc",
+            f"""SELECT w.series_id, r.pos - origin + 1 AS h, sum(weight * (r.value - m) / s) / sum(weight) AS z
+  FROM an_w w JOIN {src} r ON r.series_id = w.series_id AND r.pos BETWEEN origin AND origin + {steps - 1} GROUP BY 1, 2""",
+        ),
+        cte("an_l", f"SELECT series_id, max(ts) AS last_ts FROM {src} GROUP BY 1"),
+    ]
+
+
 #: Result of ``unit_root``. The normal probability is summed up term by term: x^(2k+1) / (1 3 5 ... (2k+1)).
 STATIONARITY = """SELECT series_id, n, CAST(chosen AS INTEGER) AS lags, used, round(stat + 1e-9, 6) AS stat, round(p + 1e-9, 6) AS p,
        round(-3.43035 - 6.5393 / used - 16.786 / pow(used, 2) - 79.433 / pow(used, 3) + 1e-9, 6) AS critical_1,
@@ -914,6 +936,17 @@ def _queries() -> dict[str, str]:
     q["basis_decompose"] = sql(
         f"SELECT series_id, ts, round(y + 1e-7, 4) AS value, round(trend + 1e-7, 4) AS trend, round(season + 1e-7, 4) AS season, round(y - trend - season + 1e-7, 4) AS remainder FROM bpart", *HALF, *basis("reg", 48, 96)
     )
+    near = analogues("reg", 96, 144, 24)
+    q["nearest_windows"] = sql(
+        """SELECT w.series_id, CAST(rank AS INTEGER) AS rank, origin, round(distance + 1e-7, 4) AS distance, round((a.value - m) / s + 1e-7, 4) AS first, round((b.value - m) / s + 1e-7, 4) AS last
+  FROM nearw w JOIN reg a ON a.series_id = w.series_id AND a.pos = origin JOIN reg b ON b.series_id = w.series_id AND b.pos = origin + 95""",
+        *HALF, *near,
+    )
+    q["fc_analogue"] = sql(
+        """SELECT f.series_id, 'analogue' AS model, CAST(h AS INTEGER) AS h, last_ts + h * INTERVAL 30 MINUTE AS ts, round(qm + qs * z + 1e-7, 4) AS yhat, 'analogue' AS model_used
+  FROM anfc f JOIN an_l USING (series_id) JOIN (SELECT series_id, any_value(qm) AS qm, any_value(qs) AS qs FROM an_q GROUP BY 1) USING (series_id)""",
+        *HALF, *near,
+    )
     for name, chain, most in (("stationarity_lagged", HALF, 24), ("stationarity_lagged_users", USER_DAYS, 9)):
         q[name] = sql(STATIONARITY, *chain, *unit_root("reg", most))
     q["interval_coverage"] = sql(
