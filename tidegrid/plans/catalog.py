@@ -16,11 +16,11 @@ from tidegrid.functions import calendar as cal
 from tidegrid.functions.parsing import parse_decimal, parse_timestamp, safe_name
 from tidegrid.functions.timegrid import ceil_to_step, floor_to_step
 from tidegrid.operators import (
-    align, analogue, arma, baseline, basis, boosted, evaluate, features, gaps, regularise, regression, scaling, select, stacked, unitroot,
+    align, analogue, arma, asof, baseline, basis, boosted, evaluate, features, gaps, regularise, regression, scaling, select, stacked, unitroot,
     windows,
 )
 from tidegrid.plans import comparison
-from tidegrid.session import configure
+from tidegrid.session import configure, saved
 from tidegrid.sources import sinks, tables
 from tidegrid.spec import DAILY, HALF_HOURLY, HOURLY, Spec
 
@@ -154,10 +154,13 @@ def user_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regularise.regularise(user_readings(spark, sf_dir), DAILY)
 
 
-def user_hours_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly tables of all users; those with an id divisible by three only have their last days."""
-    late = (F.col("series_id") % 3 != 0) | (F.col("ts") >= F.lit("2024-01-27").cast("timestamp_ntz"))
-    return regularise.regularise(user_readings(spark, sf_dir).where(late), HOURLY)
+def user_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly tables of every user: one of the whole history and one of each week, so long and short ones."""
+    users = user_readings(spark, sf_dir)
+    week = F.date_format(F.date_trunc("week", F.col("ts")), "yyyy-MM-dd")
+    names = F.array(F.lit("all"), week)
+    rows = users.select(F.col("series_id").cast("string").alias("user"), "ts", "value", F.explode(names).alias("part"))
+    return regularise.regularise(rows.select(F.concat_ws("/", "user", "part").alias("series_id"), "ts", "value"), HOURLY)
 
 
 def price_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +171,8 @@ def half_weather(spark: SparkSession, sf_dir: str, cols: Sequence[str] = ("tempe
     return align.upsample(hourly_weather(spark, sf_dir), HALF, cols)
 
 
-def half_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.feature_matrix(readings(spark, sf_dir), hourly_weather(spark, sf_dir), HALF, days=90)
+def half_features(spark: SparkSession, sf_dir: str, days: int | None = None) -> DataFrame:
+    return features.feature_matrix(readings(spark, sf_dir), hourly_weather(spark, sf_dir), HALF, days=days)
 
 
 def half_covariates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -526,7 +529,8 @@ def covariates(spark, sf_dir):
 
 @query
 def feature_matrix(spark, sf_dir):
-    return rounded(half_features(spark, sf_dir))
+    """The newest 90 days of every series."""
+    return rounded(half_features(spark, sf_dir, days=90))
 
 
 @query
@@ -724,6 +728,22 @@ def fc_persistence(spark, sf_dir):
     return rounded(baseline.seasonal_naive(regular, MONTHLY))
 
 
+@query
+def asof_raw_stamps(spark, sf_dir):
+    """For every event the user's last purchase value at or before it, at the stamps as they are."""
+    events = load(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("series_id"), "ts", "event_type", "value")
+    bought = events.where("event_type = 'purchase'").select("series_id", "ts", F.col("value").alias("last_purchase"))
+    return asof.asof_merge(events.select("event_id", "series_id", "ts"), bought, "last_purchase")
+
+
+@query
+def asof_raw_tolerance(spark, sf_dir):
+    """The same over all users by event type, forgetting values older than two minutes."""
+    events = load(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("series_id"), F.col("ts").alias("at"), "value")
+    shifted = events.select("series_id", (F.col("at") + F.expr("INTERVAL 30 SECONDS")).alias("at"), F.col("value").alias("earlier"))
+    return asof.asof_merge(events, shifted, "earlier", ts="at", tolerance=120)
+
+
 @query
 def future_index(spark, sf_dir):
     return baseline.future_index(user_newest(spark, sf_dir), HOURLY, HOURLY.horizon)
@@ -869,26 +889,33 @@ def backtest_holdout(spark, sf_dir):
 
 @query
 def models_used(spark, sf_dir):
-    """Which model answered for which user, long and short histories alike."""
-    regular = user_hours_cut(spark, sf_dir)
+    """Which model answered for which history, long and short ones alike."""
+    regular = saved(user_histories(spark, sf_dir))
     forecasts = evaluate.forecasts_of(regular, comparison.all_models(HOURLY), HOURLY, HOURLY.horizon)
     return forecasts.groupBy("series_id", "model", "model_used").agg(F.count("yhat").alias("steps"))
 
 
 @query
 def backtest_all_models(spark, sf_dir):
-    """Hold-out errors of every model, with and without weather."""
-    models = comparison.all_models(HALF, hourly_weather(spark, sf_dir))
-    return rounded(evaluate.backtest_holdout(half_regular(spark, sf_dir), models, HALF))
+    """Hold-out errors of every model, with and without weather; all read one saved regular table."""
+    models = comparison.all_models(HALF, saved(hourly_weather(spark, sf_dir)))
+    return rounded(evaluate.backtest_holdout(saved(half_regular(spark, sf_dir)), models, HALF))
 
 
 @query
 def best_of_all_models(spark, sf_dir):
-    models = comparison.all_models(HALF, hourly_weather(spark, sf_dir))
-    scores = evaluate.backtest_holdout(half_regular(spark, sf_dir), models, HALF)
+    models = comparison.all_models(HALF, saved(hourly_weather(spark, sf_dir)))
+    scores = evaluate.backtest_holdout(saved(half_regular(spark, sf_dir)), models, HALF)
     return rounded(evaluate.compare_models(scores, list(models)))
 
 
+@query
+def backtest_fitted_models(spark, sf_dir):
+    """Hold-out errors of the models that fit shocks, blocks, trees, basis functions or past windows."""
+    models = evaluate.baseline_models(HALF) | comparison.fitted_models()
+    return rounded(evaluate.backtest_holdout(saved(half_regular(spark, sf_dir)), models, HALF), 3)
+
+
 @query
 def best_model(spark, sf_dir):
     models = evaluate.baseline_models(HOURLY)

@@ -6,17 +6,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from tidegrid.operators import features, regression
+from tidegrid.operators import analogue, arma, basis, boosted, features, regression, stacked
 from tidegrid.operators.evaluate import Forecaster, backtest_holdout, baseline_models, compare_models, forecasts_of
 from tidegrid.operators.gaps import top_missing_blocks
 from tidegrid.operators.regularise import regularise
+from tidegrid.session import saved
 from tidegrid.sources.sinks import forecast_table, report_lines
 from tidegrid.spec import Spec
 
 
 @dataclass(frozen=True)
 class Comparison:
-    """Lazy results; nothing runs until one of them is used."""
+    """Results over one saved regular table; the rest runs when it is used."""
 
     regular: DataFrame
     gaps: DataFrame
@@ -32,10 +33,10 @@ def run_comparison(
 ) -> Comparison:
     """Every series and model of ``raw`` (``series_id, ts, value``) in one set of plans.
 
-    A caller that uses several results should persist ``regular`` first or write it out.
+    The regular table is written down once (see ``session.saved``); every result reads that copy.
     """
     models = models or baseline_models(spec)
-    regular = regularise(raw, spec)
+    regular = saved(regularise(raw, spec))
     scores = backtest_holdout(regular, models, spec)
     best = compare_models(scores, list(models))
     forecasts = forecasts_of(regular, models, spec, spec.horizon)
@@ -81,3 +82,14 @@ def all_models(spec: Spec, weather: DataFrame | None = None, max_p: int = 2) ->
             lambda df, s, steps, **known: regression.direct_horizon(df, s, steps, model="direct_exog", **known)
         )
     return models
+
+
+def fitted_models() -> dict[str, Forecaster]:
+    """Forecasters whose fit runs while the plan is built: shocks, stacked blocks, trees, basis functions, past windows."""
+    return {
+        "arma": arma.arma_forecast,
+        "stacked_horizon": stacked.stacked_horizon,
+        "boosted_recursive": lambda df, s, steps: boosted.boosted_recursive(df, s, steps, trees=10),
+        "basis": basis.basis_forecast,
+        "analogue": analogue.analogue_forecast,
+    }

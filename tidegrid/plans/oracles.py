@@ -139,10 +139,10 @@ FEATURES = [
        w.temperature_2m, w.relative_humidity_2m,
        row_number() OVER (PARTITION BY r.series_id ORDER BY r.ts) - 1 AS pos, count(*) OVER (PARTITION BY r.series_id) AS n
   FROM reg r JOIN wx w USING (series_id, ts)
- WHERE w.temperature_2m IS NOT NULL AND w.relative_humidity_2m IS NOT NULL
-   AND r.ts >= (SELECT max(x.ts) FROM reg x WHERE x.series_id = r.series_id) - INTERVAL 90 DAY""",
+ WHERE w.temperature_2m IS NOT NULL AND w.relative_humidity_2m IS NOT NULL""",
     ),
 ]
+RECENT = [c.replace("temperature_2m IS NOT NULL AND", "temperature_2m IS NOT NULL AND r.ts >= (SELECT max(x.ts) FROM reg x WHERE x.series_id = r.series_id) - INTERVAL 90 DAY AND") for c in FEATURES]
 
 
 def future(src: str, grid: str, steps: int, out: str = "fut") -> str:
@@ -771,7 +771,7 @@ def _queries() -> dict[str, str]:
     )
     q["align_left_fill"] = sql("SELECT series_id, ts, is_weekend, round(temperature_2m + 1e-9, 6) AS temperature_2m FROM cov", *LEFT_FILLED)
     q["covariates"] = q["align_left_fill"]
-    q["feature_matrix"] = sql(f"SELECT series_id, ts, {r6('demand')}, is_weekend, {r6('temperature_2m')}, pos, n FROM feat", *FEATURES)
+    q["feature_matrix"] = sql(f"SELECT series_id, ts, {r6('demand')}, is_weekend, {r6('temperature_2m')}, pos, n FROM feat", *RECENT)
     q["feature_matrix_calendar"] = sql(
         f"""SELECT series_id, ts, {r6('demand', 'temperature_2m', 'relative_humidity_2m')}, is_weekend, pos, n, round(hd + 1e-9, 6) AS hour_of_day,
        dw AS day_of_week, CAST(dayofyear(ts) AS DOUBLE) AS day_of_year, round(sin(2 * pi() * hd / 24) + 1e-9, 6) AS hour_sin,
@@ -794,6 +794,10 @@ def _queries() -> dict[str, str]:
   JOIN (SELECT series_id, avg(value) AS value FROM reg GROUP BY 1) m ON m.series_id = f.series_id""",
         *PRICE_DAYS, future("reg", "day", 14),
     )
+    q["asof_raw_stamps"] = """SELECT e.event_id, e.user_id AS series_id, e.ts, p.value AS last_purchase FROM events e ASOF LEFT JOIN
+  (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) p ON e.user_id = p.user_id AND e.ts >= p.ts"""
+    q["asof_raw_tolerance"] = """SELECT e.event_id, e.event_type AS series_id, e.ts AS at, e.value, CASE WHEN e.ts - p.ts <= INTERVAL 120 SECOND THEN p.value END AS earlier
+  FROM events e ASOF LEFT JOIN (SELECT event_type, ts + INTERVAL 30 SECOND AS ts, max(value) AS value FROM events GROUP BY 1, 2) p ON e.event_type = p.event_type AND e.ts >= p.ts"""
     some = WEATHER.replace("FROM events", "FROM events WHERE event_type <> 'click'")
     q["feature_matrix_some_weather"] = sql(
         f"""SELECT series_id, ts, {r6('demand')}, is_weekend, {r6('temperature_2m')}, pos, n FROM feat UNION ALL
@@ -966,7 +970,10 @@ def _queries() -> dict[str, str]:
   FROM (SELECT series_id, count(*) AS n FROM reg GROUP BY 1),
        (VALUES ('seasonal_naive', 'seasonal_naive', 24), ('kday_average', 'kday_average', 24), ('ar1', 'ar1', 0), ('ar_p', 'ar_p', 500),
                ('lag_recursive', 'lag_recursive', 168), ('direct_horizon', 'direct_horizon', 168)) AS m(model, used, need)""",
-        *regular(USERS_RAW + " WHERE user_id % 3 <> 0 OR ts >= TIMESTAMP '2024-01-27'", "hour"),
+        *regular(
+            "SELECT user_id || '/all' AS series_id, ts, value FROM events UNION ALL "
+            "SELECT user_id || '/' || strftime(date_trunc('week', ts), '%Y-%m-%d'), ts, value FROM events", "hour",
+        ),
     )
     q["seasonal_decompose"] = sql(
         """SELECT t.series_id, t.ts, round(t.value + 1e-9, 6) AS value, round(trend + 1e-9, 6) AS trend, round(m.mean_rest - c.centre + 1e-9, 6) AS season,
@@ -1043,7 +1050,7 @@ def _queries() -> dict[str, str]:
 
 # No SQL: the hold-out scores of all models at once, each of which has SQL of its own, and searches
 # over many fits, which tests compare with numpy.
-WITHOUT_SQL = ("backtest_all_models", "best_of_all_models", "fc_arma", "fc_arma_exog", "fc_stacked_horizon", "fc_boosted_recursive")
+WITHOUT_SQL = ("backtest_all_models", "best_of_all_models", "fc_arma", "fc_arma_exog", "fc_stacked_horizon", "fc_boosted_recursive", "backtest_fitted_models")
 
 
 def oracle_sql() -> dict[str, str]:
