@@ -9,12 +9,15 @@ What meets and is within the radius is compared exactly: the shingles of as many
 as the item has against those of the item, every occurrence with its weight, at the aligned place
 and a few words around it. From 0.75 on it is a match.
 
-At 0.75 itself two fingerprints are eleven bits apart on average, so the radius alone loses passages
-near the threshold. Shorter windows do not: a match has at least three quarters of the item's
-shingles, so of any choice of more than a quarter of them it holds one unchanged. Every item of five
-words and more is therefore also filed under that many of its single shingles, those that the fewest
-items have, and where a document holds one of them all its windows are compared, up to a few words
-over its ends. No match is lost there.
+At 0.75 itself two fingerprints of whole items are eleven bits apart on average, so that radius
+alone loses passages near the threshold. Windows over a part of the item do not. Every place where a
+passage departs from the item costs at least four of the item's shingles and brings as many others in,
+so at 0.75 an item of N shingles is cut at no more than N / 28 places, and its longest unchanged
+stretch has at least PART_RUN shingles (three quarters of N for an item too short to be cut). Each
+item is therefore also known by fingerprints of part windows, laid so close that such a stretch holds
+one that the walk meets. They are filed under the exact values of their four blocks, which guarantees
+a radius of three bits. A document and an item that meet in a part window are compared at every
+place of the document, up to a few words over its ends.
 """
 
 from __future__ import annotations
@@ -40,17 +43,27 @@ RATIO = 1.25
 SLACK, STEP = 3, 2
 #: Words around the aligned place that the exact comparison tries.
 AROUND = 3
-#: Items that one pass over the documents looks for; more items take more passes.
-ITEMS_PER_PASS = 500
-#: Low bits of a shingle that tell at once that no item is filed under it.
-MASK_BITS = 20
-_MASK = np.uint64((1 << MASK_BITS) - 1)
+#: Items, and bytes of their texts, that one pass over the documents looks for; more take more passes.
+ITEMS_PER_PASS, BYTES_PER_PASS = 2000, 8 << 20
+#: Shingles of the shortest stretch that a match leaves unchanged in an item of PART_FROM shingles and more.
+PART_RUN, PART_FROM = 12, 28
 
 
-def _near_values() -> np.ndarray:
-    """All 16-bit patterns with at most BLOCK_RADIUS bits."""
+def _near_values(radius: int) -> np.ndarray:
+    """All 16-bit patterns with at most ``radius`` bits."""
     values = np.arange(1 << BLOCK_BITS, dtype=np.uint64)
-    return values[np.bitwise_count(values) <= BLOCK_RADIUS]
+    return values[np.bitwise_count(values) <= radius]
+
+
+def part_shingles(n: int) -> tuple[int, int]:
+    """Shingles of the part windows of an item of ``n`` shingles, and how far apart they lie in it.
+
+    Both together are the shortest stretch that a match leaves unchanged, so it holds a part window
+    and its neighbour, one of which is on the walk.
+    """
+    run = PART_RUN if n >= PART_FROM else max(2, int(np.ceil(THRESHOLD * n)))
+    apart = max(1, run * 5 // PART_RUN)
+    return run - apart, apart
 
 
 def _bit_sums(hashes: np.ndarray, kind: type) -> np.ndarray:
@@ -78,12 +91,18 @@ def _count_kind(window: int) -> type:
 
 @dataclass
 class SizeClass:
-    """Items of lengths lowest..highest; ``window`` words at a time, every ``step`` words."""
+    """Items of lengths lowest..highest; ``window`` words at a time, every ``step`` words.
+
+    Fingerprints meet that are up to ``radius`` bits apart in some block. ``apart`` is the distance of
+    part windows; 0 when the window is as long as an item.
+    """
 
     window: int
     step: int
     lowest: int
     highest: int
+    radius: int = BLOCK_RADIUS
+    apart: int = 0
     prints: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     item: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     offset: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
@@ -102,7 +121,7 @@ class SizeClass:
             window = np.repeat(some, n)
             place = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[some], n)
             entry = self.members[b][place]
-            close = np.bitwise_count(prints[window] ^ self.prints[entry]) <= RADIUS
+            close = np.bitwise_count(prints[window] ^ self.prints[entry]) <= BLOCKS * (self.radius + 1) - 1
             found.append(window[close] * len(self.prints) + entry[close])
         pairs = np.unique(np.concatenate(found))
         return pairs // max(len(self.prints), 1), pairs % max(len(self.prints), 1)
@@ -113,30 +132,40 @@ class Items:
 
     def __init__(self, ids: list[int], texts: list[str]):
         raw, off = text_buffers(pa.array(texts, pa.string()))
-        self.ids, self.words, self.shingles, self.classes = [], [], [], []
+        self.ids, self.words, self.shingles, self.parts, self.classes = [], [], [], [], []
         for k, item in enumerate(ids):
             hashes, counts, _, _ = word_hashes(raw, off[k : k + 2])
             if len(hashes):
                 self.ids.append(item)
                 self.words.append(hashes)
                 self.shingles.append(np.unique(shingle_hashes(hashes, counts)[0], return_counts=True))
-        self._file_shingles()
-        near = _near_values()
+        for lowest, highest, (part, apart) in self._parts():
+            self.parts.append(self._filed(SizeClass(part + WIDTH - 1, STEP, lowest, highest, 0, apart)))
         lengths = sorted({len(w) for w in self.words})
         while lengths:
             low = lengths[0]
             roomy = low >= WIDTH + SLACK
             high = max(n for n in lengths if n == low or (roomy and n <= low * RATIO))
             lengths = [n for n in lengths if n > high]
-            self.classes.append(self._filed(SizeClass(low - SLACK if roomy else low, STEP if roomy else 1, low, high), near))
-
-    def _filed(self, size: SizeClass, near: np.ndarray) -> SizeClass:
+            self.classes.append(self._filed(SizeClass(low - SLACK if roomy else low, STEP if roomy else 1, low, high)))
+
+    def _parts(self) -> list[tuple[int, int, tuple[int, int]]]:
+        """Shortest and longest item of each kind of part window; items without room for one are searched whole."""
+        lengths = sorted({len(w) for w in self.words if len(w) >= WIDTH + SLACK})
+        kinds: dict[tuple[int, int], list[int]] = {}
+        for n in lengths:
+            kinds.setdefault(part_shingles(n - WIDTH + 1), []).append(n)
+        return [(min(n), max(n), kind) for kind, n in kinds.items()]
+
+    def _filed(self, size: SizeClass) -> SizeClass:
+        near = _near_values(size.radius)
         prints, item, offset = [], [], []
         for k, words in enumerate(self.words):
             if size.lowest <= len(words) <= size.highest:
                 room = len(words) - size.window
                 # pairs of neighbours at both ends and in the middle: one of each pair is on the walk
-                at = sorted({o for p in (0, room // 2, room - 1) for o in (p, p + 1) if 0 <= o <= room})
+                places = (*range(0, room, size.apart), room - 1) if size.apart else (0, room // 2, room - 1)
+                at = sorted({o for p in places for o in (p, p + 1) if 0 <= o <= room})
                 hashes, _ = shingle_hashes(words, np.array([len(words)]))
                 begin = np.array(at)
                 end = begin + max(size.window - WIDTH + 1, 1)
@@ -153,37 +182,6 @@ class Items:
             size.starts.append(np.searchsorted(values.ravel()[order], np.arange((1 << BLOCK_BITS) + 1)))
         return size
 
-    def _file_shingles(self) -> None:
-        """File items under shingles of more than a quarter of their weight, rare ones first."""
-        kinds, holders = np.unique(np.concatenate([k for k, _ in self.shingles] or [np.zeros(0, np.uint64)]), return_counts=True)
-        filed = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-        for k, (own, weight) in enumerate(self.shingles):
-            if len(self.words[k]) >= WIDTH:
-                order = np.argsort(holders[np.searchsorted(kinds, own)], kind="stable")
-                enough = int(np.searchsorted(np.cumsum(weight[order]), (1 - THRESHOLD) * weight.sum(), "right")) + 1
-                filed.append((own[order[:enough]], np.full(len(order[:enough]), k)))
-        hashes, item = (np.concatenate(x) for x in zip(*filed))
-        order = np.argsort(hashes, kind="stable")
-        self.filed_item = item[order]
-        self.filed, self.filed_first = np.unique(hashes[order], return_index=True)
-        self.filed_first = np.append(self.filed_first, len(order))
-        self.may_be_filed = np.zeros(1 << MASK_BITS, bool)
-        self.may_be_filed[self.filed & _MASK] = True
-
-    def _sharing(self, hashes: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
-        """Pairs (row, item) where the row holds a shingle under which the item is filed."""
-        at = np.flatnonzero(self.may_be_filed[hashes & _MASK])
-        place = np.searchsorted(self.filed, hashes[at])
-        same = place < len(self.filed)
-        same[same] = self.filed[place[same]] == hashes[at[same]]
-        row, place = np.searchsorted(np.cumsum(n), at[same], "right"), place[same]
-        kinds = np.unique(row * np.int64(len(self.filed) + 1) + place)
-        row, place = kinds // (len(self.filed) + 1), kinds % (len(self.filed) + 1)
-        first, count = self.filed_first[place], self.filed_first[place + 1] - self.filed_first[place]
-        entry = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-        pairs = np.unique(np.repeat(row, count) * np.int64(len(self.words) + 1) + self.filed_item[entry])
-        return list(zip((pairs // (len(self.words) + 1)).tolist(), (pairs % (len(self.words) + 1)).tolist()))
-
     def _best_place(self, k: int, words: np.ndarray, hashes: np.ndarray) -> tuple[float, int, int]:
         """(similarity, first, end) of the window of a text that is most similar to an item, the first of equal ones.
 
@@ -223,16 +221,10 @@ class Items:
         last = np.cumsum(counts)
         first = last - counts
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        walked: dict = {WIDTH: self._walked(words, counts, first, WIDTH)}
+        walked: dict = {}
         sums: dict = {}
-        hashes, n, at = walked[WIDTH]
-        whole = counts >= WIDTH  # a shorter text is one shingle, which no longer item has
-        for r, k in self._sharing(hashes, n):
-            if whole[r]:
-                s, a, b = self._best_place(k, words[first[r] : first[r] + counts[r]], hashes[at[r] : at[r] + n[r]])
-                if s >= THRESHOLD:
-                    best[r, k] = (s, int(begins[first[r] + a]), int(ends[first[r] + b - 1]))
-        for size in self.classes:
+        searched: set[tuple[int, int]] = set()
+        for size in (*self.parts, *self.classes):
             width, kind = min(WIDTH, size.window), _count_kind(size.window)
             if width not in walked:
                 walked[width] = self._walked(words, counts, first, width)
@@ -247,8 +239,19 @@ class Items:
             begin = at[row] + step * size.step
             end = np.minimum(begin + shingles, (at + n)[row])
             window, entry = size.meeting(_fingerprints(sums[width, kind], kind, begin, end))
+            if size.apart:
+                pairs = np.unique(row[window] * np.int64(len(self.words)) + size.item[entry])
+                for r, k in zip((pairs // len(self.words)).tolist(), (pairs % len(self.words)).tolist()):
+                    searched.add((r, k))
+                    if counts[r] >= WIDTH:  # a shorter text is one shingle, which no longer item has
+                        s, a, b = self._best_place(k, words[first[r] : first[r] + counts[r]], hashes[at[r] : at[r] + n[r]])
+                        if s >= THRESHOLD:
+                            best[r, k] = (s, int(begins[first[r] + a]), int(ends[first[r] + b - 1]))
+                continue
             for w, e in zip(window.tolist(), entry.tolist()):
                 r, k = int(row[w]), int(size.item[e])
+                if (r, k) in searched:
+                    continue
                 start = int(step[w]) * size.step - int(size.offset[e])
                 length = len(self.words[k])
                 top = best.get((r, k), (0.0, 0, 0))
@@ -279,7 +282,7 @@ class Items:
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[tuple[tuple[int, ...], tuple[str, ...]]]:
-    """Ids and texts of the items in blocks of about ITEMS_PER_PASS.
+    """Ids and texts of the items in blocks of about ITEMS_PER_PASS items or BYTES_PER_PASS bytes.
 
     Null and empty items match nothing. Of rows that repeat an item_id the texts all count.
     """
@@ -287,7 +290,8 @@ def item_blocks(benchmark: DataFrame) -> Iterator[tuple[tuple[int, ...], tuple[s
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     ).where("text is not null and item_id is not null")
     rows = rows.distinct()
-    blocks = -(-rows.count() // ITEMS_PER_PASS)
+    held = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    blocks = max(-(-held["n"] // ITEMS_PER_PASS), -(-held["bytes"] // BYTES_PER_PASS))
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         if part:
