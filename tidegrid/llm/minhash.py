@@ -36,6 +36,9 @@ BLOCK, BIN = 512, 4096
 #: Shingles of the members of a block, and of the rows of a bin of blocks: long texts make smaller ones.
 BLOCK_SHINGLES, BIN_SHINGLES = 1 << 19, 1 << 22
 
+#: Members that make a component hot, and hot components whose rows are broadcast.
+HOT, HOT_MAINS = BLOCK, 100_000
+
 _rng = np.random.default_rng(7)
 _A = _rng.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
 _B = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)
@@ -180,6 +183,23 @@ def _strays(shared: DataFrame, joined: DataFrame) -> DataFrame:
     return label.join(mixed_up, "bucket")
 
 
+def _laid(of: DataFrame, per: DataFrame) -> DataFrame:
+    """Members with the blocks of their main component; no join key holds more than HOT members.
+
+    A component with more than HOT members here is one row for at least that many. These rows are
+    sent to the members, while there are at most HOT_MAINS of them; if there are more, no single one
+    is large against all members, and the plain join is dealt evenly or split at run time.
+    """
+    wide = of.select("main", "cls", "comp", "outside")
+    blocks = per.select("main", "rows", "cols", "every")
+    hot = saved(blocks.where(F.col("every") > HOT))
+    cold = blocks.where(F.col("every") <= HOT).drop("every")
+    if hot.count() <= HOT_MAINS:
+        few = F.broadcast(hot.drop("every"))
+        return wide.join(few, "main").unionByName(wide.join(few.select("main"), "main", "left_anti").join(cold, "main"))
+    return wide.join(blocks.drop("every"), "main")
+
+
 def _unsettled(stray: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between components that members of mixed buckets still join.
 
@@ -204,8 +224,7 @@ def _unsettled(stray: DataFrame, sets: DataFrame) -> DataFrame:
     # what all blocks hold together: every member once for each block of the other side
     held = per.agg(F.sum(F.expr("few * cols + every * rows")), F.sum(F.expr("few_n * cols + every_n * rows"))).first()
     bins = max((held[0] or 0) // BIN, (held[1] or 0) // BIN_SHINGLES) + 1
-    per = per.select("main", "rows", "cols")
-    laid = of.join(per, "main")
+    laid = _laid(of, per)
     own = F.pmod(F.xxhash64("cls"), F.col("rows"))
     sides = laid.where("outside").select(
         "main", "cls", "comp", F.lit(0).alias("side"), own.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cols") - 1)).alias("j")
