@@ -150,6 +150,17 @@ def test_rounding_is_unbiased(spark):
     assert all(abs(r.share - 0.3) < 0.06 for r in got)
 
 
+def test_mixed_rows_whose_columns_have_the_names_used_inside(spark):
+    helpers = ["c", "m", "row", "size", "copy", "copies", "rows", "upto", "taken", "target", "p", "g", "e", "w_doc_id", "source_size", "a.b"]
+    docs = awkward(spark, ["one two three", "four five", "one two three"] * 3).drop("size", "score")
+    wide = docs.select("*", *[F.lit(k).alias(n) for k, n in enumerate(helpers)])
+    got = mixing.mixed(wide)
+    assert got.columns == wide.columns
+    key = lambda df: sorted((r.doc_id is None, r.doc_id or 0, r.text or "", r.source or "") for r in df.collect())
+    assert key(got) == key(mixing.mixed(docs))
+    assert all(list(r)[-len(helpers) :] == list(range(len(helpers))) for r in got.collect())
+
+
 def test_mixed_rows(spark):
     docs = awkward(spark, ["a b c d"] * 5 + ["e f"] * 4)
     docs = docs.union(docs.where("doc_id = 101").withColumn("lang", F.lit("fr")))

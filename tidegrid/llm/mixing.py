@@ -196,34 +196,29 @@ def mixed(docs: DataFrame) -> DataFrame:
     per = saved(
         mixture(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("c"), F.count("*").alias("m"))
     )
-    names = ["_mix_doc", "_mix_source", "_mix_size"]
-    keyed = docs.withColumns(
-        {
-            names[0]: F.col("doc_id").cast("long"),
-            names[1]: F.col("source").cast("string"),
-            names[2]: F.size(words(F.col("text").cast("string"))).cast("long"),
-        }
+    # the row travels as one column, so none of its names meets one used here
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        F.size(words(F.col("text").cast("string"))).cast("long").alias("size"),
     )
+    names = ["doc_id", "source", "size"]
 
     def counted(rows, wanted):
-        same = [F.col(f"r.{n}").eqNullSafe(F.col(f"w.{c}")) for n, c in zip(names, ("doc_id", "source", "size"))]
-        kept = wanted.where("c > 0").select("doc_id", "source", "size", "c", "m")
-        return rows.alias("r").join(kept.alias("w"), same[0] & same[1] & same[2]).select("r.*", "c", "m")
+        kept = wanted.where("c > 0").select(*[F.col(n).alias(f"w_{n}") for n in names], "c", "m")
+        same = [F.col(n).eqNullSafe(F.col(f"w_{n}")) for n in names]
+        return rows.join(kept, same[0] & same[1] & same[2]).select(*rows.columns, "c", "m")
 
     def repeated(rows, copies):
-        times = F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long"))).alias("_mix_copy")
-        return rows.where(copies > 0).select(*[F.col(c) for c in docs.columns], times).drop("_mix_copy")
+        times = F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long"))).alias("copy")
+        return rows.where(copies > 0).select("row", times).select("row.*")
 
     out = repeated(counted(keyed, per.where("m = 1")), F.col("c"))
     many = per.where("m > 1")
     if many.isEmpty():
         return out
-    kinds = counted(keyed, many).groupBy(*docs.columns, *names, "c", "m").agg(F.count("*").alias("_mix_rows"))
-    key = ", ".join(f"`{c}`" for c in docs.columns)
-    upto = kinds.selectExpr(
-        "*", f"sum(_mix_rows) over (partition by {', '.join(names)} order by xxhash64({key})) as _mix_upto"
-    )
-    share = F.floor(F.col("_mix_upto") * F.col("c") / F.col("m")) - F.floor(
-        (F.col("_mix_upto") - F.col("_mix_rows")) * F.col("c") / F.col("m")
-    )
+    kinds = counted(keyed, many).groupBy("row", *names, "c", "m").agg(F.count("*").alias("rows"))
+    upto = kinds.selectExpr("*", f"sum(rows) over (partition by {', '.join(names)} order by xxhash64(row)) as upto")
+    share = F.floor(F.col("upto") * F.col("c") / F.col("m")) - F.floor((F.col("upto") - F.col("rows")) * F.col("c") / F.col("m"))
     return out.union(repeated(upto, share))
