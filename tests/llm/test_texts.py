@@ -1,6 +1,7 @@
 """Operators that read whole texts in Python: counts, classifiers, extraction, decontamination."""
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -222,8 +223,11 @@ def test_main_text(page, text):
 
 
 def test_long_and_deep_pages():
-    deep = "<div>" * 5000 + PARAGRAPH + "</div>" * 5000
-    assert extract.main_text(deep) == PARAGRAPH
+    for tag in ("div", "span", "li"):
+        deep = f"<{tag}>" * 50_000 + PARAGRAPH + f"</{tag}>" * 50_000
+        start = time.perf_counter()
+        assert extract.main_text(deep) == PARAGRAPH
+        assert time.perf_counter() - start < 3
     many = "<body>" + "".join(f"<p>{PARAGRAPH} {k}</p>" for k in range(5000))
     assert extract.main_text(many).count("\n\n") == 4999
 
@@ -371,6 +375,24 @@ def test_every_passage_near_the_threshold_is_found(n, edits, how):
     assert {(r, k): s for r, k, s, _, _ in filed.matches(raw, off)} == pytest.approx(want)
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><p title=it's>{PARAGRAPH}</p><p>{PARAGRAPH} B</p></article>", f"{PARAGRAPH}\n\n{PARAGRAPH} B"),
+        (f"<article><p onclick=foo('a\")>{PARAGRAPH}</p><p>{PARAGRAPH} B</p></article>", f"{PARAGRAPH}\n\n{PARAGRAPH} B"),
+        (f"<article><p title = 'a > b' lang=en>{PARAGRAPH}</p><p title=\"x class=ad y\">{PARAGRAPH} B</p></article>", f"{PARAGRAPH}\n\n{PARAGRAPH} B"),
+        (f"<article><p>{PARAGRAPH}</p><section class='reader-comments'><p>{PARAGRAPH} No!</p></section></article>", PARAGRAPH),
+        (f"<body><div><p>{PARAGRAPH}</p><p>{PARAGRAPH} B</p></div><div class='feedback'><p>{PARAGRAPH} No!</p></div></body>", f"{PARAGRAPH}\n\n{PARAGRAPH} B"),
+        (f"<body><main><p>{PARAGRAPH}</p></main><div class='discussion'><p>{PARAGRAPH} No!</p></div></body>", PARAGRAPH),
+        (f"<body><div><p>{PARAGRAPH}</p><p>{PARAGRAPH} B</p></div><div class='bottom-legal'>Copyright of all, all rights reserved</div></body>", f"{PARAGRAPH}\n\n{PARAGRAPH} B"),
+        (f"<body><main><p>{PARAGRAPH}</p><ul><li><a href=1>Related story one</a><li><a href=2>Related story two</a></ul></main></body>", PARAGRAPH),
+        (f"<body><main><p>{PARAGRAPH} <a href=1>one</a> <a href=2>two</a></p><ul><li>A point with <a href=3>a link</a><li>and <a href=4>more</a></ul></main></body>", f"{PARAGRAPH} one two\n\nA point with a link\n\nand more"),
+    ],
+)
+def test_probed_pages(page, text):
+    assert extract.main_text(page) == text
+
+
 @pytest.mark.parametrize(
     "page, text",
     [

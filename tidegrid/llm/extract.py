@@ -8,7 +8,8 @@ composite density: its characters per tag, weighed down by the share of characte
 links relative to the whole body. A node's sum is the sum of its children's densities. The node with
 the largest sum leads; the smallest density on its path up to the body is the threshold, and every
 part of the body that reaches it gives its own node of largest sum. If the leading node lies in an
-article or main element, that element is taken as a whole. The blocks of text below the chosen
+article or main element, that element is taken, without the blocks in it that hold links only and so
+have no density. The blocks of text below the chosen
 nodes, in page order, are the text.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -53,18 +55,25 @@ OUT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs footer sidebar aside widget cookie cookies consent notice notices gdpr popup modal overlay "
     "comment comments disqus reply replies respond share sharing social related recommended newsletter subscribe "
-    "signup login search pagination pager toolbar masthead contentinfo complementary hidden".split()
+    "signup login search pagination pager toolbar masthead contentinfo complementary hidden "
+    "feedback discussion discussions legal copyright imprint".split()
 )
 #: Header-like names count outside an article only: an article's own heading belongs to it.
 HEADER_WORDS = frozenset("header topbar".split())
 #: Words that add nothing to a name but where or what shape it is: ``user-comments``, ``cookie-bar``.
 QUALIFIERS = frozenset(
     "user site page top bottom left right main primary secondary global list box block section container wrapper bar "
-    "link links button buttons icons text slot unit message dialog form post posts".split()
+    "link links button buttons icons text slot unit message dialog form post posts reader readers visitor visitors".split()
 )
-
-_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
+#: Of the marks, those of readers' comments: what bears them is not spared for its length.
+COMMENTS = frozenset("comment comments disqus reply replies respond feedback discussion discussions".split())
+#: Words that say what a page has rather than what an element is.
+STATES = frozenset("has no with without show hide allow enable disable open".split())
+
+# A quote opens a value only right after an equals sign; a value without quotes ends at white space.
+_VALUE = r"""(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]*)"""
+_TAG = re.compile(rf"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*{_VALUE})*+)(?:>|\Z))", re.S)
+_ATTRIBUTE = re.compile(rf"([^\s=/]+)(?:\s*=\s*({_VALUE}))?|=", re.S)
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -82,62 +91,85 @@ class Node:
     link_tags: int = 0
     density: float = 0.0
     sum: float = 0.0
+    comments: bool = False  # named as readers' comments
+
+
+def _attributes(text: str) -> Iterator[tuple[str, str]]:
+    """Names in lower case and values, one after the other, so that nothing inside a value counts."""
+    for m in _ATTRIBUTE.finditer(text):
+        if m[1]:
+            value = m[2] or ""
+            yield m[1].lower(), value.strip(value[0]) if value[:1] in ("'", '"') else value
 
 
 def _hidden(attributes: str) -> bool:
-    for m in _ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or "").strip("\"'")
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-    return False
+    return any(n == "hidden" or (n == "aria-hidden" and v.lower() == "true") for n, v in _attributes(attributes))
 
 
-def _named_out(attributes: str, inside: bool) -> bool:
-    """Whether a class, id or role as a whole names boilerplate: ``sidebar``, not ``has-sidebar``."""
+def _named_out(attributes: str, inside: bool) -> str:
+    """The word by which a class, id or role as a whole names boilerplate: ``sidebar``, not ``has-sidebar``.
+
+    Comments count whoever's they are: ``reader-comments``, but not ``no-comments``. Empty if none does.
+    """
     marks = OUT_WORDS if inside else OUT_WORDS | HEADER_WORDS
-    for m in _ATTRIBUTE.finditer(attributes):
-        for token in (m[2] or "").strip("\"'").split():
-            words = set(_WORD.findall(_CAMEL.sub(" ", token).lower()))
-            if words & marks and words <= marks | QUALIFIERS:
-                return True
-    return False
+    for name, value in _attributes(attributes):
+        for token in value.split() if name in ("class", "id", "role") else ():
+            words = _WORD.findall(_CAMEL.sub(" ", token).lower())
+            if words and words[-1] == "comments" and words[0] not in STATES:
+                return "comments"
+            if marks.intersection(words) and set(words) <= marks | QUALIFIERS:
+                return next((w for w in words if w in COMMENTS), next(w for w in words if w in marks))
+    return ""
 
 
 def parsed(page: str) -> Node:
     """Tree of a page; tags are matched leniently, as browsers do for paragraphs, items and cells."""
     root = Node("html")
-    at, stack, depth, article = 0, [root], 0, 0
-    for m in iter_tags(page):
-        begin, end, closing, tag, attributes = m
+    at, stack = 0, [root]
+    open_: Counter[str] = Counter()  # elements of each name below the root
+
+    def close(k: int) -> None:
+        """End the element at place ``k`` and all inside it."""
+        for node in stack[k:]:
+            open_[node.tag] -= 1
+        del stack[k:]
+
+    for begin, end, closing, tag, attributes in iter_tags(page):
         if begin > at:
             stack[-1].children.append(page[at:begin])
         at = end
         if tag is None:
             continue
         if closing:
-            names = [n.tag for n in stack]
-            if tag in names[1:]:
-                k = len(names) - 1 - names[::-1].index(tag)
-                # an inline end tag does not reach out of a block
-                if tag in BLOCK or not any(n in BLOCK for n in names[k + 1 :]):
-                    article -= sum(n in ("article", "main") for n in names[k:])
-                    del stack[k:]
+            # an inline end tag does not reach out of a block
+            for k in range(len(stack) - 1, 0, -1) if open_[tag] else ():
+                if stack[k].tag == tag:
+                    close(k)
+                    break
+                if tag not in BLOCK and stack[k].tag in BLOCK:
+                    break
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack[1:]):
+        if tag in ("html", "body") and open_[tag]:
             continue
-        if tag in BLOCK:
-            _end_paragraph(stack)
+        if tag in BLOCK and open_["p"]:  # a block ends an open paragraph, with what is open inside it
+            k = _nearest(stack, frozenset({"p"}), BLOCK)
+            if k:
+                close(k)
         if tag in ENDS:
-            _end_open(stack, *ENDS[tag])
+            kinds, borders = ENDS[tag]
+            while any(open_[kind] for kind in kinds) and (k := _nearest(stack, kinds, borders)):
+                close(k)
+        article = open_["article"] + open_["main"]
         sure = (tag in OUT and tag not in WRAPPERS) or (tag == "header" and not article) or _hidden(attributes)
-        by_name = not sure and (tag in WRAPPERS or _named_out(attributes, article > 0))
+        name = "" if sure else _named_out(attributes, article > 0)
+        by_name = bool(name) or (not sure and tag in WRAPPERS)
         # a page cannot be boilerplate as a whole
         named = tag not in ("html", "body")
-        node = Node(tag, named and (sure or by_name), named and by_name, stack[-1])
+        node = Node(tag, named and (sure or by_name), named and by_name, stack[-1], comments=name in COMMENTS)
         stack[-1].children.append(node)
         if tag not in VOID and not attributes.endswith("/"):
             stack.append(node)
-            article += tag in ("article", "main")
+            open_[tag] += 1
     if at < len(page):
         stack[-1].children.append(page[at:])
     return root
@@ -168,24 +200,14 @@ def iter_tags(page: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
             at = tail
 
 
-def _end_paragraph(stack: list[Node]) -> None:
-    """A block ends an open paragraph, with what is open inside it."""
+def _nearest(stack: list[Node], kinds: frozenset, borders: frozenset) -> int:
+    """Place of the innermost open element of ``kinds``, 0 if a border or nothing comes first."""
     for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == "p":
-            del stack[k:]
-            return
-        if stack[k].tag in BLOCK:
-            return
-
-
-def _end_open(stack: list[Node], kinds: frozenset, borders: frozenset) -> None:
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in borders:
-            return
         if stack[k].tag in kinds:
-            del stack[k:]
-            _end_open(stack, kinds, borders)
-            return
+            return k
+        if stack[k].tag in borders:
+            return 0
+    return 0
 
 
 def _spare(body: Node) -> None:
@@ -220,7 +242,7 @@ def _spare(body: Node) -> None:
     for node in nodes:  # parents before children
         if id(node.parent) in below:
             below.add(id(node))
-        most = 2 * plain[id(node)] > plain[id(body)] and (not above or id(node) in below)
+        most = not node.comments and 2 * plain[id(node)] > plain[id(body)] and (not above or id(node) in below)
         if node.by_name and (id(node) in above or most):
             node.out = False
 
@@ -286,6 +308,9 @@ def _chosen(body: Node) -> set[int]:
             if isinstance(c, Node) and not c.out and top[id(c)].sum > top[id(node)].sum:
                 top[id(node)] = top[id(c)]
     around = next((n for n in _upwards(best) if n.tag in ("article", "main")), None)
+    # lists of links have no density: they are menus, also inside an article
+    for node in nodes:
+        node.out = node.out or (node.tag in BLOCK and node is not body and node.link_tags > 1 and node.link_chars == node.chars > 0)
     found, todo = set() if around is None else {id(around)}, [body]
     while todo:
         node = todo.pop()
