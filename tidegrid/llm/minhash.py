@@ -183,7 +183,7 @@ def _strays(shared: DataFrame, joined: DataFrame) -> DataFrame:
     return label.join(mixed_up, "bucket")
 
 
-def _laid(of: DataFrame, per: DataFrame) -> DataFrame:
+def _laid(of: DataFrame, per: DataFrame, n_hot: int) -> DataFrame:
     """Members with the blocks of their main component; no join key holds more than HOT members.
 
     A component with more than HOT members here is one row for at least that many. These rows are
@@ -192,12 +192,13 @@ def _laid(of: DataFrame, per: DataFrame) -> DataFrame:
     """
     wide = of.select("main", "cls", "comp", "outside")
     blocks = per.select("main", "rows", "cols", "every")
-    hot = saved(blocks.where(F.col("every") > HOT))
-    cold = blocks.where(F.col("every") <= HOT).drop("every")
-    if hot.count() <= HOT_MAINS:
-        few = F.broadcast(hot.drop("every"))
-        return wide.join(few, "main").unionByName(wide.join(few.select("main"), "main", "left_anti").join(cold, "main"))
-    return wide.join(blocks.drop("every"), "main")
+    if n_hot > HOT_MAINS:
+        return wide.join(blocks.drop("every"), "main")
+    few = F.broadcast(blocks.where(F.col("every") > HOT).drop("every"))
+    marked = wide.join(few, "main", "left")
+    cold = blocks.where(F.col("every") <= HOT).select("main", F.col("rows").alias("r"), F.col("cols").alias("c"))
+    rest = marked.where("rows IS NULL").drop("rows", "cols").join(cold, "main")
+    return marked.where("rows IS NOT NULL").unionByName(rest.withColumnsRenamed({"r": "rows", "c": "cols"}))
 
 
 def _unsettled(stray: DataFrame, sets: DataFrame) -> DataFrame:
@@ -216,15 +217,17 @@ def _unsettled(stray: DataFrame, sets: DataFrame) -> DataFrame:
     )
     few, long = F.col("outside").cast("long"), F.when(F.col("outside"), F.col("n")).otherwise(0)
     blocks = lambda rows, n: F.greatest(F.lit(1), F.ceil(rows / BLOCK), F.ceil(n / BLOCK_SHINGLES))
-    per = (
+    per = saved(
         of.groupBy("main")
         .agg(F.sum(few).alias("few"), F.count("*").alias("every"), F.sum(long).alias("few_n"), F.sum("n").alias("every_n"))
         .withColumns({"rows": blocks(F.col("few"), F.col("few_n")), "cols": blocks(F.col("every"), F.col("every_n"))})
     )
     # what all blocks hold together: every member once for each block of the other side
-    held = per.agg(F.sum(F.expr("few * cols + every * rows")), F.sum(F.expr("few_n * cols + every_n * rows"))).first()
+    held = per.agg(
+        F.sum(F.expr("few * cols + every * rows")), F.sum(F.expr("few_n * cols + every_n * rows")), F.count_if(F.col("every") > HOT)
+    ).first()
     bins = max((held[0] or 0) // BIN, (held[1] or 0) // BIN_SHINGLES) + 1
-    laid = _laid(of, per)
+    laid = _laid(of, per, held[2])
     own = F.pmod(F.xxhash64("cls"), F.col("rows"))
     sides = laid.where("outside").select(
         "main", "cls", "comp", F.lit(0).alias("side"), own.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cols") - 1)).alias("j")
