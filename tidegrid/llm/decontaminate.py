@@ -14,9 +14,9 @@ alone loses passages near the threshold. Windows over a part of the item do not.
 passage departs from the item costs at least four of the item's shingles and brings as many others in,
 so at 0.75 an item of N shingles is cut at no more than N / 28 places, and its longest unchanged
 stretch has at least PART_RUN shingles (three quarters of N for an item too short to be cut). Each
-item is therefore also known by fingerprints of part windows, laid so close that such a stretch holds
-one that the walk meets. They are filed under the exact values of their four blocks, which guarantees
-a radius of three bits. A document and an item that meet in a part window are compared at every
+item is therefore also known by the fingerprints of part windows at every offset, and the walk's steps
+are so short that such a stretch holds one of its windows. They are filed under the exact values of
+two blocks of 32 bits, which guarantees a radius of one bit. A document and an item that meet in a part window are compared at every
 place of the document, up to a few words over its ends.
 """
 
@@ -47,23 +47,26 @@ AROUND = 3
 ITEMS_PER_PASS, BYTES_PER_PASS = 2000, 8 << 20
 #: Shingles of the shortest stretch that a match leaves unchanged in an item of PART_FROM shingles and more.
 PART_RUN, PART_FROM = 12, 28
+#: Low bits of half a fingerprint that tell at once that no part window is filed under it.
+MASK_BITS = 20
+_MASK, _HALF = np.uint64((1 << MASK_BITS) - 1), np.uint64((1 << 32) - 1)
 
 
-def _near_values(radius: int) -> np.ndarray:
-    """All 16-bit patterns with at most ``radius`` bits."""
+def _near_values() -> np.ndarray:
+    """All 16-bit patterns with at most BLOCK_RADIUS bits."""
     values = np.arange(1 << BLOCK_BITS, dtype=np.uint64)
-    return values[np.bitwise_count(values) <= radius]
+    return values[np.bitwise_count(values) <= BLOCK_RADIUS]
 
 
 def part_shingles(n: int) -> tuple[int, int]:
-    """Shingles of the part windows of an item of ``n`` shingles, and how far apart they lie in it.
+    """Shingles of the part windows of an item of ``n`` shingles, and the step of the walk.
 
-    Both together are the shortest stretch that a match leaves unchanged, so it holds a part window
-    and its neighbour, one of which is on the walk.
+    An item has a part window at every offset. The shortest stretch that a match leaves unchanged is
+    as long as a window and a step less one, so some window of the walk lies in it.
     """
     run = PART_RUN if n >= PART_FROM else max(2, int(np.ceil(THRESHOLD * n)))
-    apart = max(1, run * 5 // PART_RUN)
-    return run - apart, apart
+    step = max(1, run // 2)
+    return run - step + 1, step
 
 
 def _bit_sums(hashes: np.ndarray, kind: type) -> np.ndarray:
@@ -93,21 +96,47 @@ def _count_kind(window: int) -> type:
 class SizeClass:
     """Items of lengths lowest..highest; ``window`` words at a time, every ``step`` words.
 
-    Fingerprints meet that are up to ``radius`` bits apart in some block. ``apart`` is the distance of
-    part windows; 0 when the window is as long as an item.
+    Fingerprints within RADIUS bits meet. Part windows meet within one bit, by the halves of their
+    fingerprints; ``may_meet`` tells by a half's low bits that nothing is filed there.
     """
 
     window: int
     step: int
     lowest: int
     highest: int
-    radius: int = BLOCK_RADIUS
-    apart: int = 0
+    part: bool = False
     prints: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     item: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     offset: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     starts: list[np.ndarray] = field(default_factory=list)  # of each block value's fingerprints
     members: list[np.ndarray] = field(default_factory=list)
+    may_meet: list[np.ndarray] = field(default_factory=list)
+
+    def file_parts(self) -> None:
+        for h in range(2):
+            half = self.prints >> np.uint64(32 * h) & _HALF
+            order = np.argsort(half, kind="stable")
+            self.members.append(order)
+            self.starts.append(half[order])
+            seen = np.zeros(1 << MASK_BITS, bool)
+            seen[half & _MASK] = True
+            self.may_meet.append(seen)
+
+    def parts_meeting(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (window, item fingerprint) within one bit."""
+        found = []
+        for h in range(2):
+            half = prints >> np.uint64(32 * h) & _HALF
+            some = np.flatnonzero(self.may_meet[h][half & _MASK])
+            first = np.searchsorted(self.starts[h], half[some], "left")
+            n = np.searchsorted(self.starts[h], half[some], "right") - first
+            window = np.repeat(some, n)
+            place = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+            entry = self.members[h][place]
+            close = np.bitwise_count(prints[window] ^ self.prints[entry]) <= 1
+            found.append(window[close] * len(self.prints) + entry[close])
+        pairs = np.unique(np.concatenate(found))
+        return pairs // max(len(self.prints), 1), pairs % max(len(self.prints), 1)
 
     def meeting(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (window, item fingerprint) within the radius."""
@@ -121,7 +150,7 @@ class SizeClass:
             window = np.repeat(some, n)
             place = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[some], n)
             entry = self.members[b][place]
-            close = np.bitwise_count(prints[window] ^ self.prints[entry]) <= BLOCKS * (self.radius + 1) - 1
+            close = np.bitwise_count(prints[window] ^ self.prints[entry]) <= RADIUS
             found.append(window[close] * len(self.prints) + entry[close])
         pairs = np.unique(np.concatenate(found))
         return pairs // max(len(self.prints), 1), pairs % max(len(self.prints), 1)
@@ -139,8 +168,8 @@ class Items:
                 self.ids.append(item)
                 self.words.append(hashes)
                 self.shingles.append(np.unique(shingle_hashes(hashes, counts)[0], return_counts=True))
-        for lowest, highest, (part, apart) in self._parts():
-            self.parts.append(self._filed(SizeClass(part + WIDTH - 1, STEP, lowest, highest, 0, apart)))
+        for lowest, highest, (part, step) in self._parts():
+            self.parts.append(self._filed(SizeClass(part + WIDTH - 1, step, lowest, highest, True)))
         lengths = sorted({len(w) for w in self.words})
         while lengths:
             low = lengths[0]
@@ -158,14 +187,12 @@ class Items:
         return [(min(n), max(n), kind) for kind, n in kinds.items()]
 
     def _filed(self, size: SizeClass) -> SizeClass:
-        near = _near_values(size.radius)
         prints, item, offset = [], [], []
         for k, words in enumerate(self.words):
             if size.lowest <= len(words) <= size.highest:
                 room = len(words) - size.window
                 # pairs of neighbours at both ends and in the middle: one of each pair is on the walk
-                places = (*range(0, room, size.apart), room - 1) if size.apart else (0, room // 2, room - 1)
-                at = sorted({o for p in places for o in (p, p + 1) if 0 <= o <= room})
+                at = range(room + 1) if size.part else sorted({o for p in (0, room // 2, room - 1) for o in (p, p + 1) if 0 <= o <= room})
                 hashes, _ = shingle_hashes(words, np.array([len(words)]))
                 begin = np.array(at)
                 end = begin + max(size.window - WIDTH + 1, 1)
@@ -174,6 +201,10 @@ class Items:
                 item += [k] * len(at)
                 offset += at
         size.prints, size.item, size.offset = np.concatenate(prints), np.array(item), np.array(offset)
+        if size.part:
+            size.file_parts()
+            return size
+        near = _near_values()
         for b in range(BLOCKS):
             own = (size.prints >> np.uint64(b * BLOCK_BITS)) & np.uint64((1 << BLOCK_BITS) - 1)
             values = (own[:, None] ^ near[None, :]).astype(np.int64)
@@ -238,8 +269,9 @@ class Items:
             step = np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)
             begin = at[row] + step * size.step
             end = np.minimum(begin + shingles, (at + n)[row])
-            window, entry = size.meeting(_fingerprints(sums[width, kind], kind, begin, end))
-            if size.apart:
+            prints = _fingerprints(sums[width, kind], kind, begin, end)
+            window, entry = size.parts_meeting(prints) if size.part else size.meeting(prints)
+            if size.part:
                 pairs = np.unique(row[window] * np.int64(len(self.words)) + size.item[entry])
                 for r, k in zip((pairs // len(self.words)).tolist(), (pairs % len(self.words)).tolist()):
                     searched.add((r, k))
