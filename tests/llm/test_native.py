@@ -221,6 +221,19 @@ def test_added_rules_stay_out_of_the_base(spark):
     assert secret_scan.find_secrets(awkward(spark).limit(0)).count() == 0
 
 
+def test_secrets_of_many_rows_alike(spark):
+    texts = [(None, "token=abcdef1")] * 300 + [(None, "")] * 200 + [(None, None)] * 50 + [(5, "token=abcdef1")] * 3 + [(5, "plain")]
+    found = secret_scan.digest(secret_scan.find_secrets(spark.createDataFrame(texts, "doc_id long, text string")))
+    got = {(r.doc_id, r.spans): r["count"] for r in found.groupBy("doc_id", "spans").count().collect()}
+    assert got == {(None, "assign:0:13"): 300, (None, ""): 250, (5, "assign:0:13"): 3, (5, ""): 1}
+
+
+def test_secret_texts_are_not_shuffled_for_their_postings(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef1")], "doc_id long, text string")
+    plan = secret_scan.find_secrets(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan
+
+
 def test_trigram_queries():
     q = secret_scan.trigram_query
     assert q("abcd") == [frozenset({"abc", "bcd"})]

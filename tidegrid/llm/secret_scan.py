@@ -154,17 +154,18 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
     ``docs`` has ``doc_id`` and ``text``; other columns are ignored. A null text counts as empty
     and has no spans. Repeated rows stay repeated; equal starts are ordered by the rules' order. A
-    row without doc_id is searched like any other. An empty table gives an empty result.
+    row without doc_id is searched like any other. An empty table gives an empty result. A text of
+    any length is searched whole. Only trigrams are grouped, reduced before their shuffle; texts are
+    shuffled once, by the join, whose partitions adaptive execution splits where rows repeat.
     """
     indexed = [r for r in rules if trigram_query(r.pattern) is not None]
     grams = sorted({g for r in indexed for alt in trigram_query(r.pattern) for g in alt})
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    # the key leads a row back to its rules; texts that share one only get each other's rules verified too
     keyed = keyed.withColumn("key", F.xxhash64("doc_id", "text"))
-    # one shuffle serves the postings, their intersection and the join back to the texts
-    keyed = keyed.repartition("key")
-    hits = candidates(postings(keyed, grams), indexed).select(F.col("key").alias("at"), "rules")
-    rows = keyed.join(hits, keyed["key"] == hits["at"], "left")
+    hits = candidates(postings(keyed, grams), indexed).select(F.col("doc_id").alias("id"), F.col("key").alias("at"), "rules")
+    rows = keyed.join(hits, keyed["doc_id"].eqNullSafe(hits["id"]) & (keyed["key"] == hits["at"]), "left")
     none = F.array().cast("array<struct<start:int,end:int,kind:string,rank:int,base:boolean>>")
     found = []
     for rank, rule in enumerate(rules):
