@@ -763,6 +763,7 @@ def _queries() -> dict[str, str]:
             "SELECT g.series_id, g.ts, last_value(f2.flag IGNORE NULLS) OVER (PARTITION BY g.series_id ORDER BY g.ts) AS flag FROM fg g LEFT JOIN f2 USING (series_id, ts)",
         ),
     )
+    q["regular_appended"] = sql("SELECT series_id, ts, round(value + 1e-9, 6) AS value, pos, n, filled FROM reg", *USER_HOURS)
     q["regularise_users"] = sql("SELECT series_id, ts, round(value + 1e-9, 6) AS value FROM reg", *USER_HOURS)
 
     # joins

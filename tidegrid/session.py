@@ -33,12 +33,11 @@ def get_session(master: str | None = None, **extra: str) -> SparkSession:
     return configure(builder.getOrCreate())
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """A copy of ``df`` in the folder that the cluster names in ``spark.checkpoint.dir``; cuts its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session without that setting, as in tests, gets a folder of its own.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -47,4 +46,10 @@ def saved(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="tidegrid-saved-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """A copy of ``df`` in the shared folder; cuts its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
