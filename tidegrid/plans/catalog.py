@@ -24,6 +24,7 @@ from tidegrid.plans import comparison
 from tidegrid.session import configure, saved, shared_folder
 from tidegrid.sources import sinks, tables
 from tidegrid.spec import DAILY, HALF_HOURLY, HOURLY, Spec
+from tidegrid.streaming import fill
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -513,6 +514,23 @@ def regular_appended(spark, sf_dir):
     return rounded(appended.regular_rows(spark, path, spec))
 
 
+@query
+def stream_regular_users(spark, sf_dir):
+    """The hourly table of every user from the event files as a stream: what is final an hour after the last stamp."""
+    path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")  # a pattern may name one file
+    rows = fill.stream_regular(events.select(F.col("user_id").alias("series_id"), "ts", "value"), HOURLY)
+    store = spark.conf.get(fill.STORE[0], None)
+    spark.conf.set(*fill.STORE)
+    try:
+        sink = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}/log")
+        sink.trigger(availableNow=True).start(f"{path}/rows").awaitTermination()
+    finally:
+        spark.conf.unset(fill.STORE[0]) if store is None else spark.conf.set(fill.STORE[0], store)
+    return rounded(spark.read.schema(rows.schema).parquet(f"{path}/rows"))
+
+
 @query
 def regularise_users(spark, sf_dir):
     """Many short series at once."""

@@ -764,6 +764,13 @@ def _queries() -> dict[str, str]:
         ),
     )
     q["regular_appended"] = sql("SELECT series_id, ts, round(value + 1e-9, 6) AS value, pos, n, filled FROM reg", *USER_HOURS)
+    q["stream_regular_users"] = sql(
+        "SELECT series_id, ts, round(value + 1e-9, 6) AS value, pos, filled FROM reg",
+        *regular(
+            f"SELECT * FROM ({USERS_RAW}) WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events WHERE value IS NOT NULL)",
+            "hour",
+        ),
+    )
     q["regularise_users"] = sql("SELECT series_id, ts, round(value + 1e-9, 6) AS value FROM reg", *USER_HOURS)
 
     # joins
