@@ -357,7 +357,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ones); clean documents have none. Words are lower-cased by A-Z and parted by ASCII white space,
     so case, line breaks and spacing do not matter. Null, empty and wordless texts match nothing.
     An item of fewer than five words matches its very word sequence. Repeated rows each come out; a
-    null doc_id is kept. With an empty table on either side the result is empty.
+    null doc_id is kept. Very long texts are searched whole. With an empty table on either side the result is empty.
     """
     schema = pa.schema(
         [("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()),

@@ -375,7 +375,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     and pages without text give an empty text. A page without a body element is taken as a body; an
     unclosed element runs to the end of what holds it. Pages are independent, so repeated rows give
     equal texts, and null ids and addresses are kept. Ties in the sums go to the outer, then the
-    first node. An empty table stays empty.
+    first node. Very long and deeply nested pages are read whole. An empty table stays empty.
     """
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 

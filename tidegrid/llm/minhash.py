@@ -344,7 +344,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     what links reach. Null, empty and wordless texts have no shingles and link with nothing.
     Repeated rows stay repeated, in one component. A row without doc_id links as any other
     but never names a component; if no row of a component has an id, component_id is null
-    and the row is kept. An empty table gives an empty result.
+    and the row is kept. Very long texts give all their shingles. An empty table gives an empty
+    result.
     """
     component = F.coalesce("name", F.when(F.col("cls").isNull(), F.col("doc_id")))
     return _grouped(docs).select(

@@ -160,7 +160,8 @@ def mixture(docs: DataFrame) -> DataFrame:
     number of words; null, empty and wordless texts have size 0, get the whole part of the copies
     owed and add no words. A null source is a source of its own, the last. Rows with equal doc_id,
     source and size are counted before any shuffle, then rounded as separate documents; they come
-    out as that many rows. Ties in size are ordered by doc_id, then copy. An empty table gives an empty result.
+    out as that many rows. Ties in size are ordered by doc_id, then copy. Very long texts
+    count with all their words. An empty table gives an empty result.
     """
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

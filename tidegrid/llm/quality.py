@@ -242,7 +242,7 @@ def scored(docs: DataFrame, trees: Trees) -> DataFrame:
 
     ``docs`` has ``doc_id`` and ``text``; other columns are ignored. A null text counts as empty and
     gets the score of one. Rows are independent, so repeated rows get equal scores; a null doc_id
-    is kept. An empty table stays empty. Without usable labels every score is one half.
+    is kept. Very long texts are scored whole. An empty table stays empty. Without usable labels every score is one half.
     """
     out = _per_slice(docs, lambda x: [trees.scores(x)], [("score", "double")])
     return out.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

@@ -207,7 +207,8 @@ def prefix_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     ``docs`` has ``doc_id`` and ``text``; other columns are ignored. ``prefix_tokens[i]`` is the
     number of tokens of the first i code points, exactly as the library encodes them, from i = 0
     to the whole text. A null text counts as empty, its table is [0]. Rows are independent:
-    repeated rows and rows without doc_id come out as they are. An empty table stays empty.
+    repeated rows and rows without doc_id come out as they are, and the table of a very long text is
+    as long as it. An empty table stays empty.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("prefix_tokens", pa.list_(pa.int32()))])
 

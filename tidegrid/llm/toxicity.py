@@ -238,7 +238,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     ``docs`` has ``doc_id`` and ``text``; other columns are ignored. Null, empty and letterless
     texts have no windows and share one low score. Rows are independent: repeated rows get equal
-    scores and a null doc_id is kept. An empty table stays empty. Without labelled documents every
+    scores and a null doc_id is kept. Very long texts are scored whole, by all their windows. An empty table stays empty. Without labelled documents every
     score is one half; without toxic ones no window has a margin.
     """
     total = sum((F.col("features")[k] * w for k, w in enumerate(model.weights)), F.lit(0.0))
