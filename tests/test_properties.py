@@ -7,8 +7,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.helpers import START
-from tidegrid.operators import align, baseline, features, regularise
+from tests.helpers import START, regular
+from tidegrid.operators import align, baseline, features, regression, regularise, scaling
 from tidegrid.operators.chunked import with_position
 from tidegrid.spec import Spec
 
@@ -141,3 +141,23 @@ def test_seasonal_naive_equals_numpy(spark, rows, steps, k):
 def test_spec_rejects(bad):
     with pytest.raises(ValueError):
         Spec(**bad)
+
+
+def test_no_side_that_grows_goes_through_the_driver(spark):
+    """Sizes taken from the files read say nothing of grids and lists; only a model per horizon step is sent to all."""
+    spec = Spec(period=4, chunk=16, k_days=2)
+    table = regular(spark, range(40)).unionByName(regular(spark, [1.0] * 9, series_id="b"))
+    scaled = scaling.minmax_transform(table, scaling.minmax_fit(table, ["value"]), ["value"], 16)
+    results = [
+        regularise.regularise(table.select("series_id", "ts", "value"), spec),
+        scaled,
+        regression.ar_forecast(table, spec, 3, min_rows=0),
+        regression.lag_recursive(table, None, spec, 3, lags=[1, 4]),
+    ]
+    for df in results:
+        assert df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    df = regression.direct_horizon(table, spec, 3)
+    assert df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("BroadcastExchange") == 1

@@ -21,6 +21,15 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join whose sides both grow with the data: both are dealt over the tasks by key.
+
+    Spark takes sizes from the files read. Rows that a grid, a list or a saved table adds to them do
+    not show, so it would take large sides for small ones and send them whole through the driver.
+    """
+    return df.hint("merge")
+
+
 def _split(df: DataFrame, by: Sequence[str], at: str, span: int) -> DataFrame:
     """Shuffle once by (series, chunk); the window and the edges both read this shuffle.
 
@@ -55,7 +64,7 @@ def _join_edges(inside: DataFrame, edges: DataFrame, df: DataFrame, by: Sequence
     for c in df.columns:
         if c not in (*by, at):
             on = on & (F.col(c).isNull() | F.col(f"_some_{c}"))
-    return inside.join(edges, on)
+    return inside.join(dealt(edges), on)
 
 
 def _ignore_nulls(fn: str, col: str, by: Sequence[str], order: Sequence[str]) -> Column:

@@ -19,7 +19,7 @@ from tidegrid.functions.calendar import is_weekend
 from tidegrid.functions.timegrid import shift
 from tidegrid.operators.align import lag_fallback
 from tidegrid.operators.baseline import seasonal_naive
-from tidegrid.operators.chunked import with_halo
+from tidegrid.operators.chunked import dealt, with_halo
 from tidegrid.operators.features import feature_matrix
 from tidegrid.operators.scaling import minmax_fit, minmax_transform
 from tidegrid.operators.select import gates, last_ts
@@ -183,7 +183,7 @@ def ar_fit(
         F.transform("r", lambda r: r["value"]).alias("recent"),
         F.flatten(F.transform("r", lambda r: r["x"])).alias("recent_exog"),
     )
-    return sums.join(recent, "series_id")
+    return sums.join(dealt(recent), "series_id")
 
 
 def ar_forecast(
@@ -219,7 +219,7 @@ def ar_forecast(
             F.sort_array(F.collect_list(F.struct("h", F.array(*exog_cols).cast("array<double>").alias("x")))).alias("_x")
         )
         flat = F.flatten(F.transform("_x", lambda r: F.transform(r["x"], lambda v: F.coalesce(v, F.lit(0.0)))))
-        sums = sums.join(ahead.select("series_id", flat.alias("future")), "series_id", "left")
+        sums = sums.join(dealt(ahead.select("series_id", flat.alias("future"))), "series_id", "left")
         enough = F.coalesce(F.size("future"), F.lit(0)) == steps * n_exog
         sums = sums.withColumn("future", F.when(enough, F.col("future")).otherwise(F.raise_error(F.lit(f"{model} lacks future covariates"))))
     else:
@@ -393,13 +393,13 @@ def lag_recursive(
     behind = (
         F.unix_seconds(F.col("_last").cast("timestamp")) - F.unix_seconds(F.col("_from").cast("timestamp"))
     ) / spec.step
-    state = state.join(ends, "series_id").withColumn("_behind", behind.cast("int"))
+    state = state.join(dealt(ends), "series_id").withColumn("_behind", behind.cast("int"))
     if exog_future == "asof":
         # One more season than the horizon covers features that end before the demand.
         ahead = lag_fallback(scaled, "temperature_2m", spec, steps + spec.period).groupBy("series_id").agg(
             F.sort_array(F.collect_list(F.struct("h", "temperature_2m"))).alias("_temps")
         )
-        state = state.join(ahead, "series_id").withColumn("_temps", F.transform("_temps", lambda r: r["temperature_2m"]))
+        state = state.join(dealt(ahead), "series_id").withColumn("_temps", F.transform("_temps", lambda r: r["temperature_2m"]))
 
     def weekend(h: Column) -> Column:
         """Scaled weekend flag of the row before step h."""
@@ -442,7 +442,7 @@ def lag_recursive(
     )
     # One row per series says whether its features reach deep enough.
     short = recent.where((F.col("pos") == 0) & (F.col("n") < depth)).select("series_id")
-    rest = _substitute(regular.join(short, "series_id", "left_semi"), spec, steps, model)
+    rest = _substitute(regular.join(dealt(short), "series_id", "left_semi"), spec, steps, model)
     return _forecast_rows(rolled, spec, model).unionByName(rest)
 
 
@@ -539,7 +539,7 @@ def direct_horizon(
             "series_id", F.col("h").cast("int").alias("h"),
             *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"e{j}") for j, c in enumerate(exog_cols)],
         )
-        asked = asked.join(ahead, ["series_id", "h"])
+        asked = asked.join(dealt(ahead), ["series_id", "h"])
     # One row per horizon step: its size is fixed by ``steps``.
     solved = asked.join(F.broadcast(coef), "h")
     z_hat = sum((F.col("b")[i] * x for i, x in enumerate(z[1:-1], 1)), F.col("b")[0])

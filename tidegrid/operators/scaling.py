@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.operators.chunked import dealt
+
 
 def minmax_fit(df: DataFrame, cols: Sequence[str], train_share: float | None = None) -> DataFrame:
     """Minimum and maximum per series and feature.
@@ -33,9 +35,9 @@ def minmax_transform(df: DataFrame, scaler: DataFrame, cols: Sequence[str], span
     if "pos" in df.columns and "n" in scaler.columns:
         stretches = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / F.lit(span)))
         spread = scaler.withColumn("_part", F.explode(stretches)).drop("n", "n_rows")
-        joined = df.withColumn("_part", F.floor(F.col("pos") / F.lit(span))).join(spread, ["series_id", "_part"]).drop("_part")
+        joined = df.withColumn("_part", F.floor(F.col("pos") / F.lit(span))).join(dealt(spread), ["series_id", "_part"]).drop("_part")
     else:
-        joined = df.join(scaler.drop("n", "n_rows"), "series_id")
+        joined = df.join(dealt(scaler.drop("n", "n_rows")), "series_id")
     scaled = {}
     for c in cols:
         lo, hi = F.col(f"{c}_min"), F.col(f"{c}_max")
