@@ -128,3 +128,13 @@ def test_no_order_runs_away(spark):
     for args in ({"order": ((2, 0, 1), (1, 0, 0))}, {"max_order": (2, 1, 1, 0)}):
         got = arma.arma_forecast(regular(spark, y), SPEC, 60, min_rows=0, **args).orderBy("h").collect()
         assert abs(got[-1].yhat) < 60 * y[-1]
+
+
+def test_shocks_alone_with_a_large_weight(spark):
+    """An order without lags has no lag weight to pull in, however large the weight of its shock."""
+    y = np.interp(np.arange(300), np.arange(0, 300, 9), np.random.default_rng(2).normal(0, 1, 34))
+    order = ((0, 0, 0), (0, 1, 1))
+    got = arma.arma_forecast(regular(spark, y), SPEC, 8, order=order, min_rows=0).orderBy("h").collect()
+    name, want, half = plain(y, [(0, 0, 0, 1)], (0, 0, 0, 1), 0, 1, PERIOD, 8)
+    assert got[0].order == name and [r.yhat for r in got] == pytest.approx(want, rel=1e-6)
+    assert got[0].upper - got[0].yhat == pytest.approx(half, rel=1e-6)

@@ -368,6 +368,8 @@ def _settled(coef: np.ndarray, wild: np.ndarray, own: Sequence[int], at: int) ->
     The weight of lag k is divided by r^k, r being the largest root, so all roots move in alike.
     """
     coef = coef.copy()
+    if not own:  # shocks alone die out by themselves
+        return coef
     for i in np.flatnonzero(wild):
         companion = np.eye(max(own), k=-1)
         companion[0, np.array(own) - 1] = coef[i, at : at + len(own)]
