@@ -138,3 +138,14 @@ def test_shocks_alone_with_a_large_weight(spark):
     name, want, half = plain(y, [(0, 0, 0, 1)], (0, 0, 0, 1), 0, 1, PERIOD, 8)
     assert got[0].order == name and [r.yhat for r in got] == pytest.approx(want, rel=1e-6)
     assert got[0].upper - got[0].yhat == pytest.approx(half, rel=1e-6)
+
+
+def test_rows_are_dealt_once(spark):
+    """A series over several stretches: the search reads the rows in one pass, and no row goes through the driver."""
+    y = shocks(400, 11)
+    table = regular(spark, y)
+    parts = arma.stretches(table, 20, SPEC).orderBy("part").collect()
+    assert [(r.part, r.at, len(r.value)) for r in parts] == [(0, 0, 80), *[(k, 80 * k - 20, 100) for k in range(1, 5)]]
+    assert [v for r in parts for v in r.value[20 if r.part else 0 :]] == pytest.approx(list(y))
+    got = arma.arma_forecast(table, SPEC, 3, max_order=(1, 1, 1, 1), min_rows=0)
+    assert got.count() == 3 and "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()

@@ -5,8 +5,8 @@ autoregression of the differenced series; its residuals stand in for the shocks.
 regresses the differenced series on its own lags and on lagged residuals, so every order is a
 restriction of one regression and one matrix of sums per series serves the whole search.
 
-All sums are aggregated in the JVM. Lags and residuals cross chunk borders by copied rows, so no
-task holds a series; Python gets one row per series.
+A series is cut into stretches once, each with the rows before it that its lags reach. Tasks
+multiply one stretch at a time, Spark adds up the sums by series, so no task holds a series.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.timegrid import shift
 from tidegrid.operators.baseline import seasonal_naive
-from tidegrid.operators.regression import NORMAL_95, _candidates, ar_fit
+from tidegrid.operators.chunked import dealt
+from tidegrid.operators.regression import NORMAL_95, _candidates, _lags, _whole
 from tidegrid.operators.select import gates, last_ts
-from tidegrid.operators.windows import lagged
 from tidegrid.session import saved
 from tidegrid.spec import Spec
 
@@ -58,14 +58,64 @@ def spread(rows: DataFrame, per: DataFrame, spec: Spec) -> DataFrame:
     return rows.withColumn("_part", F.floor(F.col("pos") / F.lit(spec.chunk))).join(stretched, ["series_id", "_part"]).drop("_part")
 
 
+def _span(reach: int, spec: Spec) -> int:
+    return max(spec.chunk, 4 * reach)
+
+
+def stretches(rows: DataFrame, reach: int, spec: Spec, exog_cols: Sequence[str] = ()) -> DataFrame:
+    """One row per stretch of a series: its values and those of the ``reach`` rows before it as arrays.
+
+    ``at`` is the position of the first value. A stretch has a bounded number of rows, so every step
+    after this one reads arrays of bounded length, and a long series is many of them.
+    """
+    span = _span(reach, spec)
+    lowest = F.floor(F.col("pos") / F.lit(span))
+    highest = F.floor(F.least(F.col("pos") + F.lit(reach), F.col("n") - 1) / F.lit(span))
+    copies = rows.withColumn("part", F.explode(F.sequence(lowest, highest)))
+    listed = copies.groupBy("series_id", "part", "n").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "value", *exog_cols))).alias("r"), F.max(last_ts(spec)).alias("_last")
+    )
+    arrays = [_field("r", c).alias(name) for name, c in zip(["value", *[f"x{j}" for j in range(len(exog_cols))]], ["value", *exog_cols])]
+    return listed.select("series_id", "part", "n", "_last", F.col("r")[0]["pos"].alias("at"), *arrays)
+
+
+def with_series(parts: DataFrame, per: DataFrame, reach: int, spec: Spec) -> DataFrame:
+    """Join one row per series, with its ``n``, to its stretches; no key is a whole series."""
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / F.lit(_span(reach, spec))))
+    return parts.join(dealt(per.withColumn("part", F.explode(numbers)).drop("n")), ["series_id", "part"])
+
+
 def chosen_differences(regular: DataFrame, spec: Spec, train_seasons: int | None = None) -> DataFrame:
     """Differences per series, ``d`` and ``big_d``: those of the best autoregression with up to two lags.
 
     Every candidate predicts the same values from the same columns on the same rows, so their AIC
     values compare across differences.
     """
-    period = spec.period
-    sums = ar_fit(regular, spec, 2, (), train_seasons).select("series_id", "m", "gram")
+    reach = max(_lags(2, spec.period)[0])
+    return _differences(stretches(regular, reach, spec), reach, spec, train_seasons).drop("n")
+
+
+def _differences(parts: DataFrame, reach: int, spec: Spec, train_seasons: int | None) -> DataFrame:
+    period, span = spec.period, _span(reach, spec)
+    lags, _ = _lags(2, period)
+    depth = max(lags)
+
+    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                y, pos = np.asarray(r.value, float), _positions(r)
+                who = _own(pos, r, span) & (pos >= depth + _first(r.n, train_seasons, period))
+                if who.any():
+                    z = [np.ones(len(y)), *[_shifted(y, k) for k in lags], y]
+                    out.append((r.series_id, r.n, int(who.sum()), _products(z, who)))
+            yield pd.DataFrame(out, columns=["series_id", "n", "m", "gram"])
+
+    key = parts.schema["series_id"].dataType.simpleString()
+    grams = parts.select("series_id", "part", "n", "at", "value").mapInPandas(multiply, f"series_id {key}, n bigint, m bigint, gram array<double>")
+    since = F.lit(0) if train_seasons is None else F.greatest(F.lit(0), F.col("n") - train_seasons * period)
+    m = F.sum("m")
+    sums = grams.groupBy("series_id", "n").agg(_whole(m, F.max(F.col("n") - depth - since), m, "arma").alias("m"), _added(len(lags) + 2))
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         models = _candidates(2, period, 0)
@@ -90,14 +140,46 @@ def chosen_differences(regular: DataFrame, spec: Spec, train_seasons: int | None
                 rss = np.maximum(rss, 1e-12 * np.maximum(yy, 1e-12))
                 aic.append(m * np.log(rss / m) + 2 * free.shape[1])
             orders = [re.findall(r"\d+", models[k][0]) for k in np.argmin(aic, axis=0)]
-            yield pd.DataFrame({"series_id": pdf["series_id"], "d": [int(o[1]) for o in orders], "big_d": [int(o[4]) for o in orders]})
+            yield pd.DataFrame({"series_id": pdf["series_id"], "n": pdf["n"], "d": [int(o[1]) for o in orders], "big_d": [int(o[4]) for o in orders]})
+
+    return sums.mapInPandas(solve, f"series_id {key}, n bigint, d int, big_d int")
+
+
+def _added(width: int) -> Column:
+    """Sums of ``gram``, upper triangles of that width, over the stretches of a series."""
+    return F.array(*[F.sum(F.col("gram")[i]) for i in range(width * (width + 1) // 2)]).alias("gram")
+
+
+def _positions(r) -> np.ndarray:
+    return r.at + np.arange(len(r.value))
+
+
+def _own(pos: np.ndarray, r, span: int) -> np.ndarray:
+    """Rows of the stretch itself; those before them belong to others."""
+    return pos >= r.part * span
 
-    key = regular.schema["series_id"].dataType.simpleString()
-    return sums.mapInPandas(solve, f"series_id {key}, d int, big_d int")
 
+def _first(n: int, seasons: int | None, period: int) -> int:
+    """First position that counts when only the newest ``seasons`` are to be fitted."""
+    return 0 if seasons is None else max(0, n - seasons * period)
 
-def _sums(z: Sequence[Column]) -> list[Column]:
-    return [F.sum(z[i] * z[j]) for i in range(len(z)) for j in range(i, len(z))]
+
+def _shifted(v: np.ndarray, k: int) -> np.ndarray:
+    """``v`` moved ``k`` rows on; NaN where there is no such row."""
+    out = np.full(len(v), np.nan)
+    out[k:] = v[: max(len(v) - k, 0)]
+    return out
+
+
+def _differenced(v: np.ndarray, poly: dict[int, float]) -> np.ndarray:
+    return sum(c * _shifted(v, k) for k, c in sorted(poly.items()))
+
+
+def _products(z: Sequence[np.ndarray], who: np.ndarray) -> np.ndarray:
+    """Upper triangle of the sums of products over the rows ``who``; a missing value adds nothing."""
+    x = np.array([v[who] for v in z])
+    x[np.isnan(x)] = 0.0
+    return (x @ x.T)[np.triu_indices(len(x))]
 
 
 def _full(gram: np.ndarray, width: int) -> np.ndarray:
@@ -112,21 +194,69 @@ def _least_squares(full: np.ndarray) -> np.ndarray:
     return np.einsum("sij,sj->si", np.linalg.pinv(full[:, :-1, :-1], hermitian=True), full[:, :-1, -1])
 
 
-def long_autoregression(w: DataFrame, lags: Sequence[int], exog_cols: Sequence[str], first: Column, spec: Spec) -> DataFrame:
-    """The first stage: coefficients ``a`` per series of ``w`` on a constant, its lags and the covariates."""
-    rows = lagged(w.select("series_id", "pos", "n", "w", *exog_cols), "w", lags, spec).where(F.col("pos") >= first)
-    z = [F.lit(1.0), *[F.col(f"w_lag{k}") for k in lags], *[F.col(c) for c in exog_cols], F.col("w")]
-    sums = rows.groupBy("series_id").agg(F.array(*_sums(z)).alias("gram"))
-    width = len(z)
+def long_autoregression(parts: DataFrame, lags: Sequence[int], n_x: int, base: int, reach: int, spec: Spec, train_seasons: int | None) -> DataFrame:
+    """The first stage: coefficients ``a`` per series on a constant, the lags of the differenced series and the covariates."""
+    period, span, width = spec.period, _span(reach, spec), 2 + len(lags) + n_x
+
+    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                pos, (w, *x) = _positions(r), _moved(r, n_x, period)
+                who = _own(pos, r, span) & (pos >= _first(r.n, train_seasons, period) + base + max(lags, default=0))
+                if who.any():
+                    out.append((r.series_id, r.n, r.d, r.big_d, _products([np.ones(len(w)), *[_shifted(w, k) for k in lags], *x, w], who)))
+            yield pd.DataFrame(out, columns=["series_id", "n", "d", "big_d", "gram"])
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
                 a = _least_squares(_full(np.stack(pdf["gram"].to_numpy()), width))
-                yield pd.DataFrame({"series_id": pdf["series_id"], "a": list(a)})
+                yield pd.DataFrame({**{c: pdf[c] for c in ("series_id", "n", "d", "big_d")}, "a": list(a)})
+
+    named = f"series_id {parts.schema['series_id'].dataType.simpleString()}, n bigint, d int, big_d int"
+    grams = parts.mapInPandas(multiply, f"{named}, gram array<double>")
+    return grams.groupBy("series_id", "n", "d", "big_d").agg(_added(width)).mapInPandas(solve, f"{named}, a array<double>")
+
 
-    key = w.schema["series_id"].dataType.simpleString()
-    return sums.mapInPandas(solve, f"series_id {key}, a array<double>")
+def _moved(r, n_x: int, period: int) -> list[np.ndarray]:
+    """The series and the covariates of a stretch, differenced."""
+    poly = difference_weights(r.d, r.big_d, period)
+    return [_differenced(np.asarray(v, float), poly) for v in (r.value, *[getattr(r, f"x{j}") for j in range(n_x)])]
+
+
+def shock_sums(
+    parts: DataFrame, lags: Sequence[int], own: Sequence[int], shocks: Sequence[int], n_x: int, base: int, keep: int, reach: int, spec: Spec,
+    train_seasons: int | None,
+) -> DataFrame:
+    """The second stage per stretch: ``m`` rows, their sums of products, and in the last stretch the newest ``keep`` rows."""
+    period, span = spec.period, _span(reach, spec)
+    ahead_of, depth = max(lags, default=0), max([*own, *shocks, 0])
+    columns = ["series_id", "d", "big_d", "_last", "m", "gram", "past_value", "past_w", "past_e", "past_x"]
+
+    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            # a name that begins with an underscore is no field of a named tuple
+            for r in pdf.rename(columns={"_last": "last"}).itertuples():
+                pos, (w, *x) = _positions(r), _moved(r, n_x, period)
+                long = [np.ones(len(w)), *[_shifted(w, k) for k in lags], *x]
+                e = w - sum(c * v for c, v in zip(r.a, long))
+                known = pos >= base + ahead_of
+                w, e = np.where(known, w, np.nan), np.where(known, e, np.nan)
+                who = _own(pos, r, span) & (pos >= _first(r.n, train_seasons, period) + base + ahead_of + depth)
+                z = [np.ones(len(w)), *[_shifted(w, k) for k in own], *[_shifted(e, k) for k in shocks], *x, w]
+                sums = (int(who.sum()), _products(z, who)) if who.any() else (0, None)
+                past = [None] * 4
+                if r.part == (r.n - 1) // span:
+                    newest = known & (pos >= r.n - keep)
+                    levels = np.array([np.asarray(getattr(r, f"x{j}"), float)[newest] for j in range(n_x)])
+                    past = [np.asarray(r.value, float)[newest], w[newest], e[newest], levels.T.reshape(-1)]
+                out.append((r.series_id, r.d, r.big_d, r.last, *sums, *past))
+            yield pd.DataFrame(out, columns=columns)
+
+    listed = ", ".join(f"{c} array<double>" for c in columns[5:])
+    return parts.mapInPandas(multiply, f"series_id {parts.schema['series_id'].dataType.simpleString()}, d int, big_d int, _last timestamp_ntz, m bigint, {listed}")
 
 
 def arma_forecast(
@@ -171,80 +301,28 @@ def arma_forecast(
     depth = max([*own, *shocks, 0])
     width = 2 + len(own) + len(shocks) + len(exog_cols)
     need = max(base + ahead_of + depth + 2 * width, gates(spec)["autoregression"] if min_rows is None else min_rows)
-    since = F.lit(0) if train_seasons is None else F.greatest(F.lit(0), F.col("n") - train_seasons * period)
+    keep = max(depth, base, 1)
+    reach, n_x = base + ahead_of + keep, len(exog_cols)
 
     exog = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in exog_cols]
-    table = saved(regular.where(F.col("n") >= need).select("series_id", "ts", "pos", "n", "value", *exog))
-    # differenced series and covariates: a weighted sum of a few lags, the weights one row per series
+    table = regular.where(F.col("n") >= need).select("series_id", "ts", "pos", "n", "value", *exog)
+    parts = saved(stretches(table, reach, spec, exog_cols))
     if order is None:
-        picked = saved(chosen_differences(table, spec, train_seasons))
-        kinds = [(d, s) for d in range(3) for s in (0, 1)]
-        polys = {k: difference_weights(*k, period) for k in kinds}
-        weights = F.array()
-        for (d, s), poly in polys.items():
-            listed = F.array(*[F.lit(poly.get(k, 0.0)) for k in d_lags])
-            weights = F.when((F.col("d") == d) & (F.col("big_d") == s), listed).otherwise(weights.cast("array<double>"))
-        per = picked.select("series_id", "d", "big_d", weights.alias("_poly"))
-        rows = spread(table, per, spec)
-        weight = [F.col("_poly")[i] for i in range(len(d_lags))]
+        picked = saved(_differences(parts, reach, spec, train_seasons))
+        moved = with_series(parts, picked, reach, spec)
     else:
-        poly = difference_weights(order[0][1], order[1][1], period)
-        rows = table.withColumns({"d": F.lit(order[0][1]), "big_d": F.lit(order[1][1])})
-        weight = [F.lit(poly[k]) for k in d_lags]
-    one = rows.withColumn("_row", F.struct("value", *exog_cols))
-    back = [k for k in d_lags if k]
-    if back:
-        one = lagged(one, "_row", back, spec)
-
-    def differenced(name: str) -> Column:
-        terms = [c * F.col(f"_row_lag{k}.{name}" if k else f"_row.{name}") for k, c in zip(d_lags, weight)]
-        return sum(terms[1:], terms[0])
-
-    made = [differenced("value").alias("w"), *[differenced(c).alias(f"_x{j}") for j, c in enumerate(exog_cols)]]
-    xs = [f"_x{j}" for j in range(len(exog_cols))]
-    # the first rows have no difference
-    w = saved(one.where(F.col("pos") >= base).select("series_id", "ts", "pos", "n", "d", "big_d", "value", *exog_cols, *made))
-
-    first = since + base + ahead_of
-    a = saved(long_autoregression(w, long_lags, xs, first, spec))
-    known = lagged(w, "w", long_lags, spec) if long_lags else w
-    fit = [F.lit(1.0), *[F.col(f"w_lag{k}") for k in long_lags], *[F.col(x) for x in xs]]
-    guess = sum((F.col("a")[i] * c for i, c in enumerate(fit[1:], 1)), F.col("a")[0])
-    shocked = spread(known.where(F.col("pos") >= base + ahead_of), a, spec)
-    e = saved(
-        shocked.select(
-            "series_id", "ts", "pos", "n", "d", "big_d", "value", *exog_cols, *xs, F.struct("w", (F.col("w") - guess).alias("e")).alias("_s")
-        )
-    )
-    both = sorted({*own, *shocks})
-    lags = lagged(e, "_s", both, spec) if both else e
-    z = [
-        F.lit(1.0),
-        *[F.col(f"_s_lag{k}.w") for k in own],
-        *[F.col(f"_s_lag{k}.e") for k in shocks],
-        *[F.col(x) for x in xs],
-        F.col("_s.w"),
-    ]
-    used = lags.where(F.col("pos") >= first + depth)
-    sums = used.groupBy("series_id", "d", "big_d", last_ts(spec).alias("_last")).agg(
-        F.count(F.lit(1)).alias("m"), F.array(*_sums(z)).alias("gram")
-    )
-    keep = max(depth, base, 1)
-    recent = e.where(F.col("pos") >= F.col("n") - keep).groupBy("series_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "value", "_s.w", "_s.e", F.array(*exog_cols).cast("array<double>").alias("x")))).alias("r")
-    )
-    recent = recent.select(
-        "series_id",
-        *[_field("r", c).alias(f"past_{c}") for c in ("value", "w", "e")],
-        F.flatten(_field("r", "x")).alias("past_x"),
-    )
-    state = sums.join(recent, "series_id")
+        moved = parts.withColumns({"d": F.lit(order[0][1]), "big_d": F.lit(order[1][1])})
+    a = saved(long_autoregression(moved, long_lags, n_x, base, reach, spec, train_seasons))
+    fits = saved(shock_sums(with_series(parts, a, reach, spec), long_lags, own, shocks, n_x, base, keep, reach, spec, train_seasons))
+    sums = fits.where(F.col("gram").isNotNull()).groupBy("series_id", "d", "big_d", "_last").agg(F.sum("m").alias("m"), _added(width))
+    recent = fits.where(F.col("past_w").isNotNull()).select("series_id", *[f"past_{c}" for c in ("value", "w", "e", "x")])
+    state = sums.join(dealt(recent), "series_id")
     if exog_cols:
         coming = future.where(F.col("h") <= steps).groupBy("series_id").agg(
             F.sort_array(F.collect_list(F.struct("h", F.array(*exog_cols).cast("array<double>").alias("x")))).alias("_x")
         )
         flat = F.transform(F.flatten(_field("_x", "x")), lambda v: F.coalesce(v, F.lit(0.0)))
-        state = state.join(coming.select("series_id", flat.alias("future")), "series_id", "left")
+        state = state.join(dealt(coming.select("series_id", flat.alias("future"))), "series_id", "left")
         enough = F.coalesce(F.size("future"), F.lit(0)) == steps * len(exog_cols)
         lacks = F.raise_error(F.lit(f"{model} lacks future covariates"))
         state = state.withColumn("future", F.when(enough, F.col("future")).otherwise(lacks))
@@ -252,7 +330,6 @@ def arma_forecast(
         state = state.withColumn("future", F.array().cast("array<double>"))
 
     orders = [(p, q, big_p, big_q)] if order else list(product(range(p + 1), range(q + 1), range(big_p + 1), range(big_q + 1)))
-    n_x = len(exog_cols)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
