@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.timegrid import shift
+from tidegrid.operators import stretched
 from tidegrid.operators.select import last_ts
 from tidegrid.spec import Spec
 
@@ -58,6 +59,10 @@ def seasonal_naive(
     short = F.col("n") < spec.period
     tail = F.least(F.col("n"), F.lit(spec.period * max(k, 1)))
     offset = F.col("pos") - (F.col("n") - tail)
+    if stretched.reaches(regular, spec.period * max(k, 1) - 1):
+        rows = _newest_seasons(regular, spec, k, short, tail)
+        served = rows.withColumn("h", F.explode(_steps_served(F.col("_slot"), short, spec, steps)))
+        return _as_forecast(served, spec, model)
     slot = F.when(~short, F.pmod(offset, F.lit(spec.period))).when(F.col("pos") == F.col("n") - 1, F.lit(0))
     rows = regular.where(F.col("pos") >= F.col("n") - tail).select(
         "series_id", "n", "value", slot.alias("_slot"), last_ts(spec).alias("_last")
@@ -68,6 +73,20 @@ def seasonal_naive(
     return _as_forecast(served, spec, model)
 
 
+def _newest_seasons(regular: DataFrame, spec: Spec, k: int, short: Column, tail: Column) -> DataFrame:
+    """Template rows of a table that carries its stretches: the last row of a series has its tail beside it."""
+    slots = F.when(short, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(spec.period - 1)))
+    last = regular.where(F.col("pos") == F.col("n") - 1).select("*", F.explode(slots).alias("_slot"))
+    cells = []
+    for season in range(max(k, 1)):
+        place = F.col("_slot") + season * spec.period
+        cells.append(F.when(place < tail, stretched.back(tail - 1 - place)))
+    total = sum((F.coalesce(c, F.lit(0.0)) for c in cells[1:]), cells[0])
+    mean = total / sum((c.isNotNull().cast("int") for c in cells[1:]), F.lit(1))
+    value = F.when(short, F.col("value")).otherwise(mean if k > 0 else cells[0])
+    return last.select("series_id", "n", value.alias("value"), "_slot", last_ts(spec).alias("_last"))
+
+
 def slot_averages(regular: DataFrame, spec: Spec, k: int) -> DataFrame:
     """Mean per tail slot over the last k seasons, for series with at least one season."""
     tail = F.least(F.col("n"), F.lit(spec.period * k))

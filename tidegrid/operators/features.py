@@ -134,6 +134,7 @@ def feature_matrix(
     measures: Sequence[str] = ("temperature_2m",),
     calendar: bool = False,
     flags: DataFrame | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Complete rows of demand, weekend and weather, optionally with calendar columns.
 
@@ -141,7 +142,8 @@ def feature_matrix(
     last demand. A series without weather, or whose weather lies wholly outside its demand, keeps
     all its stamps, and so does every series if ``weather`` is None; the measures are 0.0 there. A
     measure that a series lacks altogether is 0.0 too. What stays has no gaps, so ``pos`` and
-    ``n`` follow from its first and last slot.
+    ``n`` follow from its first and last slot. ``keep`` names columns of a regular table that stay
+    if ``weather`` is None.
     """
     back = None if days is None else days * 86400 // spec.step
     if weather is None:
@@ -149,7 +151,7 @@ def feature_matrix(
         lo = F.lit(0).cast("bigint") if back is None else F.greatest(F.lit(0), F.col("n") - 1 - back)
         table = regular.where(F.col("pos") >= lo).select(
             "series_id", "ts", (F.col("pos") - lo).alias("pos"), (F.col("n") - lo).alias("n"), "value",
-            *[F.lit(0.0).alias(m) for m in measures],
+            *[F.lit(0.0).alias(m) for m in measures], *keep,
         )
     else:
         near = _merged(demand, weather, spec, measures)
@@ -168,7 +170,7 @@ def feature_matrix(
             values[m] = F.when(inside, F.coalesce(filled_value(m, "linear"), F.lit(0.0))).otherwise(0.0)
         table = _grid(near, lo, hi, spec, values)
     table = add_weekend(table, flags).withColumnRenamed("value", "demand")
-    table = table.select("series_id", "ts", "demand", "is_weekend", *measures, "pos", "n")
+    table = table.select("series_id", "ts", "demand", "is_weekend", *measures, "pos", "n", *keep)
     return table.withColumns(calendar_columns(F.col("ts"))) if calendar else table
 
 

@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.calendar import is_weekend
 from tidegrid.functions.timegrid import shift
+from tidegrid.operators import stretched
 from tidegrid.operators.align import lag_fallback
 from tidegrid.operators.baseline import seasonal_naive
 from tidegrid.operators.chunked import dealt, with_halo
 from tidegrid.operators.features import feature_matrix
-from tidegrid.operators.scaling import minmax_fit, minmax_transform
+from tidegrid.operators.scaling import minmax_fit, minmax_transform, scaled as on_scale
 from tidegrid.operators.select import gates, last_ts
 from tidegrid.operators.windows import lagged, step_pairs
 from tidegrid.spec import Spec
@@ -159,11 +160,18 @@ def ar_fit(
     depth = max(lags)
     exog = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in exog_cols]
     table = regular.select("series_id", "ts", "pos", "n", "value", *exog)
-    one = table.select("series_id", "ts", "pos", "n", F.struct("value", *exog_cols).alias("_row"))
-    back = sorted({*lags, *exog_lags} - {0}) if exog_cols else lags
-    rows = lagged(one, "_row", back, spec).where(F.col("pos") >= depth + _since(spec, train_seasons))
+    beside = not exog_cols and stretched.reaches(regular, depth)
+    if beside:
+        rows = lagged(regular.select("series_id", "ts", "pos", "n", "value", *stretched.columns(regular)), "value", lags, spec)
+    else:
+        one = table.select("series_id", "ts", "pos", "n", F.struct("value", *exog_cols).alias("_row"))
+        back = sorted({*lags, *exog_lags} - {0}) if exog_cols else lags
+        rows = lagged(one, "_row", back, spec)
+    rows = rows.where(F.col("pos") >= depth + _since(spec, train_seasons))
 
     def cell(lag: int, name: str) -> Column:
+        if beside:
+            return F.col(f"value_lag{lag}" if lag else "value")
         return F.col(f"_row_lag{lag}.{name}" if lag else f"_row.{name}")
 
     z = [F.lit(1.0), *[cell(k, "value") for k in lags], *[cell(k, c) for c in exog_cols for k in exog_lags], cell(0, "value")]
@@ -175,6 +183,11 @@ def ar_fit(
     sums = rows.groupBy("series_id", last_ts(spec).alias("_last")).agg(
         _whole(m, wanted, m, "ar_forecast").alias("m"), F.array(*products).alias("gram")
     )
+    if beside:
+        recent = regular.where(F.col("pos") == F.col("n") - 1).select(
+            "series_id", stretched.newest(depth).alias("recent"), F.array().cast("array<double>").alias("recent_exog")
+        )
+        return sums.join(dealt(recent), "series_id")
     recent = table.where(F.col("pos") >= F.col("n") - depth).groupBy("series_id").agg(
         F.sort_array(F.collect_list(F.struct("pos", "value", F.array(*exog_cols).cast("array<double>").alias("x")))).alias("r")
     )
@@ -362,38 +375,71 @@ def lag_recursive(
     recent = feature_matrix(regular, weather, spec, days)
     scaler = minmax_fit(recent, cols, scaler_share)
     scaler = scaler.withColumn("demand_min", _whole(F.col("n_rows"), F.col("n"), F.col("demand_min"), model))
-    scaled = minmax_transform(recent, scaler, cols, spec.chunk)
+    # Without weather the features are the rows of the demand, and end with it.
+    whole = weather is None and days is None
+    beside = whole and stretched.reaches(regular, depth)
+    if beside:
+        known = [c for c in scaler.columns if c not in ("series_id", "n", "n_rows")] + list(stretched.COLUMNS)
+        rows = stretched.scaled_rows(regular.where(F.col("n") >= depth), scaler, "demand", spec, on_scale)
+        scaled = feature_matrix(rows, None, spec, keep=known)
+        scaled = scaled.withColumns({c: on_scale(F.col(c), c) for c in cols if c != "demand"})
+    else:
+        scaled = minmax_transform(recent, scaler, cols, spec.chunk)
 
     newest = F.lit(0) if cap is None else F.greatest(F.lit(0), F.col("n") - cap)
     first = F.greatest(F.lit(depth), newest)
     kept = scaled if cap is None else scaled.where(F.col("pos") >= F.greatest(F.lit(0), F.col("n") - cap - depth))
-    one = kept.select("series_id", "pos", "n", F.struct(*cols).alias("_row"))
-    samples = lagged(one, "_row", lags, spec).where(F.col("pos") >= first)
+    if beside:
+        # The weekend follows from the stamp, and the temperature is the same everywhere.
+        then = is_weekend(shift("ts", F.lit(-min(lags)), spec.step)).cast("double")
+        samples = kept.where(F.col("pos") >= first)
+        z = [
+            F.lit(1.0),
+            *[stretched.back(k) for k in lags],
+            on_scale(then, "is_weekend"),
+            F.col("temperature_2m"),
+            F.col("demand"),
+        ]
+    else:
+        one = kept.select("series_id", "pos", "n", F.struct(*cols).alias("_row"))
+        samples = lagged(one, "_row", lags, spec).where(F.col("pos") >= first)
+        nearest = f"_row_lag{min(lags)}"
+        z = [
+            F.lit(1.0),
+            *[F.col(f"_row_lag{k}.demand") for k in lags],
+            F.col(f"{nearest}.is_weekend"),
+            F.col(f"{nearest}.temperature_2m"),
+            F.col("_row.demand"),
+        ]
     train = samples.where(F.col("pos") - first < F.floor(F.lit(share) * (F.col("n") - first)))
-    nearest = f"_row_lag{min(lags)}"
-    z = [
-        F.lit(1.0),
-        *[F.col(f"_row_lag{k}.demand") for k in lags],
-        F.col(f"{nearest}.is_weekend"),
-        F.col(f"{nearest}.temperature_2m"),
-        F.col("_row.demand"),
-    ]
+    names = [f"_z{i}" for i in range(len(z))]
+    train = train.select(*[c.alias(name) for c, name in zip(z, names)])
     # One row of sums, one row of coefficients: a scalar subquery, nothing runs before the result does.
-    b = _solved(train.agg(_grams(z).alias("gram")), "", len(z)).select("b").scalar()
+    b = _solved(train.agg(_grams([F.col(name) for name in names]).alias("gram")), "", len(z)).select("b").scalar()
 
     scales = ["demand_min", "demand_max", "is_weekend_min", "is_weekend_max"]
-    state = scaled.where(F.col("pos") >= F.col("n") - depth).groupBy("series_id", *scales).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "demand"))).alias("_past"),
-        F.max_by("is_weekend", "pos").alias("_weekend"),
-        F.max_by("temperature_2m", "pos").alias("_temperature"),
-        F.max("ts").alias("_from"),
-    ).where(F.size("_past") == depth).withColumn("_b", b)
-    ends = regular.where(F.col("pos") == F.col("n") - 1).select("series_id", F.col("ts").alias("_last"))
-    # Features may end before the demand does; those steps are rolled through and dropped.
-    behind = (
-        F.unix_seconds(F.col("_last").cast("timestamp")) - F.unix_seconds(F.col("_from").cast("timestamp"))
-    ) / spec.step
-    state = state.join(dealt(ends), "series_id").withColumn("_behind", behind.cast("int"))
+    if beside:
+        state = scaled.where(F.col("pos") == F.col("n") - 1).select(
+            "series_id", *scales, stretched.newest(depth).alias("_past"), F.col("is_weekend").alias("_weekend"),
+            F.col("temperature_2m").alias("_temperature"), F.col("ts").alias("_from"),
+        )
+    else:
+        state = scaled.where(F.col("pos") >= F.col("n") - depth).groupBy("series_id", *scales).agg(
+            F.sort_array(F.collect_list(F.struct("pos", "demand"))).alias("_past"),
+            F.max_by("is_weekend", "pos").alias("_weekend"),
+            F.max_by("temperature_2m", "pos").alias("_temperature"),
+            F.max("ts").alias("_from"),
+        ).withColumn("_past", F.transform("_past", lambda r: r["demand"]))
+    state = state.where(F.size("_past") == depth).withColumn("_b", b)
+    if whole:
+        state = state.withColumns({"_last": F.col("_from"), "_behind": F.lit(0)})
+    else:
+        ends = regular.where(F.col("pos") == F.col("n") - 1).select("series_id", F.col("ts").alias("_last"))
+        # Features may end before the demand does; those steps are rolled through and dropped.
+        behind = (
+            F.unix_seconds(F.col("_last").cast("timestamp")) - F.unix_seconds(F.col("_from").cast("timestamp"))
+        ) / spec.step
+        state = state.join(dealt(ends), "series_id").withColumn("_behind", behind.cast("int"))
     if exog_future == "asof":
         # One more season than the horizon covers features that end before the demand.
         ahead = lag_fallback(scaled, "temperature_2m", spec, steps + spec.period).groupBy("series_id").agg(
@@ -429,7 +475,7 @@ def lag_recursive(
 
     padding = F.array_repeat(F.lit(None).cast("double"), width - depth)
     path = F.aggregate(
-        F.sequence(F.lit(1), F.col("_behind") + steps), F.concat(padding, F.transform("_past", lambda r: r["demand"])), step
+        F.sequence(F.lit(1), F.col("_behind") + steps), F.concat(padding, F.col("_past")), step
     )
     ahead = state.select(
         "series_id", "_last", "demand_min", "demand_max", F.posexplode(F.slice(path, -steps, steps)).alias("i", "z")
@@ -440,9 +486,13 @@ def lag_recursive(
         (F.col("i") + 1).alias("h"),
         (F.col("z") * (F.col("demand_max") - F.col("demand_min")) + F.col("demand_min")).alias("yhat"),
     )
-    # One row per series says whether its features reach deep enough.
-    short = recent.where((F.col("pos") == 0) & (F.col("n") < depth)).select("series_id")
-    rest = _substitute(regular.join(dealt(short), "series_id", "left_semi"), spec, steps, model)
+    if whole:
+        brief = regular.where(F.col("n") < depth)
+    else:
+        # One row per series says whether its features reach deep enough.
+        short = recent.where((F.col("pos") == 0) & (F.col("n") < depth)).select("series_id")
+        brief = regular.join(dealt(short), "series_id", "left_semi")
+    rest = _substitute(brief, spec, steps, model)
     return _forecast_rows(rolled, spec, model).unionByName(rest)
 
 
@@ -486,7 +536,11 @@ def direct_horizon(
     table = regular.select("series_id", "ts", "pos", "n", "value", *exog)
     scaler = minmax_fit(table, ["value"], scaler_share)
     scaler = scaler.withColumn("value_min", _whole(F.col("n_rows"), F.col("n"), F.col("value_min"), model))
-    scaled = minmax_transform(table.where(F.col("n") >= lookback), scaler, ["value"], spec.chunk)
+    beside = not exog_cols and stretched.reaches(regular, max(lookback - 1, steps, seasons * period, weeks * week))
+    if beside:
+        scaled = stretched.scaled_rows(regular.where(F.col("n") >= lookback), scaler, "value", spec, on_scale)
+    else:
+        scaled = minmax_transform(table.where(F.col("n") >= lookback), scaler, ["value"], spec.chunk)
     # Seen from the target, the seasonal columns are a few fixed lags. Only the last value
     # before the origin needs an array, of ``steps`` rows.
     frames = {"past": lambda w: F.collect_list("value").over(w.rowsBetween(-steps, -1))}
@@ -494,8 +548,8 @@ def direct_horizon(
         frames[f"_season{i}"] = lambda w, k=i * period: F.lag("value", k).over(w)
     for i in range(1, weeks + 1):
         frames[f"_week{i}"] = lambda w, k=i * week: F.lag("value", k).over(w)
-    rows = scaled.select("series_id", "pos", "n", "value", *exog_cols)
-    targets = with_halo(rows, max(steps, seasons * period, weeks * week), 0, frames, span=spec.chunk)
+    rows = scaled.select("series_id", "pos", "n", "value", *exog_cols, *stretched.columns(scaled))
+    targets = rows if beside else with_halo(rows, max(steps, seasons * period, weeks * week), 0, frames, span=spec.chunk)
     # Training origins are first, first + 1, ..., first + train - 1.
     first = F.lit(lookback - 1)
     train = F.floor(F.lit(share) * (F.col("n") - lookback - steps + 1))
@@ -515,14 +569,24 @@ def direct_horizon(
         )
 
     served = targets.where((train > 0) & (nearest <= farthest))
-    pairs = served.select(F.inline(F.transform(F.sequence(nearest, farthest), pair)))
+    if beside:
+        pairs = served.select("*", F.explode(F.sequence(nearest, farthest)).alias("h"))
+        asks = {"x1": F.col("h"), "x2": _ceil_div(F.col("h"), period) * period, "x3": _ceil_div(F.col("h"), week) * week}
+        pairs = pairs.select("h", *[stretched.back(k).alias(x) for x, k in asks.items()], F.col("value").alias("y"))
+    else:
+        pairs = served.select(F.inline(F.transform(F.sequence(nearest, farthest), pair)))
     covariates = [F.col(f"e{j}") for j in range(len(exog_cols))]
     z = [F.lit(1.0), F.col("x1"), F.col("x2"), F.col("x3"), *covariates, F.col("y")]
     coef = _solved(pairs.groupBy("h").agg(_grams(z).alias("gram")), "h int", len(z))
-    newest = scaled.where(F.col("pos") >= F.col("n") - lookback)
-    state = newest.groupBy("series_id", "value_min", "value_max").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_past"), F.max("ts").alias("_last")
-    ).withColumn("window", F.transform("_past", lambda r: r["value"]))
+    if beside:
+        state = scaled.where(F.col("pos") == F.col("n") - 1).select(
+            "series_id", "value_min", "value_max", stretched.newest(lookback).alias("window"), F.col("ts").alias("_last")
+        )
+    else:
+        newest = scaled.where(F.col("pos") >= F.col("n") - lookback)
+        state = newest.groupBy("series_id", "value_min", "value_max").agg(
+            F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_past"), F.max("ts").alias("_last")
+        ).withColumn("window", F.transform("_past", lambda r: r["value"]))
 
     def ask(h: Column) -> Column:
         def back(length: int) -> Column:

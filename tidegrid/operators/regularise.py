@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.timegrid import slot_of, slot_start
+from tidegrid.operators import stretched
 from tidegrid.operators.chunked import explode_slots, with_neighbours
 from tidegrid.spec import Spec
 
@@ -135,15 +136,21 @@ def clean_bins(raw: DataFrame, spec: Spec) -> DataFrame:
     return slot_means(dedup_mean(drop_missing(raw, ["ts", "value"])), spec)
 
 
-def regularise(raw: DataFrame, spec: Spec, tail: int | None = None) -> DataFrame:
+def regularise(raw: DataFrame, spec: Spec, tail: int | None = None, reach: int | None = None) -> DataFrame:
     """Clean, deduplicate, bin and interpolate ``(series_id, ts, value)`` for every series.
 
     The first and the last bin of a series hold readings by construction, so edge
     fills have nothing to do and interpolation completes the grid. A consumer that reads
     only the newest rows (baselines, hold-out scores) names their number as ``tail``: the
-    long history is then reduced to bins but never expanded to grid rows.
+    long history is then reduced to bins but never expanded to grid rows. One that looks up to
+    ``reach`` rows back names that: every row then has these rows beside it, see ``stretched``.
     """
-    return fill_grid(clean_bins(raw, spec), spec, tail=tail)
+    if reach is None:
+        return fill_grid(clean_bins(raw, spec), spec, tail=tail)
+    if tail is not None:
+        raise ValueError("a table that carries its stretches is whole")
+    near = with_neighbours(clean_bins(raw, spec), ["value"], at="slot", span=spec.chunk)
+    return stretched.rows_of(stretched.cut(near, spec, reach), spec)
 
 
 def regularise_flags(raw: DataFrame, spec: Spec, flag: str = "is_weekend", order: str = "ingest_order") -> DataFrame:

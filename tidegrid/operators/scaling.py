@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.operators.chunked import dealt
@@ -38,11 +38,13 @@ def minmax_transform(df: DataFrame, scaler: DataFrame, cols: Sequence[str], span
         joined = df.withColumn("_part", F.floor(F.col("pos") / F.lit(span))).join(dealt(spread), ["series_id", "_part"]).drop("_part")
     else:
         joined = df.join(dealt(scaler.drop("n", "n_rows")), "series_id")
-    scaled = {}
-    for c in cols:
-        lo, hi = F.col(f"{c}_min"), F.col(f"{c}_max")
-        scaled[c] = F.when(hi == lo, F.lit(0.0)).otherwise(F.try_divide(F.col(c) - lo, hi - lo))
-    return joined.withColumns(scaled)
+    return joined.withColumns({c: scaled(F.col(c), c) for c in cols})
+
+
+def scaled(value: Column, feature: str) -> Column:
+    """``value`` on the scale of ``feature``, whose scaler columns lie beside it."""
+    lo, hi = F.col(f"{feature}_min"), F.col(f"{feature}_max")
+    return F.when(hi == lo, F.lit(0.0)).otherwise(F.try_divide(value - lo, hi - lo))
 
 
 def minmax_inverse(df: DataFrame, col: str, feature: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidegrid.operators import stretched
 from tidegrid.operators.chunked import with_halo
 from tidegrid.spec import Spec
 
@@ -51,12 +52,17 @@ def horizon_targets(df: DataFrame, col: str, steps: int, spec: Spec) -> DataFram
 
 
 def lagged(df: DataFrame, col: str, lags: Sequence[int], spec: Spec) -> DataFrame:
-    """Add ``<col>_lag<k>`` for every k; NULL where the series has no such row."""
+    """Add ``<col>_lag<k>`` for every k; NULL where the series has no such row.
+
+    The lagged ``value`` of a table that carries its stretches lies in the row, others need a window.
+    """
+    if col == "value" and stretched.reaches(df, max(lags)):
+        return df.withColumns({f"{col}_lag{k}": stretched.back(k) for k in lags}).drop(*stretched.COLUMNS)
 
     def lag(k: int):
         return lambda w: F.lag(col, k).over(w)
 
-    return with_halo(df, max(lags), 0, {f"{col}_lag{k}": lag(k) for k in lags}, span=spec.chunk)
+    return with_halo(df.drop(*stretched.COLUMNS), max(lags), 0, {f"{col}_lag{k}": lag(k) for k in lags}, span=spec.chunk)
 
 
 def seasonal_lags(regular: DataFrame, spec: Spec) -> DataFrame:
@@ -82,7 +88,7 @@ def seasonal_lags(regular: DataFrame, spec: Spec) -> DataFrame:
 
 def step_pairs(regular: DataFrame, spec: Spec) -> DataFrame:
     """Every row with the value of the row before it (NULL for the first)."""
-    return lagged(regular.select("series_id", "ts", "value", "pos", "n"), "value", [1], spec)
+    return lagged(regular.select("series_id", "ts", "value", "pos", "n", *stretched.columns(regular)), "value", [1], spec)
 
 
 def window_digest(window: Column, field: str) -> dict[str, Column]:

@@ -17,8 +17,8 @@ from tidegrid.functions import calendar as cal
 from tidegrid.functions.parsing import parse_decimal, parse_timestamp, safe_name
 from tidegrid.functions.timegrid import ceil_to_step, floor_to_step
 from tidegrid.operators import (
-    align, analogue, appended, arma, asof, baseline, basis, boosted, evaluate, features, gaps, regularise, regression, scaling, select, stacked, unitroot,
-    windows,
+    align, analogue, appended, arma, asof, baseline, basis, boosted, evaluate, features, gaps, regularise, regression, scaling, select, stacked, stretched,
+    unitroot, windows,
 )
 from tidegrid.plans import comparison
 from tidegrid.session import configure, saved, shared_folder
@@ -162,7 +162,8 @@ def user_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     week = F.date_format(F.date_trunc("week", F.col("ts")), "yyyy-MM-dd")
     names = F.array(F.lit("all"), week)
     rows = users.select(F.col("series_id").cast("string").alias("user"), "ts", "value", F.explode(names).alias("part"))
-    return regularise.regularise(rows.select(F.concat_ws("/", "user", "part").alias("series_id"), "ts", "value"), HOURLY)
+    named = rows.select(F.concat_ws("/", "user", "part").alias("series_id"), "ts", "value")
+    return regularise.regularise(named, HOURLY, reach=7 * HOURLY.period)
 
 
 def price_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -923,7 +924,7 @@ def backtest_holdout(spark, sf_dir):
 @query
 def models_used(spark, sf_dir):
     """Which model answered for which history, long and short ones alike."""
-    regular = saved(user_histories(spark, sf_dir))
+    regular = stretched.saved_rows(user_histories(spark, sf_dir), HOURLY)
     forecasts = evaluate.forecasts_of(regular, comparison.all_models(HOURLY), HOURLY, HOURLY.horizon)
     return forecasts.groupBy("series_id", "model", "model_used").agg(F.count("yhat").alias("steps"))
 
